@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmart import fixed_values as fixed
+from starmart.functions.measures import fit_decimal
 
 
 TABLES = (
@@ -46,11 +47,31 @@ def _quoted(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+# Whole-number types and the bits they have.
+INTEGRAL_BITS = {T.ByteType(): 8, T.ShortType(): 16, T.IntegerType(): 32, T.LongType(): 64}
+
+
+def narrow(value: Column, have: T.DataType, want: T.DataType) -> Column:
+    """The value as the wanted type, null where it does not fit.
+
+    A number out of range is caught by comparison: try_cast raises and catches an
+    exception for each, which a column full of them cannot afford.
+    """
+    if have == want:
+        return value  # left bare, so filters on it still reach the scan
+    if isinstance(have, (T.FloatType, T.DoubleType)) and isinstance(want, T.DecimalType):
+        return fit_decimal(value, want)
+    bits = INTEGRAL_BITS.get(want)
+    if bits is None or bits == 64 or not isinstance(have, T.NumericType):
+        return value.try_cast(want)
+    if INTEGRAL_BITS.get(have, 64) < bits:
+        return value.cast(want)
+    limit = 1 << (bits - 1)
+    return F.when((value > -limit - 1) & (value < limit), value.cast(want))
+
+
 def _cast(field: T.StructField, found: T.StructField) -> Column:
-    # A column that already has its type stays bare, so filters on it still reach the scan.
-    if found.dataType == field.dataType:
-        return _quoted(found.name)
-    return _quoted(found.name).try_cast(field.dataType)
+    return narrow(_quoted(found.name), found.dataType, field.dataType)
 
 
 def align(df: DataFrame, schema: T.StructType, *also: str | Column) -> DataFrame:

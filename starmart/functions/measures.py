@@ -6,13 +6,20 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-MONEY = "decimal(10,2)"
+MONEY = T.DecimalType(10, 2)
+
+
+def fit_decimal(value: Column, want: T.DecimalType) -> Column:
+    """A number as a decimal, half up; null where it does not fit (or is NaN)."""
+    limit = 10 ** (want.precision - want.scale) - 0.5 * 10**-want.scale
+    return F.when(F.abs(value) < limit, value.cast(want))
 
 
 def decimal(value: Column) -> Column:
-    """decimal(10,2), half up; null when the value does not fit."""
-    return value.try_cast(MONEY)
+    """decimal(10,2), half up; null where it does not fit (or is NaN)."""
+    return fit_decimal(value, MONEY)
 
 
 def seconds_between(start: Column, end: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from datetime import date
 
@@ -78,21 +79,17 @@ def calendar(spark: SparkSession, first: date, last: date, max_days: int = MAX_C
 
 def minute_of_day(spark: SparkSession) -> DataFrame:
     """One row per minute of the day, every hour with every minute: 1440 rows."""
-    clock = spark.range(0, 24 * 60, 1, 1).select(
-        F.floor(F.col("id") / 60).cast("short").alias("hour"),
-        (F.col("id") - F.floor(F.col("id") / 60) * 60).cast("short").alias("minute"),
+    clock = spark.range(0, 24 * 60, 1, 1).selectExpr(
+        "CAST(id DIV 60 AS SMALLINT) AS hour", "CAST(id % 60 AS SMALLINT) AS minute"
     )
     key = (F.col("hour").cast("int") * 100 + F.col("minute")).alias("time_key")
     return clock.select(key, "hour", "minute", *time_attributes(F.col("hour")))
 
 
 def coded(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
-    """A short list of codes as a frame of the declared types, built without leaving the JVM."""
-    entries = [
-        F.struct(*[F.lit(value).cast(f.dataType).alias(f.name) for value, f in zip(row, schema.fields, strict=True)])
-        for row in rows
-    ]
-    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*entries)))
+    """A short list of codes as a frame of the declared types: one literal, folded into the plan."""
+    entries = json.dumps([dict(zip(schema.fieldNames(), row, strict=True)) for row in rows])
+    return spark.range(0, 1, 1, 1).select(F.inline(F.from_json(F.lit(entries), T.ArrayType(schema))))
 
 
 def vendors(spark: SparkSession) -> DataFrame:

@@ -7,10 +7,12 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starmart import fixed_values as fixed
+from starmart.contracts import narrow
 from starmart.functions.keys import ROW_ID, date_key, time_key
-from starmart.functions.measures import decimal, minutes_between
+from starmart.functions.measures import MONEY, decimal, minutes_between
 
 
 @dataclass(frozen=True)
@@ -71,30 +73,39 @@ def or_default(value: Column, default: int | None) -> Column:
     return value if default is None else F.coalesce(value, F.lit(default))
 
 
-def code_columns(spec: FactSpec) -> dict[str, Column]:
+def _whole(df: DataFrame, column: str, want: T.DataType) -> Column:
+    return narrow(F.col(column), df.schema[column].dataType, want)
+
+
+def code_columns(trips: DataFrame, spec: FactSpec = TRIPS) -> dict[str, Column]:
+    """Code keys, with the default where the code is missing."""
     return {
-        fk: or_default(F.col(source).try_cast("int"), default).alias(fk)
+        fk: or_default(_whole(trips, source, T.IntegerType()), default).alias(fk)
         for fk, (source, default) in spec.codes.items()
     }
 
 
-def measure_columns(spec: FactSpec) -> dict[str, Column]:
-    counts = {name: F.col(source).try_cast("short").alias(name) for name, source in spec.counts.items()}
+def measure_columns(trips: DataFrame, spec: FactSpec = TRIPS) -> dict[str, Column]:
+    """Counts as short and amounts as decimal(10,2), with the default where one is missing."""
+    counts = {
+        name: _whole(trips, source, T.ShortType()).alias(name) for name, source in spec.counts.items()
+    }
     exact = {
-        name: or_default(decimal(F.col(source)), default).cast("decimal(10,2)").alias(name)
+        name: or_default(decimal(F.col(source)), default).cast(MONEY).alias(name)
         for name, (source, default) in spec.measures.items()
     }
     return {**counts, **exact}
 
 
-def key_columns(spec: FactSpec) -> dict[str, Column]:
+def key_columns(trips: DataFrame, spec: FactSpec = TRIPS) -> dict[str, Column]:
+    """Calendar, clock, location and code keys."""
     pickup, dropoff = F.col(spec.pickup), F.col(spec.dropoff)
     return {
         "date_key": date_key(pickup).alias("date_key"),
         "pickup_time_key": time_key(pickup).alias("pickup_time_key"),
         "dropoff_time_key": time_key(dropoff).alias("dropoff_time_key"),
-        **{fk: F.col(source).try_cast("int").alias(fk) for fk, source in spec.locations.items()},
-        **code_columns(spec),
+        **{fk: _whole(trips, source, T.IntegerType()).alias(fk) for fk, source in spec.locations.items()},
+        **code_columns(trips, spec),
     }
 
 
@@ -106,7 +117,7 @@ def build_fact(trips: DataFrame, spec: FactSpec = TRIPS, *also: str | Column) ->
     further columns, such as the lake's partition columns.
     """
     key = [F.col(ROW_ID).alias(spec.key)] if ROW_ID in trips.columns else []
-    measures = measure_columns(spec)
+    measures = measure_columns(trips, spec)
     duration = minutes_between(F.col(spec.pickup), F.col(spec.dropoff)).alias(spec.duration)
     after_distance = list(measures)[: len(spec.counts) + 1]
     ordered = [
@@ -114,4 +125,4 @@ def build_fact(trips: DataFrame, spec: FactSpec = TRIPS, *also: str | Column) ->
         duration,
         *[measures[name] for name in measures if name not in after_distance],
     ]
-    return trips.select(*key, *key_columns(spec).values(), *ordered, *spec.carried, *also)
+    return trips.select(*key, *key_columns(trips, spec).values(), *ordered, *spec.carried, *also)

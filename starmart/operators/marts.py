@@ -86,9 +86,9 @@ def by_payment(fact: DataFrame, dim_payment_type: DataFrame) -> DataFrame:
 
 
 def by_weekday_rush(fact: DataFrame, dim_date: DataFrame, dim_time: DataFrame) -> DataFrame:
-    """Per weekday-only rush hour: in a rush hour and not on a weekend."""
-    dated = look_up(fact, dim_date, "date_key", "date_key", attributes=["is_weekend"])
-    timed = look_up(dated, dim_time, "pickup_time_key", "time_key", attributes=["is_rush_hour"])
+    """Per weekday-only rush hour: in a rush hour and not on a weekend. Both dimensions are of bounded size."""
+    dated = look_up(fact, F.broadcast(dim_date), "date_key", "date_key", attributes=["is_weekend"])
+    timed = look_up(dated, F.broadcast(dim_time), "pickup_time_key", "time_key", attributes=["is_rush_hour"])
     return mart(timed, (F.col("is_rush_hour") & ~F.col("is_weekend")).alias("is_weekday_rush"))
 
 

@@ -29,6 +29,7 @@ class StarSpec:
     fact_key: str
     foreign_keys: tuple[ForeignKey, ...]
     unique: Mapping[str, tuple[str, ...]]
+    generated: frozenset[str] = frozenset()  # dimensions whose size their generator bounds
 
     @property
     def dimensions(self) -> list[str]:
@@ -62,13 +63,14 @@ TRIP_STAR = StarSpec(
         "dim_payment_type": ("payment_type_key", "payment_type_id"),
         "fact_trips": ("trip_key",),
     },
+    generated=frozenset({"dim_date", "dim_time", "dim_vendor", "dim_ratecode", "dim_payment_type"}),
 )
 
 
 def small_enough(lookup: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """The lookup marked for broadcast when it has at most `max_rows` rows, else unmarked.
 
-    Unmarked, Spark plans the join from its own size estimate and AQE splits a
+    Unmarked, Spark plans the join from its own size estimate, and AQE splits a
     partition that one hot key makes too large. The check reads max_rows + 1 rows.
     """
     rows = lookup.limit(max_rows + 1).count()
@@ -83,17 +85,18 @@ def look_up(
     prefix: str = "",
     attributes: Sequence[str] | None = None,
     how: str = "left",
-    max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Join a lookup's attributes to facts; left keeps facts that find nothing, with nulls.
 
-    Attributes take `prefix` (for a dimension in several roles). `max_rows=0`
-    leaves the join strategy to Spark without a check.
+    Attributes take `prefix` (for a dimension in several roles). Spark picks the
+    join; give it `small_enough(lookup)` where the facts should not move.
     """
     kept = [c for c in (attributes or lookup.columns) if c != key]
-    side = lookup.select(F.col(key).alias("__key"), *[F.col(c).alias(f"{prefix}{c}") for c in kept])
-    sized = small_enough(side, max_rows) if max_rows else side
-    return facts.join(sized, F.col(column) == F.col("__key"), how).drop("__key")
+    # Names take their prefix after the join: a dimension in two roles is then the
+    # same side twice, read and broadcast once.
+    side = lookup.select(F.col(key).alias("__key"), *[F.col(c).alias(f"__{c}") for c in kept])
+    joined = facts.join(side, F.col(column) == F.col("__key"), how)
+    return joined.select(*facts.columns, *[F.col(f"__{c}").alias(f"{prefix}{c}") for c in kept])
 
 
 def star_join(
@@ -105,14 +108,18 @@ def star_join(
 ) -> DataFrame:
     """Facts with the attributes of every dimension, each role joined on its own.
 
-    `attributes` narrows the columns per dimension. Every dimension is sized
-    once; the small ones become broadcast joins in one stage over the fact.
+    `attributes` narrows the columns per dimension. Generated dimensions and
+    lookups found small become broadcast joins in one stage over the fact; a
+    lookup that is not small is left to Spark.
     """
-    sized = {name: small_enough(dims[name]) for name in spec.dimensions}
+    sized = {
+        name: F.broadcast(dims[name]) if name in spec.generated else small_enough(dims[name])
+        for name in spec.dimensions
+    }
     joined = fact
     for fk in spec.foreign_keys:
         wanted = (attributes or {}).get(fk.dim)
-        joined = look_up(joined, sized[fk.dim], fk.column, fk.key, fk.prefix, wanted, how, max_rows=0)
+        joined = look_up(joined, sized[fk.dim], fk.column, fk.key, fk.prefix, wanted, how)
     return joined
 
 

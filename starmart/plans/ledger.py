@@ -17,6 +17,8 @@ LEDGER = """
     pipeline STRING, run_id STRING, stage STRING, started_at TIMESTAMP, ended_at TIMESTAMP,
     records_in BIGINT, records_out BIGINT, records_rejected BIGINT, bytes_processed BIGINT, error STRING
 """
+# Values are summed as decimals: sums of doubles change with the order in which tasks deliver them.
+EXACT = "decimal(28,9)"
 METRICS = "run_id STRING, name STRING, value DOUBLE, type STRING, ts TIMESTAMP, tags MAP<STRING, STRING>"
 
 
@@ -177,8 +179,7 @@ def metric_rollup(
     tag_columns = [F.col("tags")[t].alias(t) for t in tags]
     rolled = metrics.groupBy("name", "type", *tag_columns).agg(
         F.count(F.lit(1)).alias("measurements"),
-        F.sum("value").alias("__sum"),
-        F.avg("value").alias("__avg"),
+        F.sum(F.col("value").cast(EXACT)).cast("double").alias("__sum"),
         F.max_by("value", latest_by).alias("__last"),
         F.percentile_approx("value", [0.5, 0.95], accuracy).alias("__percentiles"),
     )
@@ -191,7 +192,7 @@ def metric_rollup(
         "measurements",
         F.when(kind == "counter", F.col("__sum")).alias("total"),
         F.when(kind == "gauge", F.col("__last")).alias("latest"),
-        F.when(spread, F.col("__avg")).alias("average"),
+        F.when(spread, F.col("__sum") / F.col("measurements")).alias("average"),
         F.when(spread, F.col("__percentiles")[0]).alias("p50"),
         F.when(spread, F.col("__percentiles")[1]).alias("p95"),
     )

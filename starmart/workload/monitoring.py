@@ -346,24 +346,19 @@ def rollup_sql(tags: str) -> str:
         SELECT event_type AS name, {KIND} AS type, value, ts, regexp_extract(props, '"k": ([0-9]+)', 1) AS k FROM events
       )
       SELECT name, type, {tags} count(*) AS measurements,
-        CASE WHEN type = 'counter' THEN round(sum(value), 4) END AS total,
+        CASE WHEN type = 'counter' THEN sum(CAST(value AS DECIMAL(28,9)))::DOUBLE END AS total,
         CASE WHEN type = 'gauge' THEN arg_max(value, ts) END AS latest,
-        CASE WHEN type IN ('timer', 'histogram') THEN round(avg(value), 4) END AS average,
+        CASE WHEN type IN ('timer', 'histogram') THEN sum(CAST(value AS DECIMAL(28,9)))::DOUBLE / count(*)::DOUBLE END AS average,
         CASE WHEN type IN ('timer', 'histogram') THEN quantile_disc(value, 0.5) END AS p50,
         CASE WHEN type IN ('timer', 'histogram') THEN quantile_disc(value, 0.95) END AS p95
       FROM m GROUP BY {tags} name, type"""
 
 
-def rounded(rolled):
-    """Sums of doubles depend on their order in the last digits; report four."""
-    return rolled.withColumns({c: F.round(c, 4) for c in ("total", "average")})
-
-
 @query("metric_rollup", rollup_sql(""))
 def rollup(spark, sf_dir):
-    return rounded(metric_rollup(event_metrics(spark, sf_dir)))
+    return metric_rollup(event_metrics(spark, sf_dir))
 
 
 @query("metric_rollup_by_tag", rollup_sql("k,"))
 def rollup_by_tag(spark, sf_dir):
-    return rounded(metric_rollup(event_metrics(spark, sf_dir), tags=["k"]))
+    return metric_rollup(event_metrics(spark, sf_dir), tags=["k"])

@@ -28,17 +28,15 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def plain(df: DataFrame) -> DataFrame:
     """Results in types every client reads alike: decimals as double, dates and times as text."""
-    columns = []
+    shown = {}
     for field in df.schema.fields:
-        value = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.DecimalType):
-            value = value.cast("double")
+            shown[field.name] = F.col(field.name).cast("double")
         elif isinstance(field.dataType, T.DateType):
-            value = value.cast("string")
+            shown[field.name] = F.col(field.name).cast("string")
         elif isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
-            value = F.date_format(value, "yyyy-MM-dd HH:mm:ss")
-        columns.append(value.alias(field.name))
-    return df.select(*columns)
+            shown[field.name] = F.date_format(field.name, "yyyy-MM-dd HH:mm:ss")
+    return df.withColumns(shown) if shown else df
 
 
 # Pieces of oracle SQL. They restate the views and operators on their own terms.
@@ -56,25 +54,18 @@ line_trips AS (
     CAST(nullif(l_linenumber, 6) AS BIGINT) AS RatecodeID,
     CASE WHEN l_linestatus = 'F' THEN 'Y' ELSE 'N' END AS store_and_fwd_flag,
     nullif(CAST(substr(o_orderpriority, 1, 1) AS BIGINT), 5) AS payment_type,
-    CAST(CAST(price * sgn AS DECIMAL(10,2)) AS DOUBLE) AS fare_amount,
+    CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN -l_extendedprice ELSE l_extendedprice END AS fare_amount,
     l_discount AS extra,
     l_tax AS mta_tax,
     CAST(0.3 AS DOUBLE) AS improvement_surcharge,
-    CAST(CAST(price * off AS DECIMAL(10,2)) AS DOUBLE) AS tip_amount,
-    CAST(CAST(price * tax AS DECIMAL(10,2)) AS DOUBLE) AS tolls_amount,
-    CAST(CAST(price * sgn * (1 - off) * (1 + tax) AS DECIMAL(10,2)) AS DOUBLE) AS total_amount,
+    l_quantity AS tip_amount,
+    l_tax AS tolls_amount,
+    CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN -o_totalprice ELSE o_totalprice END AS total_amount,
     CASE WHEN l_linestatus = 'O' THEN CAST(2.5 AS DOUBLE) END AS congestion_surcharge,
     CASE WHEN l_returnflag = 'A' THEN CAST(1.75 AS DOUBLE) END AS Airport_fee,
     CAST(year(o_orderdate) AS INTEGER) AS _year,
     CAST(month(o_orderdate) AS INTEGER) AS _month
-  FROM (
-    SELECT *,
-      CAST(l_extendedprice AS DECIMAL(12,2)) AS price,
-      CAST(l_discount AS DECIMAL(4,2)) AS off,
-      CAST(l_tax AS DECIMAL(4,2)) AS tax,
-      CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN -1 ELSE 1 END AS sgn
-    FROM lineitem
-  ) l
+  FROM lineitem
   JOIN orders ON l_orderkey = o_orderkey
   JOIN customer ON o_custkey = c_custkey
   JOIN supplier ON l_suppkey = s_suppkey
@@ -111,7 +102,7 @@ event_trips AS (
     value AS trip_distance,
     user_id AS PULocationID,
     user_id + 1 AS DOLocationID,
-    CAST(NULL AS BIGINT) AS RatecodeID,
+    CAST(CASE event_type WHEN 'purchase' THEN 2 WHEN 'error' THEN 98 END AS BIGINT) AS RatecodeID,
     CAST(CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 2 WHEN 'purchase' THEN 3 WHEN 'signup' THEN 4 END
       AS BIGINT) AS payment_type,
     CASE WHEN value > 300 THEN NULL WHEN event_type = 'error' AND value < 10 THEN -value ELSE value END AS fare_amount,

@@ -79,7 +79,7 @@ def narrow_types(spark, sf_dir):
 )
 def default_codes(spark, sf_dir):
     trips = line_trips(spark, sf_dir, ["VendorID", "RatecodeID", "payment_type"])
-    return trips.select(*code_columns(TRIPS).values())
+    return trips.select(*code_columns(trips).values())
 
 
 @query(
@@ -91,9 +91,9 @@ def default_codes(spark, sf_dir):
 )
 def default_measures(spark, sf_dir):
     # An older file: it has no airport fee at all.
-    older = line_trips(spark, sf_dir, ["congestion_surcharge"])
-    measures = measure_columns(TRIPS)
-    return align(older, contracts.RAW_TRIPS).select(measures["congestion_surcharge"], measures["airport_fee"])
+    older = align(line_trips(spark, sf_dir, ["congestion_surcharge"]), contracts.RAW_TRIPS)
+    measures = measure_columns(older)
+    return older.select(measures["congestion_surcharge"], measures["airport_fee"])
 
 
 @query(
@@ -115,7 +115,7 @@ def default_measures(spark, sf_dir):
 def measure_casts(spark, sf_dir):
     sources = [source for source, _ in TRIPS.measures.values()]
     trips = line_trips(spark, sf_dir, [*TRIPS.counts.values(), *sources])
-    return trips.select(*measure_columns(TRIPS).values())
+    return trips.select(*measure_columns(trips).values())
 
 
 # A contract the order lines meet only in part: types that need a cast, two of them too

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart import contracts
@@ -29,56 +29,39 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _money(name: str, digits: int = 12) -> Column:
-    return F.col(name).cast(f"decimal({digits},2)")
-
-
-def _line_columns() -> dict[str, Column]:
-    """Trip columns from an order line; money is decimal before any arithmetic."""
-    price, off, tax = _money("l_extendedprice"), _money("l_discount", 4), _money("l_tax", 4)
-    refund = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
-    sign = F.when(refund, F.lit(-1)).otherwise(F.lit(1))
-
-    def amount(value: Column) -> Column:
-        return value.cast("decimal(10,2)").cast("double")
-
-    return {
-        "VendorID": F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 2).cast("long"),
-        "tpep_pickup_datetime": F.col("o_orderdate").cast("timestamp"),
-        "tpep_dropoff_datetime": F.when(F.col("l_tax") != 0.08, F.col("l_shipdate").cast("timestamp")),
-        "passenger_count": F.col("l_linenumber").cast("long"),
-        "trip_distance": F.nullif(F.col("l_quantity"), F.lit(50.0)),
-        "PULocationID": F.col("s_nationkey").cast("long"),
-        "DOLocationID": F.col("c_nationkey").cast("long"),
-        "RatecodeID": F.nullif(F.col("l_linenumber"), F.lit(6)).cast("long"),
-        "store_and_fwd_flag": F.when(F.col("l_linestatus") == "F", "Y").otherwise("N"),
-        "payment_type": F.nullif(F.substring("o_orderpriority", 1, 1).cast("int"), F.lit(5)).cast("long"),
-        "fare_amount": amount(price * sign),
-        "extra": F.col("l_discount"),
-        "mta_tax": F.col("l_tax"),
-        "improvement_surcharge": F.lit(0.3).cast("double"),
-        "tip_amount": amount(price * off),
-        "tolls_amount": amount(price * tax),
-        "total_amount": amount(price * sign * (1 - off) * (1 + tax)),
-        "congestion_surcharge": F.when(F.col("l_linestatus") == "O", F.lit(2.5)),
-        "Airport_fee": F.when(F.col("l_returnflag") == "A", F.lit(1.75)),
-        "_source_file": F.col("__file"),
-        "_ingestion_ts": F.lit(LOADED_AT).cast("timestamp"),
-        "_year": F.year("o_orderdate"),
-        "_month": F.month("o_orderdate"),
-    }
-
-
-ORDER_COLUMNS = {"tpep_pickup_datetime", "payment_type", "DOLocationID", "_year", "_month"}
+# Trip columns from an order line; a refunded line has a negative fare and total.
+LINE_COLUMNS = {
+    "VendorID": "CAST(CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 END AS BIGINT)",
+    "tpep_pickup_datetime": "CAST(o_orderdate AS TIMESTAMP)",
+    "tpep_dropoff_datetime": "CASE WHEN l_tax <> 0.08D THEN CAST(l_shipdate AS TIMESTAMP) END",
+    "passenger_count": "CAST(l_linenumber AS BIGINT)",
+    "trip_distance": "nullif(l_quantity, 50D)",
+    "PULocationID": "CAST(s_nationkey AS BIGINT)",
+    "DOLocationID": "CAST(c_nationkey AS BIGINT)",
+    "RatecodeID": "CAST(nullif(l_linenumber, 6) AS BIGINT)",
+    "store_and_fwd_flag": "CASE l_linestatus WHEN 'F' THEN 'Y' ELSE 'N' END",
+    "payment_type": "nullif(CAST(substr(o_orderpriority, 1, 1) AS BIGINT), 5L)",
+    "fare_amount": "CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN -l_extendedprice ELSE l_extendedprice END",
+    "extra": "l_discount",
+    "mta_tax": "l_tax",
+    "improvement_surcharge": "0.3D",
+    "tip_amount": "l_quantity",
+    "tolls_amount": "l_tax",
+    "total_amount": "CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN -o_totalprice ELSE o_totalprice END",
+    "congestion_surcharge": "CASE WHEN l_linestatus = 'O' THEN 2.5D END",
+    "Airport_fee": "CASE WHEN l_returnflag = 'A' THEN 1.75D END",
+    "_source_file": "'lineitem.parquet'",
+    "_ingestion_ts": f"TIMESTAMP '{LOADED_AT}'",
+    "_year": "year(o_orderdate)",
+    "_month": "month(o_orderdate)",
+}
+ORDER_COLUMNS = {"tpep_pickup_datetime", "payment_type", "total_amount", "DOLocationID", "_year", "_month"}
 
 
 def line_trips(spark: SparkSession, sf_dir: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Trips from order lines: the named columns, or all."""
-    exprs = _line_columns()
-    wanted = list(exprs) if columns is None else list(columns)
+    wanted = list(LINE_COLUMNS) if columns is None else list(columns)
     lines = table(spark, sf_dir, "lineitem")
-    if "_source_file" in wanted:
-        lines = lines.withColumn("__file", F.col("_metadata.file_name"))
     if ORDER_COLUMNS & set(wanted):
         orders = table(spark, sf_dir, "orders")
         if "DOLocationID" in wanted:
@@ -87,7 +70,7 @@ def line_trips(spark: SparkSession, sf_dir: str, columns: Sequence[str] | None =
         lines = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     if "PULocationID" in wanted:
         lines = lines.join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-    return lines.select(*[exprs[c].alias(c) for c in wanted])
+    return lines.selectExpr(*[f"{LINE_COLUMNS[c]} AS {c}" for c in wanted])
 
 
 def line_rules() -> list[Rule]:
@@ -110,29 +93,29 @@ def line_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_fact(accepted(line_trips(spark, sf_dir), line_rules()))
 
 
+# A few fares are missing (very long trips) or negative (short ones, refunded).
+EVENT_COLUMNS = {
+    "event_id": "event_id",
+    "VendorID": "CAST(CASE event_type WHEN 'click' THEN 1 WHEN 'view' THEN 2 END AS BIGINT)",
+    "tpep_pickup_datetime": "CAST(ts AS TIMESTAMP)",
+    "tpep_dropoff_datetime": "timestampadd(SECOND, CAST(floor(value * 60) AS INT), CAST(ts AS TIMESTAMP))",
+    "trip_distance": "value",
+    "PULocationID": "user_id",
+    "DOLocationID": "user_id + 1",
+    "RatecodeID": "CAST(CASE event_type WHEN 'purchase' THEN 2 WHEN 'error' THEN 98 END AS BIGINT)",
+    "payment_type": "CAST(CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 2 WHEN 'purchase' THEN 3"
+    " WHEN 'signup' THEN 4 END AS BIGINT)",
+    "fare_amount": "CASE WHEN value > 300 THEN NULL WHEN event_type = 'error' AND value < 10 THEN -value ELSE value END",
+    "total_amount": "value",
+    "_source_file": "'events.parquet'",
+    "_source_month": "'2024-01'",
+    "_ingestion_ts": f"TIMESTAMP '{LOADED_AT}'",
+}
+
+
 def event_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips from events: `value` is the minutes a trip takes and its fare; the user is the zone."""
-    kind, value = F.col("event_type"), F.col("value")
-    pickup = F.col("ts").cast("timestamp")
-    seconds = F.floor(value * 60)
-    # A few fares are missing (very long trips) or negative (short ones, refunded).
-    fare = F.when(value > 300, F.lit(None)).when((kind == "error") & (value < 10), -value).otherwise(value)
-    return table(spark, sf_dir, "events").select(
-        "event_id",
-        F.when(kind == "click", 1).when(kind == "view", 2).cast("long").alias("VendorID"),
-        pickup.alias("tpep_pickup_datetime"),
-        F.timestamp_add("SECOND", seconds.cast("int"), pickup).alias("tpep_dropoff_datetime"),
-        value.alias("trip_distance"),
-        F.col("user_id").alias("PULocationID"),
-        (F.col("user_id") + 1).alias("DOLocationID"),
-        F.when(kind == "view", 1).when(kind == "click", 2).when(kind == "purchase", 3).when(kind == "signup", 4)
-        .cast("long").alias("payment_type"),
-        fare.alias("fare_amount"),
-        value.alias("total_amount"),
-        F.lit("events.parquet").alias("_source_file"),
-        F.lit("2024-01").alias("_source_month"),
-        F.lit(LOADED_AT).cast("timestamp").alias("_ingestion_ts"),
-    )
+    return table(spark, sf_dir, "events").selectExpr(*[f"{sql} AS {c}" for c, sql in EVENT_COLUMNS.items()])
 
 
 def event_fact(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -58,6 +58,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.maxMetadataStringLength", "10000")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
