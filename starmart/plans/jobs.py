@@ -179,9 +179,9 @@ def build_star(
         with ledger.stage("foreign_keys") as stage:
             fact = read_months(spark, lake.table(TRIP_STAR.fact), months)
             tables = {name: spark.read.parquet(lake.table(name)) for name in TRIP_STAR.dimensions}
+            # One row per foreign key. A month without facts has none to report.
             orphans = {row.fk: row.orphan_rows for row in fk_orphans(fact, tables).collect()}
-            for fk, rows in orphans.items():
-                ledger.metric("orphan_rows", rows, "gauge", {"fk": fk})
+            ledger.record([("orphan_rows", rows, "gauge", {"fk": fk}) for fk, rows in orphans.items()])
             stage.records_in = stage.records_out = written_rows(written, months)
     return {
         "months_processed": len(months),
@@ -266,12 +266,13 @@ def run(
     rules: Sequence[Rule] | None = None,
     run_id: str | None = None,
     loaded_at: datetime | None = None,
+    dimensions: str | None = "upsert",
 ) -> dict:
     """Files to star to marts. Running it again for the same files leaves the same tables."""
     ledger = open_ledger(spark, lake, "full", run_id)
     months = ingest(spark, lake, trip_paths, zones_csv, ledger, loaded_at)
     if not months:
         return {"months_processed": 0, "run_id": ledger.run_id}
-    result = build_star(spark, lake, months, ledger, rules)
+    result = build_star(spark, lake, months, ledger, rules, dimensions)
     refresh_marts(spark, lake, months, ledger)
     return {**result, "run_id": ledger.run_id}

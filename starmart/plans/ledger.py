@@ -65,13 +65,21 @@ class RunLedger:
                 running.bytes_processed,
                 error,
             )
-            self.spark.createDataFrame([row], LEDGER).write.mode("append").parquet(f"{self.folder}/stages")
+            stages = self.spark.createDataFrame([row], LEDGER).coalesce(1)
+            stages.write.mode("append").parquet(f"{self.folder}/stages")
 
     def metric(self, name: str, value: float, type: str = "gauge", tags: dict[str, str] | None = None) -> None:
-        if type not in fixed.METRIC_TYPES:
-            raise ValueError(f"unknown metric type: {type}")
-        row = (self.run_id, name, float(value), type, _now(), tags or {})
-        self.spark.createDataFrame([row], METRICS).write.mode("append").parquet(f"{self.folder}/metrics")
+        """Record one custom metric."""
+        self.record([(name, value, type, tags or {})])
+
+    def record(self, metrics: Sequence[tuple[str, float, str, dict[str, str]]]) -> None:
+        """Record custom metrics (name, value, type, tags) in one write."""
+        unknown = {kind for _, _, kind, _ in metrics} - set(fixed.METRIC_TYPES)
+        if unknown:
+            raise ValueError(f"unknown metric types: {sorted(unknown)}")
+        now = _now()
+        rows = [(self.run_id, name, float(value), kind, now, tags) for name, value, kind, tags in metrics]
+        self.spark.createDataFrame(rows, METRICS).coalesce(1).write.mode("append").parquet(f"{self.folder}/metrics")
 
     def stages(self) -> DataFrame:
         """Every stage of every run recorded so far."""

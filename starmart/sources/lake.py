@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Mapping, Sequence
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +34,11 @@ def shared_folder(spark: SparkSession) -> str:
     return own
 
 
+def scratch_folder(spark: SparkSession, purpose: str) -> str:
+    """A folder of its own, for one use, under the shared one."""
+    return f"{shared_folder(spark)}/{purpose}-{uuid4()}"
+
+
 def write_partitions(
     df: DataFrame,
     path: str,

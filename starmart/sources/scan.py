@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,14 +17,26 @@ from starmart.operators.lineage import add_lineage, add_row_id, month_in_path, s
 CORRUPT = "_corrupt_record"
 
 
+def _one_schema(spark: SparkSession, paths: Sequence[str]) -> T.StructType | None:
+    """The union of all files' columns, read from the footers in one job; None when types disagree."""
+    try:
+        return spark.read.option("mergeSchema", True).parquet(*paths).schema
+    except Py4JJavaError as failure:
+        if "CANNOT_MERGE_SCHEMAS" in str(failure.java_exception):
+            return None
+        raise
+
+
 def read_raw(spark: SparkSession, paths: Sequence[str], schema: T.StructType, *also: str | Column) -> DataFrame:
     """All raw files as one frame aligned to the contract, whatever each file's own types.
 
-    Files disagree on integer widths, and Spark reads one scan with one schema, so
-    paths are grouped by the schema in their footers: one scan per distinct schema
-    (a handful), not one per file. `also` may name hidden columns of the scan such
-    as `_metadata.file_name`.
+    Files that agree are one scan. Where months disagree, on integer widths say,
+    they are grouped by schema: one scan per distinct schema (a handful), not one
+    per file. `also` may name hidden columns of the scan, as `_metadata.file_name`.
     """
+    common = _one_schema(spark, paths)
+    if common is not None:
+        return align(spark.read.schema(common).parquet(*paths), schema, *also)
     by_schema: dict[str, list[str]] = {}
     for path in paths:
         by_schema.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
@@ -126,3 +139,9 @@ def layer_health(spark: SparkSession, layers: Mapping[str, str]) -> DataFrame:
         for name, path in layers.items()
     ]
     return spark.createDataFrame(rows, "layer string, path string, present boolean, files int")
+
+
+def healthy(layers: DataFrame) -> DataFrame:
+    """One row: whether every layer of `layer_health` is present, and which are missing."""
+    missing = F.sort_array(F.collect_list(F.when(~F.col("present"), F.col("layer"))))
+    return layers.agg(F.every("present").alias("healthy"), missing.alias("missing_layers"))

@@ -6,7 +6,7 @@ from starmart import contracts
 from starmart.contracts import align, contract, contract_report
 from starmart.operators.fact import TRIPS, code_columns, measure_columns
 from starmart.operators.lineage import add_lineage
-from starmart.sources.lake import MONTH, shared_folder, write_partitions
+from starmart.sources.lake import MONTH, scratch_folder, write_partitions
 from starmart.sources.scan import in_months, read_months, row_counts, scan
 from starmart.workload.registry import LINE_TRIPS, query
 from starmart.workload.testbed import LOADED_AT, line_trips, table
@@ -211,7 +211,7 @@ def table_row_counts(spark, sf_dir):
 )
 def idempotent_reload(spark, sf_dir):
     """Load every month, load some of them again: each row is there once."""
-    folder = f"{shared_folder(spark)}/reload-{spark.sql('SELECT uuid()').first()[0]}"
+    folder = scratch_folder(spark, "reload")
     orders = order_months(spark, sf_dir).select("o_orderkey", *MONTH)
     write_partitions(orders, folder, MONTH, rebalance=True)
     write_partitions(orders.filter(in_months(MONTHS)), folder, MONTH, rebalance=True)

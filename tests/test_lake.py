@@ -204,5 +204,26 @@ def test_existence_and_row_counts(spark, folder, trips):
     assert not scan.exists(spark, "no_such_table")
     counts = scan.row_counts(spark, {"t": spark.read.parquet(f"{folder}/t"), "none": None}).collect()
     assert {(r.table_name, r.row_count) for r in counts} == {("t", 5), ("none", None)}
-    health = {r.layer: (r.present, r.files > 0) for r in scan.layer_health(spark, {"a": f"{folder}/t", "b": f"{folder}/u"}).collect()}
+    layers = scan.layer_health(spark, {"a": f"{folder}/t", "b": f"{folder}/u"})
+    assert scan.healthy(layers).first() == (False, ["b"])
+    health = {r.layer: (r.present, r.files > 0) for r in layers.collect()}
     assert health == {"a": (True, True), "b": (False, False)}
+
+
+def test_shared_folder(spark, monkeypatch):
+    named = lake.shared_folder(spark)
+    assert named == (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir())
+    assert lake.scratch_folder(spark, "x").startswith(f"{named}/x-")
+
+    class Unset:
+        conf = {}
+
+        class sparkContext:  # noqa: N801
+            master = "yarn"
+
+            @staticmethod
+            def getCheckpointDir():  # noqa: N802
+                return None
+
+    with pytest.raises(ValueError, match="shared by all executors"):
+        lake.shared_folder(Unset())

@@ -82,7 +82,10 @@ def test_star_join_moves_no_fact(spark, bronze, zones):
     assert "hashpartitioning" not in text
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+RUNS_JOBS = {"full_run", "idempotent_reload"}  # planning these would run them
+
+
+@pytest.mark.parametrize("name", sorted(queries().keys() - RUNS_JOBS))
 def test_no_python_and_no_pairwise_joins(spark, name):
     text = plan(queries()[name](spark, SF_DIR))
     for operator in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
