@@ -55,13 +55,10 @@ def with_content_key(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
 
     `columns` limits what is hashed and must tell different rows apart.
     """
-    hashed = list(columns or df.columns)
-    content = F.sha2(F.to_json(F.struct(*hashed), {"ignoreNullFields": "false"}), 256)
-    counted = (
-        df.withColumn("__content", content)
-        .groupBy("__content", *df.columns)
-        .agg(F.count(F.lit(1)).alias("__copies"))
-    )
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__copies"))
+    # Hashed after the shuffle, so the hash does not travel and copies are hashed once.
+    text = F.to_json(F.struct(*(columns or df.columns)), {"ignoreNullFields": "false"})
+    counted = counted.withColumn("__content", F.sha2(text, 256))
     # Nearly every row has few copies and is written out where it lies. The rest
     # go through one more, tiny, shuffle that spreads their blocks over all tasks.
     few = counted.filter(F.col("__copies") <= COPIES_PER_BLOCK).withColumn("__block", F.lit(0).cast("long"))
@@ -76,6 +73,7 @@ def with_content_key(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
 
 
 def _number_copies(blocks: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row per copy; `__content` and `__block` say which copies of which row."""
     first = F.col("__block") * COPIES_PER_BLOCK
     last = F.least(first + COPIES_PER_BLOCK, F.col("__copies")) - 1
     numbered = blocks.withColumn("__copy", F.explode(F.sequence(first, last)))
