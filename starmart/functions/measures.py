@@ -22,6 +22,15 @@ def decimal(value: Column) -> Column:
     return fit_decimal(value, MONEY)
 
 
+def exact_average(total: Column, count: Column) -> Column:
+    """A decimal(10,2) total over its count, as decimal(14,6); null where the count is zero.
+
+    Spark's avg of such decimals adds doubles, which is neither exact nor the same
+    in every order once the sums pass 2^53.
+    """
+    return F.try_divide(total.cast("decimal(20,2)"), count).cast("decimal(14,6)")
+
+
 def seconds_between(start: Column, end: Column) -> Column:
     return F.unix_timestamp(end) - F.unix_timestamp(start)
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart import fixed_values as fixed
-from starmart.functions.measures import in_hours
+from starmart.functions.measures import exact_average, in_hours
 from starmart.operators.star import look_up
 
 
@@ -17,7 +17,7 @@ def trip_measures(revenue: str = "total_amount", duration: str = "trip_duration_
     return [
         F.count(F.lit(1)).alias("trips"),
         F.sum(revenue).alias("revenue"),
-        F.avg(duration).alias("avg_duration_minutes"),
+        exact_average(F.sum(duration), F.count(duration)).alias("avg_duration_minutes"),
     ]
 
 
@@ -64,7 +64,7 @@ def by_name(fact: DataFrame, dim: DataFrame, column: str, key: str, names: Seque
     return named.groupBy(*names).agg(
         F.sum("trips").alias("trips"),
         F.sum("revenue").alias("revenue"),
-        (F.sum("__minutes").cast("decimal(20,2)") / F.sum("__timed")).cast("decimal(14,6)").alias("avg_duration_minutes"),
+        exact_average(F.sum("__minutes"), F.sum("__timed")).alias("avg_duration_minutes"),
     )
 
 
@@ -97,10 +97,10 @@ def count_by(df: DataFrame, *keys: str | Column) -> DataFrame:
 
 
 def revenue_by(df: DataFrame, key: str, amount: str = "total_amount") -> DataFrame:
-    """Sum, average and count of an amount per key."""
+    """Sum, average and count of a decimal(10,2) amount per key."""
     return df.groupBy(key).agg(
         F.sum(amount).alias("total_revenue"),
-        F.avg(amount).alias("avg_revenue"),
+        exact_average(F.sum(amount), F.count(amount)).alias("avg_revenue"),
         F.count(F.lit(1)).alias("trip_count"),
     )
 
@@ -136,7 +136,7 @@ def fare_health(fact: DataFrame, *by: str | Column, fare: str = "fare_amount") -
         F.count(F.lit(1)).alias("total_trips"),
         F.count_if(value.isNull()).alias("null_fares"),
         F.count_if(value < 0).alias("negative_fares"),
-        F.round(F.sum(positive) / F.count(positive), 2).alias("avg_fare"),
+        F.round(F.try_divide(F.sum(positive), F.count(positive)), 2).alias("avg_fare"),
     )
 
 

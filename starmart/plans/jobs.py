@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from starmart import contracts
 from starmart.contracts import align
 from starmart.functions.keys import ROW_ID
+from starmart.functions.measures import exact_average
 from starmart.operators import dims, gate
 from starmart.operators.fact import TRIPS, build_fact
 from starmart.operators.gate import Rule
@@ -228,14 +229,13 @@ def refresh_marts(spark: SparkSession, lake: Lake, months: Sequence[str], ledger
 
 def read_mart(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
     """A mart over all months: trips, revenue and average duration per grouping."""
-    minutes = F.sum("minutes").cast("decimal(20,2)")
     return (
         spark.read.parquet(lake.mart(name))
         .groupBy(*MARTS[name])
         .agg(
             F.sum("trips").alias("trips"),
             F.sum("revenue").alias("revenue"),
-            (minutes / F.sum("timed_trips")).cast("decimal(14,6)").alias("avg_duration_minutes"),
+            exact_average(F.sum("minutes"), F.sum("timed_trips")).alias("avg_duration_minutes"),
         )
     )
 

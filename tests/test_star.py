@@ -1,13 +1,14 @@
 """Dimensions, the fact and the star on the small fixtures."""
 
 from datetime import date
-from decimal import Decimal
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from starmart import contracts
 from starmart.contracts import align
+from starmart.functions.measures import exact_average
 from starmart.operators import dims, marts
 from starmart.operators.fact import build_fact
 from starmart.operators.lineage import add_lineage
@@ -172,3 +173,18 @@ def test_airport_and_high_value(fact):
     airports = {(r.date_key, r.direction): r.trips for r in marts.airport(fact).collect()}
     assert airports == {(20230115, "pickup"): 1, (20230117, "pickup"): 1}
     assert [(r.date_key, r.trips) for r in marts.high_value(fact).collect()] == [(20230117, 1)]
+
+
+def test_averages_of_nothing_are_null(fact, tables):
+    untimed = fact.withColumn("trip_duration_minutes", F.lit(None).cast("decimal(10,2)"))
+    assert {r.avg_duration_minutes for r in marts.by_route(untimed).collect()} == {None}
+    assert {r.avg_duration_minutes for r in marts.by_month(untimed, tables["dim_date"]).collect()} == {None}
+    free = fact.withColumn("fare_amount", F.lit(0).cast("decimal(10,2)"))
+    assert marts.fare_health(free).first().avg_fare is None
+
+
+def test_averages_are_exact_beyond_the_range_of_doubles(spark):
+    total, count = Decimal("123456789012345678.91"), 9876543210
+    sums = spark.range(1).select(F.lit(total).alias("total"), F.lit(count).alias("count"))
+    (row,) = sums.select(exact_average(F.col("total"), F.col("count")).alias("a")).collect()
+    assert row.a == (total / count).quantize(Decimal("0.000001"), ROUND_HALF_UP)
