@@ -47,7 +47,7 @@ def shorter_than(first: str, then: str, seconds: int) -> Rule:
 
 
 def before(column: str, limit) -> Rule:
-    """Optional upper bound on an event date."""
+    """Optional upper bound on an event date, given as a date, a time or their text."""
     return Rule(f"{column}_in_bound", F.col(column) < F.lit(limit))
 
 

@@ -96,7 +96,7 @@ def ingest(
             now = F.lit(loaded_at or datetime.now(timezone.utc))
             raw = read_bronze_source(spark, dated, contracts.RAW_TRIPS, now)
             written = replace_months(align(raw, contracts.BRONZE_TRIPS, ROW_ID), lake.bronze_trips, months)
-            stage.records_out = sum(written[m] for m in months)
+            stage.records_out = written_rows(written, months)
         stage.records_in = stage.records_out + stage.records_rejected
     return months
 
@@ -174,7 +174,7 @@ def build_star(
         fact = build_fact(gate.accepted(bronze, rules), TRIPS, "_year", "_month")
         written = replace_months(fact, lake.table(TRIP_STAR.fact), months)
         stage.records_in = seen["accepted"]
-        stage.records_out = sum(written[m] for m in months)
+        stage.records_out = written_rows(written, months)
     orphans = {}
     if exists(spark, lake.table("dim_date")):
         with ledger.stage("foreign_keys") as stage:
@@ -224,7 +224,8 @@ def refresh_marts(spark: SparkSession, lake: Lake, months: Sequence[str], ledger
                 F.sum("trip_duration_minutes").alias("minutes"),
                 F.count("trip_duration_minutes").alias("timed_trips"),
             )
-            stage.records_out = written_rows(replace_months(sums, lake.mart(name), months), months)
+            written = replace_months(sums, lake.mart(name), months, rebalance=True)
+            stage.records_out = written_rows(written, months)
 
 
 def read_mart(spark: SparkSession, lake: Lake, name: str) -> DataFrame:

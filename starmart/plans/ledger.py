@@ -92,6 +92,11 @@ class RunLedger:
         return self.spark.read.parquet(f"{self.folder}/metrics")
 
 
+def _seconds(ts: Column) -> Column:
+    """Seconds since 1970 with microseconds, as decimal so that differences are exact."""
+    return (F.unix_micros(ts) / F.lit(1000000).cast("decimal(7,0)")).cast("decimal(18,6)")
+
+
 def rejection_rate() -> Column:
     return rate(F.col("records_rejected"), F.col("records_in"))
 
@@ -102,7 +107,7 @@ def stage_metrics(ledger: DataFrame) -> DataFrame:
         "pipeline",
         "run_id",
         "stage",
-        (F.unix_micros("ended_at") - F.unix_micros("started_at")).cast("double").__truediv__(1e6).alias("duration_seconds"),
+        (_seconds(F.col("ended_at")) - _seconds(F.col("started_at"))).alias("duration_seconds"),
         "records_in",
         "records_out",
         "records_rejected",
@@ -159,7 +164,7 @@ def run_summary(ledger: DataFrame) -> DataFrame:
         F.sum("records_in").alias("total_records_in"),
         F.sum("records_out").alias("total_records_out"),
         F.sum("records_rejected").alias("total_records_rejected"),
-        F.round((F.max(F.unix_micros("ended_at")) - F.min(F.unix_micros("started_at"))) / 1e6, 2).alias("duration_seconds"),
+        F.round(_seconds(F.max("ended_at")) - _seconds(F.min("started_at")), 2).alias("duration_seconds"),
     )
     alerts = stage_alerts(ledger).groupBy("pipeline", "run_id").agg(
         F.count(F.lit(1)).alias("alerts"),

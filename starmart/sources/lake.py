@@ -63,19 +63,28 @@ def write_partitions(
     )
 
 
-def replace_months(df: DataFrame, path: str, months: Sequence[str], counts: Mapping[str, Column] | None = None) -> dict:
+def replace_months(
+    df: DataFrame,
+    path: str,
+    months: Sequence[str],
+    counts: Mapping[str, Column] | None = None,
+    rebalance: bool = False,
+) -> dict:
     """Replace exactly the listed months of a table partitioned by `_year`, `_month`.
 
     Returns rows written per month (key = yyyy-MM) and the extra `counts`, all
     measured during the write. A listed month that now has no rows is emptied, so
     a re-run never leaves its old rows behind; a row of any other month is an error.
+    `rebalance` is for rows whose months lie scattered (see `write_partitions`); it
+    goes before the counting, which thus stays in the stage that writes.
     """
     pairs = {m: split_month(m) for m in months}
     belongs = {m: (F.col("_year") == y) & (F.col("_month") == n) for m, (y, n) in pairs.items()}
     listed = F.lit(False)
     for is_month in belongs.values():
         listed = listed | is_month
-    guarded = df.withColumn(
+    laid_out = df.hint("rebalance", *[F.col(c) for c in MONTH]) if rebalance else df
+    guarded = laid_out.withColumn(
         "_year",
         F.when(F.coalesce(listed, F.lit(False)), F.col("_year")).otherwise(
             F.raise_error(F.concat(F.lit("row outside the listed months: "), F.concat_ws("-", *MONTH))).cast("int")

@@ -1,7 +1,5 @@
 """Queries over the quality gate."""
 
-from datetime import datetime
-
 from pyspark.sql import functions as F
 
 from starmart.operators import gate
@@ -73,7 +71,7 @@ def rejects_by_rule(spark, sf_dir):
     f"WITH {LINE_CHECKS} SELECT {ROW} FROM gated WHERE ok AND tpep_pickup_datetime < TIMESTAMP '1998-01-01'",
 )
 def filter_date_bound(spark, sf_dir):
-    bound = gate.before("tpep_pickup_datetime", datetime(1998, 1, 1))
+    bound = gate.before("tpep_pickup_datetime", "1998-01-01")
     return gate.accepted(gate_trips(spark, sf_dir), [*line_rules(), bound])
 
 

@@ -22,7 +22,7 @@ def order_months(spark, sf_dir):
     """Orders with lineage columns; their month stands for a month file's."""
     orders = table(spark, sf_dir, "orders").withColumn("__file", F.col("_metadata.file_name"))
     month = F.date_format("o_orderdate", "yyyy-MM")
-    return add_lineage(orders, F.col("__file"), month, F.lit(LOADED_AT).cast("timestamp")).drop("__file")
+    return add_lineage(orders, F.col("__file"), month, F.expr(f"TIMESTAMP '{LOADED_AT}'")).drop("__file")
 
 
 @query(

@@ -143,3 +143,17 @@ def test_publishing_drops_the_key_and_keeps_definitions(spark, folder, raw, monk
     assert [c[0] for c in calls] == ["dim_date", "dim_time", "dim_location", "dim_vendor", "dim_ratecode", "dim_payment_type", "fact_trips"]
     assert {c[1] for c in calls} == {"overwrite"}
     assert calls[-1][2] == contracts.FACT_TRIPS.fieldNames()[1:]
+
+
+def test_the_number_of_jobs_does_not_grow_with_the_months(spark, folder, raw):
+    """Months are loaded together, not one after another."""
+    paths, zones = raw
+
+    def jobs_of(name, files):
+        spark.sparkContext.setJobGroup(name, name)
+        run(spark, Lake(f"{folder}/{name}"), files, zones, loaded_at=LOADED)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+    march = [month_file(folder, f"trips_2023-{m:02}.parquet", shifted(trip_rows(), m)) for m in range(3, 7)]
+    one, four = jobs_of("one", march[:1]), jobs_of("four", march)
+    assert four <= one + 2
