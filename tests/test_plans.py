@@ -11,6 +11,7 @@ from starmart.operators.star import star_join
 from starmart.sources.lake import MONTH, write_partitions
 from starmart.sources.scan import read_bronze_source, read_months, scan
 
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
