@@ -2,7 +2,7 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import ORACLES, QUERIES, entry
 from tests.compare import connect, differences
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -15,15 +15,15 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert queries().keys() == oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    df = queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert [operator for operator in UNWANTED if operator in plan] == []
-    assert differences(df, con, oracle_sql()[name]) is None
+    assert differences(df, con, ORACLES[name]) is None
 
 
 def test_entry_has_rows(spark):
