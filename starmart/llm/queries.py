@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import quality_ledger, simhash
+from starmart.llm import packing, quality_ledger, rans, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -83,3 +84,13 @@ def op8_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.withColumn("base_failed", ~F.col("__base")).select(
         "doc_id", *quality_ledger.MEASURES, "base_failed", "failed_bits", "kept"
     )
+
+
+@query("op4_packing")
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op9_rans_tokens")
+def op9_rans_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rans.through_file(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
