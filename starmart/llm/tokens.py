@@ -4,91 +4,110 @@ from __future__ import annotations
 
 import os
 import re
+from itertools import chain, islice
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-import regex
 from tokenizers import Tokenizer
 
-from starmart.llm.text import within
-
-#: How the two tokenizers cut a text before they merge; fixed values of their files.
-BYTE_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-WORD_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
+#: Letters and numbers of the plain alphabet below, and how the two tokenizers cut a text before they merge; fixed
+#: values of their files, over that alphabet.
+LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ÿ"
+NUMBERS = "0-9²³¹¼½¾"
+BYTE_PIECES = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^\s{LETTERS}{NUMBERS}]+|\s+(?!\S)|\s+"
+WORD_PIECES = rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^\s{LETTERS}{NUMBERS}]+"
 #: Outside these, library versions may class characters differently: such texts go through the tokenizer whole.
 PLAIN = re.compile("[^\t\n\r -~¡-¬®-ÿ]")
-HELD_PIECES = 1 << 18
+HELD_PIECES = 1 << 19
+
+
+class Codes(dict):
+    """Numbers keys in the order in which they are first asked for."""
+
+    def __missing__(self, key: str) -> int:
+        code = self[key] = len(self)
+        return code
 
 
 class Encoder:
     """Ids of texts, the same as the tokenizer's own for the whole text.
 
-    A BPE merges within a piece only, so a text's ids are those of its pieces, end to end. Pieces that were met
-    before are looked up; the table starts anew when it is full, which costs time only.
+    A BPE merges within a piece only, so a text's ids are those of its pieces, end to end. Each distinct piece is
+    encoded once; new ones go to the tokenizer together, as lines of one text. The table starts anew when it is
+    full, which costs time only.
     """
 
     def __init__(self, definition: str, pieces: str, lower: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True
-        self.find, self.lower = regex.compile(pieces).findall, lower
+        self.find, self.lower = re.compile(pieces).findall, lower
+        # What stands between two lines: an id of its own, or nothing where the last id of a piece is marked as such.
+        self.between = self._ids("\n")
+        last = [i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]
+        self.last = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
+        self.last[last or self.between] = True
         self._clear()
 
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
     def _clear(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = Codes()
         self.ids = np.zeros(1 << 16, np.uint32)
-        self.ends = np.zeros(1 << 16, np.int64)
+        self.ends = np.zeros(1, np.int64)
 
     def _learn(self, pieces: list[str]) -> None:
-        if len(self.known) + len(pieces) > HELD_PIECES:
-            self._clear()
-        encoded = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        n = len(self.known)
-        before = int(self.ends[n - 1]) if n else 0
-        self.ends = _room(self.ends, n + len(pieces))
-        self.ends[n : n + len(pieces)] = before + np.cumsum(sizes)
-        last = before + int(sizes.sum())
-        self.ids = _room(self.ids, last)
-        self.ids[before:last] = [i for ids in encoded for i in ids]
-        self.known.update(zip(pieces, range(n, n + len(pieces)), strict=True))
+        """Append the ids of new pieces; `ends[k]` is where those of piece k begin, `ends[k + 1]` where they end."""
+        blank = [k for k, p in enumerate(pieces) if p.isspace()]
+        alone = {k: self._ids(pieces[k]) for k in blank}
+        lines = [p for k, p in enumerate(pieces) if k not in alone]
+        ids = np.array(self._ids("\n".join([*lines, ""])), np.uint32)
+        edges = np.flatnonzero(self.last[ids]) + 1
+        sizes = np.diff(edges, prepend=0)
+        if self.between:
+            ids, sizes = ids[~self.last[ids]], sizes - len(self.between)
+        if len(sizes) != len(lines):
+            raise ValueError("pieces and their ids differ in number")
+        if alone:
+            at = np.cumsum(sizes) - sizes
+            parts = {k: (a, n) for k, a, n in zip((k for k in range(len(pieces)) if k not in alone), at, sizes, strict=True)}
+            own = [np.array(alone[k], np.uint32) if k in alone else ids[parts[k][0] : sum(parts[k])] for k in range(len(pieces))]
+            ids, sizes = np.concatenate(own), np.fromiter(map(len, own), np.int64, len(own))
+        before = int(self.ends[-1])
+        self.ends = np.concatenate([self.ends, before + np.cumsum(sizes)])
+        if before + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros(max(len(ids), len(self.ids)), np.uint32)])
+        self.ids[before : before + len(ids)] = ids
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids end to end, ids per text); null is an empty text."""
+        if len(self.known) > HELD_PIECES:
+            self._clear()
         whole = [t or "" for t in texts.to_pylist()]
         odd = {k for k, t in enumerate(whole) if PLAIN.search(t)}
         found = [[] if k in odd else self.find(t.lower() if self.lower else t) for k, t in enumerate(whole)]
-        flat = [piece for pieces in found for piece in pieces]
-        unknown = {p for p in flat if p not in self.known}
-        if unknown:
-            if len(self.known) + len(unknown) > HELD_PIECES:
-                unknown = set(flat)
-            self._learn(list(unknown))
-        codes = np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
-        starts = np.where(codes > 0, self.ends[codes - 1], 0)
-        sizes = self.ends[codes] - starts
-        ids = self.ids[np.repeat(starts, sizes) + within(sizes)]
         pieces_of = np.fromiter(map(len, found), np.int64, len(found))
-        running = np.concatenate([[0], np.cumsum(sizes)])
+        held = len(self.known)
+        codes = np.fromiter(map(self.known.__getitem__, chain.from_iterable(found)), np.int64, int(pieces_of.sum()))
+        if len(self.known) > held:
+            self._learn(list(islice(self.known, held, None)))
+        starts = self.ends[codes]
+        sizes = self.ends[codes + 1] - starts
+        ends = np.cumsum(sizes)
+        ids = self.ids[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+        running = np.concatenate([[0], ends])
         edges = np.concatenate([[0], np.cumsum(pieces_of)])
         counts = running[edges[1:]] - running[edges[:-1]]
         if not odd:
             return ids, counts
         parts = np.split(ids, np.cumsum(counts)[:-1])
         for k in sorted(odd):
-            parts[k] = np.array(self.tokenizer.encode(whole[k], add_special_tokens=False).ids, np.uint32)
+            parts[k] = np.array(self._ids(whole[k]), np.uint32)
         return np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts))
 
 
-def _room(held: np.ndarray, n: int) -> np.ndarray:
-    if n <= len(held):
-        return held
-    grown = np.zeros(max(n, 2 * len(held)), held.dtype)
-    grown[: len(held)] = held
-    return grown
-
-
 def with_end(ids: np.ndarray, counts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
     """The same with an end id after each text's ids."""
     out = np.full(len(ids) + len(counts), end, np.uint32)
