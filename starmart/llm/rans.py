@@ -64,8 +64,11 @@ def frequencies(counts: np.ndarray, bits: int = SCALE_BITS) -> np.ndarray:
 
 def encode(tokens: np.ndarray) -> dict:
     """A segment's table and blocks. All blocks and lanes advance together, a step at a time, from the end."""
-    symbols, codes, counts = np.unique(tokens, return_inverse=True, return_counts=True)
-    scaled = frequencies(counts)
+    counts = np.bincount(tokens)
+    symbols = np.flatnonzero(counts)
+    code_of = np.zeros(len(counts), np.int64)
+    code_of[symbols] = np.arange(len(symbols))
+    codes, scaled = code_of[tokens], frequencies(counts[symbols])
     n = len(tokens)
     blocks = max(1, -(-n // (BLOCK_STEPS * LANES)))
     steps = -(-n // (blocks * LANES))
