@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starmart.llm.text import slices
-from starmart.llm.tokens import BYTE_PIECES, Encoder, definition_of, with_end
+from starmart.llm.tokens import BYTE_PIECES, SLICE_BYTES, definition_of, encoder, with_end
 from starmart.sources.lake import scratch_folder
 
 END_ID = 0
@@ -27,7 +27,7 @@ LOW = 1 << 16
 LANES = 16
 BLOCK_STEPS = 4096
 STRIDE = 512
-SEGMENT_TOKENS = 1 << 21
+SEGMENT_TOKENS = 1 << 20
 
 FORMAT = (
     "part int, segment int, first long, n_tokens long, symbols binary, frequencies binary, steps int, "
@@ -161,7 +161,7 @@ def write_tokens(
     definition = docs.sparkSession.sparkContext.broadcast(definition_of(tokenizer))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(definition.value, BYTE_PIECES, lower=False)
+        own_encoder = encoder(definition.value, BYTE_PIECES, lower=False)
         part, segment, first = TaskContext.get().partitionId(), 0, 0
         names: list[int | None] = []
         held: list[np.ndarray] = []
@@ -173,8 +173,8 @@ def write_tokens(
             return pa.RecordBatch.from_pylist([row | encode(np.concatenate(held))], ARROW_FORMAT)
 
         for batch in batches:
-            for own in slices(batch, "text"):
-                ids, counts = with_end(*encoder.encode(own.column("text")), end)
+            for own in slices(batch, "text", SLICE_BYTES):
+                ids, counts = with_end(*own_encoder.encode(own.column("text")), end)
                 names += own.column("doc_id").to_pylist()
                 sizes += counts.tolist()
                 held.append(ids)

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 from itertools import chain, islice
 from pathlib import Path
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +21,9 @@ BYTE_PIECES = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^\s{LE
 WORD_PIECES = rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^\s{LETTERS}{NUMBERS}]+"
 #: Outside these, library versions may class characters differently: such texts go through the tokenizer whole.
 PLAIN = re.compile("[^\t\n\r -~¡-¬®-ÿ]")
-HELD_PIECES = 1 << 19
+HELD_PIECES = 1 << 20
+#: Text that is cut into pieces at once.
+SLICE_BYTES = 2 << 20
 
 
 class Codes(dict):
@@ -108,6 +112,15 @@ class Encoder:
         return np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts))
 
 
+def encoder(definition: str, pieces: str, lower: bool) -> Encoder:
+    """The worker process's own encoder, kept from task to task; its table is bounded."""
+    held = sys.modules.setdefault("starmart_worker_encoders", ModuleType("starmart_worker_encoders")).__dict__
+    key = f"{pieces} {lower} {hash(definition)}"
+    if key not in held:
+        held[key] = Encoder(definition, pieces, lower)
+    return held[key]
+
+
 def with_end(ids: np.ndarray, counts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
     """The same with an end id after each text's ids."""
     out = np.full(len(ids) + len(counts), end, np.uint32)
