@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import packing, quality_ledger, rans, simhash
+from starmart.llm import decontamination, packing, preference, quality_ledger, rans, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -94,3 +94,58 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_rans_tokens")
 def op9_rans_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.through_file(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+OP6 = r"""
+WITH c AS (
+  SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn, coalesce(role, ''), coalesce(text, '')) AS t
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+),
+a AS (
+  SELECT conv_id, t, list_filter(range(1, len(t) + 1), lambda i: t[i].role = 'assistant') AS k FROM c
+),
+p AS (
+  SELECT conv_id, t[:k[-1] - 1] AS head, t[k[-1]] AS good, t[k[-2]] AS bad FROM a WHERE len(k) >= 2
+),
+r AS (
+  SELECT *, array_to_string(list_transform(head, lambda x: '<|' || x.role || '|>' || chr(10) || x.text || chr(10) || '<|end|>' || chr(10)), '') AS h,
+    '<|assistant|>' || chr(10) || good.text || chr(10) || '<|end|>' || chr(10) AS g,
+    '<|assistant|>' || chr(10) || bad.text || chr(10) || '<|end|>' || chr(10) AS b
+  FROM p
+)
+SELECT conv_id AS pair_id, CAST(len(head) + (good = bad)::INT AS BIGINT) AS n_prompt,
+  CASE WHEN good = bad THEN h || g ELSE h END AS prompt,
+  CASE WHEN good = bad THEN '' ELSE g END AS chosen, CASE WHEN good = bad THEN '' ELSE b END AS rejected,
+  CASE WHEN good = bad THEN '' ELSE '14-' || len(g) END AS chosen_learned,
+  CASE WHEN good = bad THEN '' ELSE '14-' || len(b) END AS rejected_learned
+FROM r
+"""
+
+
+@query("op6_preference", OP6)
+def op6_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = preference.conversations(table(spark, sf_dir, "conversations"))
+    rows = preference.preference_rows(preference.stale_replies(held))
+    spans = "array_join(transform({0}, s -> concat(s.from, '-', s.to)), ',')"
+    return rows.withColumns({c: F.expr(spans.format(c)) for c in ("chosen_learned", "rejected_learned")})
+
+
+@query("op7_decontamination")
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP10 = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, octet_length(b) AS n, sha256(b) AS digest FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY digest) AS first FROM d)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+  CASE WHEN n >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 100 AND page_id <> first THEN first END AS refers_to
+FROM f
+"""
+
+
+@query("op10_warc", OP10)
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.through_archive(table(spark, sf_dir, "pages")).drop("url")
