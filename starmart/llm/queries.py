@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import decontamination, packing, preference, quality_ledger, rans, simhash, warc
+from starmart.llm import decontamination, packing, pitman_yor, preference, quality_ledger, rans, simhash, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -149,3 +149,17 @@ FROM f
 @query("op10_warc", OP10)
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.through_archive(table(spark, sf_dir, "pages")).drop("url")
+
+
+@query("op3_toxicity")
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = held_out(4, 2)
+    model = toxicity.fit(toxicity.labelled_texts(docs, table(spark, sf_dir, "labels"), out))
+    rows = toxicity.score(docs, model).withColumn("held_out", out)
+    return rows.withColumn("predicted", (F.col("score") >= 0.3).cast("int")).select("doc_id", "held_out", "score", "predicted")
+
+
+@query("op5_pitman_yor")
+def op5_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score(table(spark, sf_dir, "documents"), held_out(10, 0))

@@ -39,7 +39,8 @@ def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Itera
 
 def words_of(texts: pa.Array, lower: bool = True) -> Words:
     """Split texts at ASCII white space; null counts as empty."""
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    # Taking copies the rows: Arrow's string kernels misread a large_string array that begins within its buffers.
+    texts = pc.fill_null(texts.take(pa.array(np.arange(len(texts)))).cast(pa.large_string()), "")
     lists = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
     offsets = lists.offsets.to_numpy()
     values = lists.values.slice(offsets[0], offsets[-1] - offsets[0])
