@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import decontamination, packing, pitman_yor, preference, quality_ledger, rans, simhash, toxicity, warc
+from starmart.llm import (
+    compact_windows,
+    decontamination,
+    packing,
+    pitman_yor,
+    preference,
+    quality_ledger,
+    rans,
+    simhash,
+    toxicity,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -163,3 +174,8 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_pitman_yor")
 def op5_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pitman_yor.score(table(spark, sf_dir, "documents"), held_out(10, 0))
+
+
+@query("op2_compact_windows")
+def op2_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compact_windows.classes(compact_windows.repeated_passages(table(spark, sf_dir, "documents")))

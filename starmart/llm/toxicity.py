@@ -12,14 +12,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.llm.text import slices
+from starmart.sources.lake import scratch_folder
 
 #: Orders of n-grams, in bytes of the normalized text, and the number of hashed features.
 ORDERS = (4, 5, 6)
-BITS = 20
+BITS = 18
 SMOOTHING = 1.0
 #: Features that the classifier may weigh: those whose presence differs most between the classes, beyond chance.
 FEATURES = 1024
 LEAST_DEVIATION = 4.0
+#: Labels of at most so many rows (16 bytes each) are sent to the documents; more are met in a shuffle.
+BROADCAST_LABELS = 2_000_000
 #: Labelled rows that the weights are fitted on, half per class; the counts come from all of them.
 SAMPLE_ROWS = 16384
 RIDGE = 1e-4
@@ -91,6 +94,9 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     logistic regression on at most `sample_rows` rows, half of them per class, chosen by hash of doc_id, each class
     weighted back to its share of all rows. Without rows of both classes the score is the share of toxic ones.
     """
+    spark, folder = labelled.sparkSession, scratch_folder(labelled.sparkSession, "toxicity")
+    labelled.select("doc_id", "text", "toxic").write.option("compression", "zstd").parquet(folder)
+    labelled = spark.read.schema("doc_id long, text string, toxic int").parquet(folder)
     n = {r.toxic: r.n for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n1, n0 = n.get(1, 0), n.get(0, 0)
     if not n1 or not n0:
@@ -173,12 +179,15 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, held_out) -> DataFrame:
     """(doc_id, text, toxic) of labelled documents outside the held-out fold.
 
     Labels other than 0 and 1 and null ids are left out; an id labelled twice counts as toxic if either label says
-    so. `held_out` is a condition on doc_id. Only rows with a label are shuffled with their texts.
+    so. `held_out` is a condition on doc_id.
     """
     own = (
         labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
         .agg(F.max("toxic").cast("int").alias("toxic"))
     )
+    own = own.where(~held_out)
+    if labels.count() <= BROADCAST_LABELS:
+        own = F.broadcast(own)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return rows.where(~held_out).join(own.where(~held_out), "doc_id")
+    return rows.where(~held_out).join(own, "doc_id")
