@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from uuid import uuid4
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -110,12 +111,18 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def ledger(docs: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
-    """The rows of `docs` with the measurements and `failed_bits`, bit k set where rule k fails."""
+    """The rows of `docs` with the measurements and `failed_bits`, bit k set where rule k fails.
+
+    Rows and failures per rule are counted on the way, under a name of their own in the query's observed metrics. That
+    also keeps a filter on the verdict above the measurements: pushed below, it would evaluate them many times.
+    """
     rows = measured(docs, text)
     bits = F.lit(0).cast("long")
     for k, rule in enumerate(rules):
         bits = bits.bitwiseOR(F.when(F.expr(rule.fails), F.lit(1 << k)).otherwise(F.lit(0)).cast("long"))
-    return rows.withColumn("failed_bits", bits)
+    judged = rows.withColumn("failed_bits", bits)
+    failed = [F.count_if(F.col("failed_bits").bitwiseAND(F.lit(1 << k)) != 0).alias(r.name) for k, r in enumerate(rules)]
+    return judged.observe(f"quality-{uuid4()}", F.count(F.lit(1)).alias("documents"), *failed)
 
 
 def verdict(rows: DataFrame, policy: Policy = CURRENT, name: str = "kept", rules: Sequence[Rule] = RULES) -> DataFrame:
