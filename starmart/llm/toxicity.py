@@ -95,14 +95,15 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     weighted back to its share of all rows. Without rows of both classes the score is the share of toxic ones.
     """
     spark, folder = labelled.sparkSession, scratch_folder(labelled.sparkSession, "toxicity")
-    labelled.select("doc_id", "text", "toxic").write.option("compression", "zstd").parquet(folder)
-    labelled = spark.read.schema("doc_id long, text string, toxic int").parquet(folder)
+    labelled.select("doc_id", "text", "toxic").write.option("compression", "zstd").parquet(f"{folder}/texts")
+    labelled = spark.read.schema("doc_id long, text string, toxic int").parquet(f"{folder}/texts")
     n = {r.toxic: r.n for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n1, n0 = n.get(1, 0), n.get(0, 0)
     if not n1 or not n0:
         share = (n1 + 0.5) / (n1 + n0 + 1)
         return Model(np.zeros(0, np.int64), np.zeros(0), float(np.log(share / (1 - share))))
-    held = presence_counts(labelled)
+    presence_counts(labelled).write.parquet(f"{folder}/counts")
+    held = spark.read.schema("feature long, toxic long, clean long").parquet(f"{folder}/counts")
     total = held.agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).first()
     p1, p0 = F.col("toxic") / n1, F.col("clean") / n0
     both = (F.col("toxic") + F.col("clean")) / (n1 + n0)
