@@ -23,7 +23,7 @@ WORD_PIECES = rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^\s{LETTERS}{
 PLAIN = re.compile("[^\t\n\r -~¡-¬®-ÿ]")
 HELD_PIECES = 1 << 20
 #: Text that is cut into pieces at once.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 
 class Codes(dict):
