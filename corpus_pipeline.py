@@ -18,9 +18,9 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the current policy keeps, as they were. A null text has no words and goes."""
-    rows = docs.withColumn("__text", F.col("text"))
-    judged = quality_ledger.verdict(quality_ledger.ledger(rows, "__text"), name="__kept")
-    return judged.where("__kept").select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    judged = quality_ledger.verdict(quality_ledger.ledger(rows))
+    return judged.where("kept").select("row.*")
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
