@@ -15,9 +15,6 @@ from starmart import fixed_values as fixed
 from starmart.functions.keys import date_key
 from starmart.functions.measures import band_name, in_hours
 
-# A calendar is broadcast, so its size is bounded: two hundred years of days.
-MAX_CALENDAR_DAYS = 200 * 366
-
 
 def date_attributes(day: Column) -> list[Column]:
     """The calendar columns of a date, in contract order."""
@@ -59,22 +56,24 @@ def with_buffer_years(bounds: DataFrame) -> DataFrame:
     )
 
 
-def calendar_over(bounds: DataFrame, max_days: int = MAX_CALENDAR_DAYS) -> DataFrame:
+def calendar_over(bounds: DataFrame) -> DataFrame:
     """The calendar between the dates of a one-row frame, both included; null bounds give no rows.
 
     The range stays in the plan, so a calendar built from data needs no collect.
-    One stray date could ask for millions of days: more than `max_days` is an error.
+    Years are listed first and their days after, so that no row holds a long
+    range, however far a stray date lies.
     """
     first, last = F.col("min_date"), F.col("max_date")
-    too_long = F.raise_error(F.lit(f"calendar longer than {max_days} days")).cast("array<date>")
-    days = F.when(F.datediff(last, first) >= max_days, too_long).otherwise(F.sequence(first, last))
-    return bounds.select(F.explode(days).alias("__day")).select(*date_attributes(F.col("__day")))
+    years = bounds.select(first, last, F.explode(F.sequence(F.year(first), F.year(last))).alias("__year"))
+    january, december = F.make_date("__year", F.lit(1), F.lit(1)), F.make_date("__year", F.lit(12), F.lit(31))
+    days = F.sequence(F.greatest(january, first), F.least(december, last))
+    return years.select(F.explode(days).alias("__day")).select(*date_attributes(F.col("__day")))
 
 
-def calendar(spark: SparkSession, first: date, last: date, max_days: int = MAX_CALENDAR_DAYS) -> DataFrame:
+def calendar(spark: SparkSession, first: date, last: date) -> DataFrame:
     """The calendar between two dates, both included."""
     bounds = spark.range(0, 1, 1, 1).select(F.lit(first).alias("min_date"), F.lit(last).alias("max_date"))
-    return calendar_over(bounds, max_days)
+    return calendar_over(bounds)
 
 
 def minute_of_day(spark: SparkSession) -> DataFrame:

@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 
 from starmart.functions.keys import MAX_FILES_PER_MONTH, ROW_ID, position_key
 
-# File listings up to this many entries (some tens of MB) are broadcast.
-BROADCAST_FILES = 200_000
-
 # Fixed value: how a month is written in a path; standing alone, so not inside a number or a hash.
 MONTH_PATTERN = r"(?<![0-9A-Za-z])([0-9]{4}-(?:0[1-9]|1[0-2]))(?![0-9A-Za-z])"
 LAST_MONTH = ".*" + MONTH_PATTERN
@@ -71,14 +68,13 @@ def add_row_id(df: DataFrame, files: Sequence[str], row_index: Column) -> DataFr
 
     Where every month is a single file the number is zero and there is nothing to
     look up; else the list of files (at most MAX_FILES_PER_MONTH a month, as
-    checked) is looked up, and broadcast when it is short.
+    checked) is looked up; Spark broadcasts it by its bytes.
     """
     numbered = number_files(files)
     if all(number == 0 for _, _, number in numbered):
         located, file_number = df, F.lit(0).cast("long")
     else:
         listing = df.sparkSession.createDataFrame(numbered, "__month string, __name string, __number long")
-        listing = F.broadcast(listing) if len(numbered) <= BROADCAST_FILES else listing
         same_file = (F.col("_source_month") == F.col("__month")) & (F.col("_source_file") == F.col("__name"))
         located, file_number = df.join(listing, same_file, "left").drop("__month", "__name"), F.col("__number")
     row_id = position_key(F.col("_year"), F.col("_month"), file_number, row_index)

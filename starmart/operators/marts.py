@@ -52,22 +52,29 @@ def airport(fact: DataFrame, airports: Sequence[int] = tuple(fixed.AIRPORT_LOCAT
     return mart(fact.withColumn("direction", F.explode(directions)), "date_key", "direction")
 
 
-def by_name(fact: DataFrame, dim: DataFrame, column: str, key: str, names: Sequence[str]) -> DataFrame:
-    """Per dimension attribute. Facts are summed per key first, so only sums meet the dimension."""
-    per_key = fact.groupBy(column).agg(
+def _sums(fact: DataFrame, *keys: str) -> DataFrame:
+    """Additive measures per key."""
+    return fact.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("trips"),
         F.sum("total_amount").alias("revenue"),
         F.sum("trip_duration_minutes").alias("__minutes"),
         F.count("trip_duration_minutes").alias("__timed"),
     )
-    named = look_up(per_key, dim, column, key, attributes=names)
-    return named.groupBy(*names).agg(
+
+
+def _from_sums(sums: DataFrame, *by: str | Column) -> DataFrame:
+    return sums.groupBy(*by).agg(
         F.sum("trips").alias("trips"),
         F.sum("revenue").alias("revenue"),
         exact_average(F.sum("__minutes"), F.sum("__timed")).alias("avg_duration_minutes"),
     )
 
 
+def by_name(fact: DataFrame, dim: DataFrame, column: str, key: str, names: Sequence[str]) -> DataFrame:
+    """Per dimension attribute. Facts are summed per key first, so only sums meet the dimension."""
+    return _from_sums(look_up(_sums(fact, column), dim, column, key, attributes=names), *names)
+
+
 def by_time_of_day(fact: DataFrame, dim_time: DataFrame) -> DataFrame:
     names = ["time_of_day", "is_rush_hour", "is_night"]
     return by_name(fact, dim_time, "pickup_time_key", "time_key", names)
@@ -86,10 +93,10 @@ def by_payment(fact: DataFrame, dim_payment_type: DataFrame) -> DataFrame:
 
 
 def by_weekday_rush(fact: DataFrame, dim_date: DataFrame, dim_time: DataFrame) -> DataFrame:
-    """Per weekday-only rush hour: in a rush hour and not on a weekend. Both dimensions are of bounded size."""
-    dated = look_up(fact, F.broadcast(dim_date), "date_key", "date_key", attributes=["is_weekend"])
-    timed = look_up(dated, F.broadcast(dim_time), "pickup_time_key", "time_key", attributes=["is_rush_hour"])
-    return mart(timed, (F.col("is_rush_hour") & ~F.col("is_weekend")).alias("is_weekday_rush"))
+    """Per weekday-only rush hour: in a rush hour and not on a weekend. Sums per date and minute meet the dimensions."""
+    dated = look_up(_sums(fact, "date_key", "pickup_time_key"), dim_date, "date_key", "date_key", attributes=["is_weekend"])
+    timed = look_up(dated, dim_time, "pickup_time_key", "time_key", attributes=["is_rush_hour"])
+    return _from_sums(timed, (F.col("is_rush_hour") & ~F.col("is_weekend")).alias("is_weekday_rush"))
 
 
 def count_by(df: DataFrame, *keys: str | Column) -> DataFrame:

@@ -16,16 +16,15 @@ def _same_key(keys: Sequence[str]) -> Column:
 def one_row_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The same rows; fails when a key occurs twice.
 
-    Counting combines before the shuffle, and the join that follows on the same
-    keys reuses that shuffle.
+    Keys are counted on their own, which combines before the shuffle, and only
+    the counts above one are looked up by the rows.
     """
-    others = [c for c in df.columns if c not in keys]
-    grouped = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__rows"), F.first(F.struct(F.lit(True), *others)).alias("__row")
-    )
-    repeated = F.raise_error(F.concat(F.lit("key occurs twice: "), F.to_json(F.struct(*keys)))).cast("boolean")
-    checked = grouped.filter(F.when(F.col("__rows") == 1, F.lit(True)).otherwise(repeated))
-    return checked.select(*[F.col(f"__row.{c}").alias(c) if c in others else F.col(c) for c in df.columns])
+    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).filter("__rows > 1")
+    marked = df.alias("t").join(repeated.alias("s"), _same_key(keys), "left")
+    text = F.concat(F.lit("key occurs twice: "), F.to_json(F.struct(*[F.col(f"t.{k}") for k in keys])))
+    fails = F.raise_error(text).cast("boolean")
+    checked = marked.filter(F.when(F.col("s.__rows").isNull(), F.lit(True)).otherwise(fails))
+    return checked.select(*[F.col(f"t.{c}").alias(c) for c in df.columns])
 
 
 def upsert(
@@ -38,17 +37,22 @@ def upsert(
 
     `update` names the columns a known key takes from the source (default: all);
     the others keep the target's value. Null keys match each other. A key that
-    occurs twice in the source is an error.
+    occurs twice in the source is an error. The target is only filtered by the
+    source's keys, so a small source is broadcast and the target does not move.
     """
-    updated = set(target.columns if update is None else update)
-    t = target.withColumn("__in_target", F.lit(True)).alias("t")
-    s = one_row_per_key(source.select(*target.columns), keys).withColumn("__in_source", F.lit(True)).alias("s")
-    in_target, in_source = F.col("t.__in_target").isNotNull(), F.col("s.__in_source").isNotNull()
-    columns = []
-    for c in target.columns:
-        from_source = in_source if c in updated else in_source & ~in_target
-        columns.append(F.when(from_source, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
-    return t.join(s, _same_key(keys), "full").select(*columns)
+    kept = [c for c in target.columns if update is not None and c not in update and c not in keys]
+    s = one_row_per_key(source.select(*target.columns), keys)
+    merged = s
+    if kept:
+        t = target.select(*keys, *kept).withColumn("__known", F.lit(True)).alias("t")
+        found = F.col("t.__known").isNotNull()
+        columns = [
+            F.when(found, F.col(f"t.{c}")).otherwise(F.col(f"s.{c}")).alias(c) if c in kept else F.col(f"s.{c}").alias(c)
+            for c in target.columns
+        ]
+        merged = s.alias("s").join(t, _same_key(keys), "left").select(*columns)
+    others = target.alias("t").join(s.select(*keys).alias("s"), _same_key(keys), "left_anti")
+    return others.select(*target.columns).unionByName(merged)
 
 
 def insert_if_absent(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:

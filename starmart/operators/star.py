@@ -9,9 +9,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A lookup is broadcast up to this many rows (some tens of MB); beyond, Spark shuffles.
-BROADCAST_ROWS = 200_000
-
 
 @dataclass(frozen=True)
 class ForeignKey:
@@ -29,7 +26,6 @@ class StarSpec:
     fact_key: str
     foreign_keys: tuple[ForeignKey, ...]
     unique: Mapping[str, tuple[str, ...]]
-    generated: frozenset[str] = frozenset()  # dimensions whose size their generator bounds
 
     @property
     def dimensions(self) -> list[str]:
@@ -63,20 +59,9 @@ TRIP_STAR = StarSpec(
         "dim_payment_type": ("payment_type_key", "payment_type_id"),
         "fact_trips": ("trip_key",),
     },
-    generated=frozenset({"dim_date", "dim_time", "dim_vendor", "dim_ratecode", "dim_payment_type"}),
 )
 
 
-def small_enough(lookup: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The lookup marked for broadcast when it has at most `max_rows` rows, else unmarked.
-
-    Unmarked, Spark plans the join from its own size estimate, and AQE splits a
-    partition that one hot key makes too large. The check reads max_rows + 1 rows.
-    """
-    rows = lookup.limit(max_rows + 1).count()
-    return F.broadcast(lookup) if rows <= max_rows else lookup
-
-
 def look_up(
     facts: DataFrame,
     lookup: DataFrame,
@@ -89,7 +74,8 @@ def look_up(
     """Join a lookup's attributes to facts; left keeps facts that find nothing, with nulls.
 
     Attributes take `prefix` (for a dimension in several roles). Spark picks the
-    join; give it `small_enough(lookup)` where the facts should not move.
+    join by the lookup's bytes: below its broadcast threshold the facts do not
+    move, and adaptive execution splits a hot key where they do.
     """
     kept = [c for c in (attributes or lookup.columns) if c != key]
     # Names take their prefix after the join: a dimension in two roles is then the
@@ -108,18 +94,13 @@ def star_join(
 ) -> DataFrame:
     """Facts with the attributes of every dimension, each role joined on its own.
 
-    `attributes` narrows the columns per dimension. Generated dimensions and
-    lookups found small become broadcast joins in one stage over the fact; a
-    lookup that is not small is left to Spark.
+    `attributes` narrows the columns per dimension. Planning reads nothing: Spark
+    broadcasts the dimensions whose bytes allow it, in one stage over the fact.
     """
-    sized = {
-        name: F.broadcast(dims[name]) if name in spec.generated else small_enough(dims[name])
-        for name in spec.dimensions
-    }
     joined = fact
     for fk in spec.foreign_keys:
         wanted = (attributes or {}).get(fk.dim)
-        joined = look_up(joined, sized[fk.dim], fk.column, fk.key, fk.prefix, wanted, how)
+        joined = look_up(joined, dims[fk.dim], fk.column, fk.key, fk.prefix, wanted, how)
     return joined
 
 

@@ -193,7 +193,9 @@ def metric_rollup(
     rolled = metrics.groupBy("name", "type", *tag_columns).agg(
         F.count(F.lit(1)).alias("measurements"),
         F.sum(F.col("value").cast(EXACT)).cast("double").alias("__sum"),
-        F.max_by("value", latest_by).alias("__last"),
+        F.count("value").alias("__valued"),
+        # Of gauges recorded at one time the largest counts, whatever the order of the rows.
+        F.max_by("value", F.struct(latest_by, "value")).alias("__last"),
         F.percentile_approx("value", [0.5, 0.95], accuracy).alias("__percentiles"),
     )
     kind = F.col("type")
@@ -205,7 +207,7 @@ def metric_rollup(
         "measurements",
         F.when(kind == "counter", F.col("__sum")).alias("total"),
         F.when(kind == "gauge", F.col("__last")).alias("latest"),
-        F.when(spread, F.col("__sum") / F.col("measurements")).alias("average"),
+        F.when(spread, F.col("__sum") / F.nullif(F.col("__valued"), F.lit(0))).alias("average"),
         F.when(spread, F.col("__percentiles")[0]).alias("p50"),
         F.when(spread, F.col("__percentiles")[1]).alias("p95"),
     )

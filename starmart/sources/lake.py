@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 from collections.abc import Mapping, Sequence
 from uuid import uuid4
 
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from starmart.operators.lineage import split_month
 from starmart.operators.merge import insert_if_absent, upsert
 from starmart.sources.jdbc import write_jdbc
-from starmart.sources.scan import exists
+from starmart.sources.scan import exists, read_months
 
 MONTH = ("_year", "_month")
 MODES = ("overwrite", "append", "error", "ignore")
@@ -21,15 +21,15 @@ MODES = ("overwrite", "append", "error", "ignore")
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see, as the session names it in spark.checkpoint.dir.
 
-    A local session may go without; a cluster may not, since a machine's own
-    folder is lost with the machine.
+    A local session may go without and uses a folder of its warehouse; a cluster
+    may not, since nothing says that its warehouse takes scratch files.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    own = tempfile.mkdtemp(prefix="starmart-")
+    own = f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
     spark.sparkContext.setCheckpointDir(own)
     return own
 
@@ -72,36 +72,36 @@ def replace_months(
 ) -> dict:
     """Replace exactly the listed months of a table partitioned by `_year`, `_month`.
 
-    Returns rows written per month (key = yyyy-MM) and the extra `counts`, all
-    measured during the write. A listed month that now has no rows is emptied, so
-    a re-run never leaves its old rows behind; a row of any other month is an error.
+    Returns rows written per month (key = yyyy-MM) and the extra `counts`, which
+    are measured during the write. A listed month that now has no rows is emptied,
+    so a re-run never leaves its old rows behind; a row of any other month is an
+    error. What is evaluated per row does not grow with the months: one look into
+    a set, and one set of the months met; rows per month come from the footers.
     `rebalance` is for rows whose months lie scattered (see `write_partitions`); it
     goes before the counting, which thus stays in the stage that writes.
     """
-    pairs = {m: split_month(m) for m in months}
-    belongs = {m: (F.col("_year") == y) & (F.col("_month") == n) for m, (y, n) in pairs.items()}
-    listed = F.lit(False)
-    for is_month in belongs.values():
-        listed = listed | is_month
+    numbers = {}
+    for month in months:
+        year, number = split_month(month)
+        numbers[year * 12 + number] = month
+    at = F.col("_year") * 12 + F.col("_month")
     laid_out = df.hint("rebalance", *[F.col(c) for c in MONTH]) if rebalance else df
-    guarded = laid_out.withColumn(
-        "_year",
-        F.when(F.coalesce(listed, F.lit(False)), F.col("_year")).otherwise(
-            F.raise_error(F.concat(F.lit("row outside the listed months: "), F.concat_ws("-", *MONTH))).cast("int")
-        ),
-    )
+    stray = F.raise_error(F.concat(F.lit("row outside the listed months: "), F.concat_ws("-", *MONTH))).cast("int")
+    listed = F.coalesce(at.isin(list(numbers)), F.lit(False))
+    guarded = laid_out.withColumn("_year", F.when(listed, F.col("_year")).otherwise(stray))
     seen = Observation()
-    observed = guarded.observe(
-        seen,
-        *[F.count_if(is_month).alias(m) for m, is_month in belongs.items()],
-        *[value.alias(name) for name, value in (counts or {}).items()],
-    )
-    write_partitions(observed, path, MONTH)
+    extra = [value.alias(name) for name, value in (counts or {}).items()]
+    write_partitions(guarded.observe(seen, F.collect_set(at).alias("__met"), *extra), path, MONTH)
     result = dict(seen.get)
-    for month, (year, number) in pairs.items():
-        if not result[month]:
-            empty = df.limit(0).drop(*MONTH)
-            empty.write.mode("overwrite").parquet(f"{path}/_year={year}/_month={number}")
+    met = [numbers[n] for n in result.pop("__met")]
+    result |= dict.fromkeys(months, 0)
+    if met:
+        table = read_months(df.sparkSession, path, met)
+        for row in table.groupBy(*MONTH).agg(F.count(F.lit(1)).alias("rows")).collect():
+            result[numbers[row["_year"] * 12 + row["_month"]]] = row["rows"]
+    for month in set(months) - set(met):
+        year, number = split_month(month)
+        df.limit(0).drop(*MONTH).write.mode("overwrite").parquet(f"{path}/_year={year}/_month={number}")
     return result
 
 

@@ -30,20 +30,35 @@ def _one_schema(spark: SparkSession, paths: Sequence[str]) -> T.StructType | Non
 def read_raw(spark: SparkSession, paths: Sequence[str], schema: T.StructType, *also: str | Column) -> DataFrame:
     """All raw files as one frame aligned to the contract, whatever each file's own types.
 
-    Files that agree are one scan. Where months disagree, on integer widths say,
-    they are grouped by schema: one scan per distinct schema (a handful), not one
-    per file. `also` may name hidden columns of the scan, as `_metadata.file_name`.
+    Files that agree are one scan, with the columns of all of them. Where types
+    disagree, on integer widths say, the files of all paths are grouped by schema,
+    also within a folder: one scan per distinct schema (a handful), none of which
+    reads a file under another's types. `also` may name hidden columns of the
+    scan, as `_metadata.file_name`.
     """
     common = _one_schema(spark, paths)
     if common is not None:
         return align(spark.read.schema(common).parquet(*paths), schema, *also)
-    by_schema: dict[str, list[str]] = {}
-    for path in paths:
-        by_schema.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
-    scans = [align(spark.read.parquet(*same), schema, *also) for same in by_schema.values()]
+    by_schema: dict[str, tuple[T.StructType, list[str]]] = {}
+    for found, files in _agreeing(spark, sorted(spark.read.parquet(*paths).inputFiles())):
+        by_schema.setdefault(found.json(), (found, []))[1].extend(files)
+    scans = [align(spark.read.schema(found).parquet(*files), schema, *also) for found, files in by_schema.values()]
     return reduce(DataFrame.unionByName, scans)
 
 
+def _agreeing(spark: SparkSession, files: Sequence[str]) -> list[tuple[T.StructType, list[str]]]:
+    """Runs of files whose footers merge, each read by one job; a run that does not merge is halved.
+
+    Files come in name order, so a type that changed with some month costs a few
+    jobs, as many as halving takes to find that month.
+    """
+    found = _one_schema(spark, files)
+    if found is not None:
+        return [(found, list(files))]
+    middle = len(files) // 2
+    return _agreeing(spark, files[:middle]) + _agreeing(spark, files[middle:])
+
+
 def read_bronze_source(
     spark: SparkSession,
     paths: Sequence[str],
@@ -85,8 +100,11 @@ def corrupt_rows(csv: DataFrame) -> DataFrame:
 
 def in_months(months: Sequence[str], year: str = "_year", month: str = "_month") -> Column:
     """True for rows of the listed yyyy-MM months; on partition columns it prunes directories."""
-    pairs = [split_month(m) for m in months]
-    return reduce(Column.__or__, [(F.col(year) == y) & (F.col(month) == m) for y, m in pairs], F.lit(False))
+    by_year: dict[int, list[int]] = {}
+    for y, m in map(split_month, months):
+        by_year.setdefault(y, []).append(m)
+    terms = [(F.col(year) == y) & F.col(month).isin(listed) for y, listed in by_year.items()]
+    return reduce(Column.__or__, terms, F.lit(False))
 
 
 def read_months(spark: SparkSession, path: str, months: Sequence[str] | None = None) -> DataFrame:
@@ -117,16 +135,20 @@ def exists(spark: SparkSession, name_or_path: str) -> bool:
         raise
 
 
-def row_counts(spark: SparkSession, tables: Mapping[str, DataFrame | None]) -> DataFrame:
-    """(table_name, row_count) for each table; a missing one (None) counts null.
+def row_counts(spark: SparkSession, tables: Mapping[str, DataFrame | str]) -> DataFrame:
+    """(table_name, row_count) for each table, a frame or a path; a path where none is counts null.
 
     Parquet counts come from file footers.
     """
+    found = {
+        name: t if isinstance(t, DataFrame) else spark.read.parquet(t) if exists(spark, t) else None
+        for name, t in tables.items()
+    }
     parts = [
         spark.range(1).select(F.lit(name).alias("table_name"), F.lit(None).cast("long").alias("row_count"))
         if df is None
         else df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
-        for name, df in tables.items()
+        for name, df in found.items()
     ]
     return reduce(DataFrame.unionByName, parts)
 

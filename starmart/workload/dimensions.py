@@ -161,3 +161,15 @@ def date_attributes(spark, sf_dir):
         F.dayofweek(d).alias("day_of_week"),
         F.weekofyear(d).alias("week_of_year"),
     )
+
+
+@query(
+    "dim_date_far",
+    f"""WITH {dim_date("(SELECT min(o_orderdate)::TIMESTAMP FROM orders)", "TIMESTAMP '2300-12-31 00:00:00'")}
+        SELECT {DATE_OUTPUT} FROM dim_date""",
+)
+def dim_date_far(spark, sf_dir):
+    """The calendar of orders of which one lies centuries away."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("day"))
+    far = orders.unionAll(orders.limit(1).select(F.lit("2300-12-31").cast("date").alias("day")))
+    return dims.calendar_over(dims.date_range(far, "day"))

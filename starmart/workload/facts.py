@@ -9,7 +9,7 @@ from starmart.functions.measures import minutes_between
 from starmart.operators import dims, marts
 from starmart.operators.fact import build_fact
 from starmart.operators.gate import accepted, trip_rules
-from starmart.operators.star import fk_orphans, look_up, small_enough, star_join
+from starmart.operators.star import fk_orphans, look_up, star_join
 from starmart.sources.lake import without_surrogate
 from starmart.workload.registry import (
     CODES,
@@ -139,7 +139,7 @@ def fact_without_surrogate(spark, sf_dir):
 )
 def zone_lookup_left(spark, sf_dir):
     trips = event_trips(spark, sf_dir).select("event_id", "PULocationID")
-    lookup = small_enough(zones(spark, sf_dir))
+    lookup = zones(spark, sf_dir)
     return look_up(trips, lookup, "PULocationID", "LocationID", "pickup_", ["Borough", "Zone"])
 
 
@@ -153,7 +153,7 @@ def zone_lookup_left(spark, sf_dir):
 )
 def role_playing_locations(spark, sf_dir):
     trips = line_trips(spark, sf_dir, ["PULocationID", "DOLocationID"])
-    lookup, names = small_enough(zones(spark, sf_dir)), ["Borough", "Zone"]
+    lookup, names = zones(spark, sf_dir), ["Borough", "Zone"]
     picked = look_up(trips, lookup, "PULocationID", "LocationID", "pickup_", names)
     return look_up(picked, lookup, "DOLocationID", "LocationID", "dropoff_", names)
 

@@ -4,8 +4,10 @@ from pyspark.sql import functions as F
 
 from starmart import contracts
 from starmart.plans.jobs import Lake, run
+from starmart.plans.ledger import job_stats
 from starmart.sources.lake import scratch_folder, write_partitions
-from starmart.workload.registry import LINE_FACT, query
+from starmart.sources.scan import layer_health
+from starmart.workload.registry import LINE_CHECKS, LINE_FACT, query
 from starmart.workload.testbed import LOADED_AT, line_rules, line_trips, zones
 
 # Files loaded a second time, which must change nothing.
@@ -62,3 +64,30 @@ def full_run(spark, sf_dir):
     )
     told = [df.select(F.lit(name).alias("told_by"), "*") for name, df in (("facts", facts), ("mart", shares))]
     return told[0].unionByName(told[1])
+
+
+@query(
+    "layer_health",
+    """SELECT * FROM (VALUES ('trips', true, true), ('zones', true, true), ('weather', false, false))
+         AS t(layer, present, has_files)""",
+)
+def lake_health(spark, sf_dir):
+    """The layers of a lake after a run, and one that no job writes."""
+    lake = loaded_lake(spark, sf_dir)
+    layers = layer_health(spark, {**lake.layers(), "weather": f"{lake.root}/bronze/weather"})
+    return layers.select("layer", "present", (F.col("files") > 0).alias("has_files"))
+
+
+@query(
+    "job_stats",
+    f"""WITH {LINE_CHECKS}
+        SELECT 'gate' AS stage, CAST(count(*) AS BIGINT) AS records_in, CAST(count_if(ok) AS BIGINT) AS records_out,
+          CAST(count_if(NOT ok) AS BIGINT) AS records_rejected
+        FROM gated
+        UNION ALL SELECT 'fact', CAST(count_if(ok) AS BIGINT), CAST(count_if(ok) AS BIGINT), 0 FROM gated""",
+)
+def first_run_stats(spark, sf_dir):
+    """What the first full run's gate and fact stages took in, wrote and rejected."""
+    lake = loaded_lake(spark, sf_dir)
+    stats = job_stats(spark.read.parquet(f"{lake.ledger}/stages")).filter("run_id = 'first' AND stage IN ('gate', 'fact')")
+    return stats.drop("run_id")

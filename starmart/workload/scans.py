@@ -6,8 +6,8 @@ from starmart import contracts
 from starmart.contracts import align, contract, contract_report
 from starmart.operators.fact import TRIPS, code_columns, measure_columns
 from starmart.operators.lineage import add_lineage
-from starmart.sources.lake import MONTH, scratch_folder, write_partitions
-from starmart.sources.scan import in_months, read_months, row_counts, scan
+from starmart.sources.lake import MONTH, scratch_folder, write_by_date, write_partitions
+from starmart.sources.scan import in_months, read_months, read_raw, row_counts, scan
 from starmart.workload.registry import LINE_TRIPS, query
 from starmart.workload.testbed import LOADED_AT, line_trips, table
 
@@ -200,7 +200,7 @@ def distinct_partitions(spark, sf_dir):
     + " UNION ALL SELECT 'no_such_table', NULL",
 )
 def table_row_counts(spark, sf_dir):
-    return row_counts(spark, {**{t: table(spark, sf_dir, t) for t in TABLES}, "no_such_table": None})
+    return row_counts(spark, {**{t: table(spark, sf_dir, t) for t in TABLES}, "no_such_table": f"{sf_dir}/no_such_table.parquet"})
 
 
 @query(
@@ -219,3 +219,63 @@ def idempotent_reload(spark, sf_dir):
     return loaded.groupBy(*MONTH).agg(
         F.count(F.lit(1)).alias("orders"), F.countDistinct("o_orderkey").alias("distinct_orders")
     )
+
+
+@query(
+    "months_pruned",
+    """SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS _year, CAST(month(o_orderdate) AS INTEGER) AS _month
+       FROM orders WHERE strftime(o_orderdate, '%Y-%m') IN ('1995-03', '1996-12', '1999-07')""",
+)
+def months_pruned(spark, sf_dir):
+    """The listed months of a lake table: other months' folders are not read."""
+    folder = scratch_folder(spark, "months")
+    write_partitions(order_months(spark, sf_dir).select("o_orderkey", *MONTH), folder, MONTH, rebalance=True)
+    return read_months(spark, folder, MONTHS)
+
+
+@query(
+    "write_by_date",
+    """SELECT strftime(CAST(ts AS TIMESTAMP), '%Y-%m-%d') AS event_date, CAST(count(*) AS BIGINT) AS events,
+         CAST(count(DISTINCT event_id) AS BIGINT) AS distinct_events
+       FROM events GROUP BY 1""",
+)
+def dated_events(spark, sf_dir):
+    """Events written by date, one event type a second time: each date holds what was last written for it."""
+    folder = scratch_folder(spark, "dates")
+    events = table(spark, sf_dir, "events").select("event_id", "ts")
+    write_by_date(events, folder, "ts", "event_date")
+    write_by_date(events, folder, "ts", "event_date")
+    by_date = spark.read.parquet(folder).groupBy("event_date")
+    return by_date.agg(F.count(F.lit(1)).alias("events"), F.countDistinct("event_id").alias("distinct_events"))
+
+
+MIXED = """
+  SELECT count(VendorID) AS vendors, count(RatecodeID) AS rate_codes, CAST(sum(VendorID) AS BIGINT) AS vendor_sum,
+    count(CASE WHEN _month % 2 = 1 THEN Airport_fee END) AS airport_fees, CAST(count(*) AS BIGINT) AS trips
+  FROM line_trips"""
+
+
+@query("raw_mixed_schemas", f"WITH {LINE_TRIPS} SELECT 'wide first' AS told_by, * FROM ({MIXED}) UNION ALL SELECT 'narrow first', * FROM ({MIXED})")
+def raw_mixed_schemas(spark, sf_dir):
+    """One folder whose files differ in integer width and in having a column, in both orders: no value is lost."""
+    trips = line_trips(spark, sf_dir, [*contracts.RAW_TRIPS.fieldNames(), "_month"])
+    odd = F.col("_month") % 2 == 1
+    codes = ["VendorID", "RatecodeID"]
+    wide = trips.filter(odd).withColumns({c: F.col(c).cast("long") for c in codes}).drop("_month")
+    narrow = trips.filter(~odd).withColumns({c: F.col(c).cast("int") for c in codes}).drop("_month", "Airport_fee")
+    told = []
+    for name, order in (("wide first", (wide, narrow)), ("narrow first", (narrow, wide))):
+        folder = scratch_folder(spark, "mixed")
+        for number, part in enumerate(order):
+            part.write.parquet(f"{folder}/2024-01/part={number}")
+        rows = read_raw(spark, [f"{folder}/2024-01"], contracts.RAW_TRIPS)
+        told.append(
+            rows.agg(
+                F.count("VendorID").alias("vendors"),
+                F.count("RatecodeID").alias("rate_codes"),
+                F.sum("VendorID").alias("vendor_sum"),
+                F.count("Airport_fee").alias("airport_fees"),
+                F.count(F.lit(1)).alias("trips"),
+            ).select(F.lit(name).alias("told_by"), "*")
+        )
+    return told[0].unionByName(told[1])

@@ -18,12 +18,18 @@ sys.path.insert(0, str(ROOT))
 
 from starmart import contracts  # noqa: E402
 
+# The trips, zones and invalid rows that results are stated for.
 TRIPS = [
-    (1, (15, 10, 30), (15, 10, 45), 2, 3.5, 161, 237, 1, "N", 1, 15.50, 1.0, 0.5, 0.3, 3.0, 0.0, 20.30, 2.5, 0.0),
-    (2, (15, 14, 0), (15, 14, 30), 1, 8.2, 138, 265, 1, "N", 2, 28.00, 0.0, 0.5, 0.3, 0.0, 6.55, 35.35, 2.5, 0.0),
-    (1, (16, 8, 15), (16, 8, 45), 3, 5.1, 237, 161, 1, "N", 1, 22.00, 2.5, 0.5, 0.3, 5.0, 0.0, 30.30, 2.5, 0.0),
-    (1, (16, 9, 0), (16, 9, 5), 1, 0.0, 161, 161, 1, "N", 1, 5.00, 0.0, 0.5, 0.3, 1.0, 0.0, 6.80, 2.5, 0.0),
-    (2, (17, 6, 0), (17, 7, 30), 2, 45.0, 132, 265, 2, "N", 1, 150.00, 0.0, 0.5, 0.3, 30.0, 12.0, 195.30, 0.0, 1.75),
+    (1, datetime(2023, 1, 15, 10, 30), datetime(2023, 1, 15, 10, 45),
+     2, 3.5, 161, 237, 1, "N", 1, 15.50, 1.0, 0.5, 0.3, 3.0, 0.0, 20.30, 2.5, 0.0),
+    (2, datetime(2023, 1, 15, 14, 0), datetime(2023, 1, 15, 14, 30),
+     1, 8.2, 138, 265, 1, "N", 2, 28.00, 0.0, 0.5, 0.3, 0.0, 6.55, 35.35, 2.5, 0.0),
+    (1, datetime(2023, 1, 16, 8, 15), datetime(2023, 1, 16, 8, 45),
+     3, 5.1, 237, 161, 1, "N", 1, 22.00, 2.5, 0.5, 0.3, 5.0, 0.0, 30.30, 2.5, 0.0),
+    (1, datetime(2023, 1, 16, 9, 0), datetime(2023, 1, 16, 9, 5),
+     1, 0.0, 161, 161, 1, "N", 1, 5.00, 0.0, 0.5, 0.3, 1.0, 0.0, 6.80, 2.5, 0.0),
+    (2, datetime(2023, 1, 17, 6, 0), datetime(2023, 1, 17, 7, 30),
+     2, 45.0, 132, 265, 2, "N", 1, 150.00, 0.0, 0.5, 0.3, 30.0, 12.0, 195.30, 0.0, 1.75),
 ]
 ZONES = [
     (1, "EWR", "Newark Airport", "EWR"),
@@ -33,15 +39,6 @@ ZONES = [
     (237, "Manhattan", "Upper East Side South", "Yellow Zone"),
     (265, "Queens", "Astoria", "Boro Zone"),
 ]
-
-
-def trip_rows():
-    def stamp(day, hour, minute):
-        return datetime(2023, 1, day, hour, minute)
-
-    return [(r[0], stamp(*r[1]), stamp(*r[2]), *r[3:]) for r in TRIPS]
-
-
 INVALID = [
     (1, datetime(2023, 1, 15, 10, 0), datetime(2023, 1, 15, 10, 15), 1, 2.0, 161, 237, 1, "N", 1,
      -5.00, 0.0, 0.5, 0.3, 0.0, 0.0, -4.20, 0.0, 0.0),
@@ -73,7 +70,7 @@ def folder():
 
 @pytest.fixture
 def trips(spark):
-    return spark.createDataFrame(trip_rows(), contracts.RAW_TRIPS)
+    return spark.createDataFrame(TRIPS, contracts.RAW_TRIPS)
 
 
 @pytest.fixture

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 
 from starmart import contracts
 from starmart.operators import gate
-from tests.conftest import trip_rows
+from tests.conftest import TRIPS
 
 FIELDS = ["VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime", "passenger_count", "trip_distance", "PULocationID",
           "DOLocationID"]
@@ -17,7 +17,7 @@ FIELDS = ["VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime", "passenge
 def changed(spark, **values):
     """The first fixture trip with some values replaced."""
     names = contracts.RAW_TRIPS.fieldNames()
-    row = {**dict(zip(names, trip_rows()[0], strict=True)), **values}
+    row = {**dict(zip(names, TRIPS[0], strict=True)), **values}
     return spark.createDataFrame([tuple(row[n] for n in names)], contracts.RAW_TRIPS)
 
 

@@ -11,7 +11,7 @@ from starmart import contracts
 from starmart.plans import jobs
 from starmart.plans.jobs import Lake, open_ledger, read_mart, run
 from starmart.sources.scan import read_months
-from tests.conftest import INVALID, ZONES, trip_rows
+from tests.conftest import INVALID, TRIPS, ZONES
 
 
 def month_file(folder, name, rows, drop=(), **types):
@@ -32,9 +32,9 @@ def shifted(rows, month):
 
 @pytest.fixture
 def raw(spark, folder):
-    january = month_file(folder, "trips_2023-01.parquet", [*trip_rows(), *INVALID])
+    january = month_file(folder, "trips_2023-01.parquet", [*TRIPS, *INVALID])
     february = month_file(
-        folder, "trips_2023-02.parquet", shifted(trip_rows(), 2), drop=["Airport_fee"],
+        folder, "trips_2023-02.parquet", shifted(TRIPS, 2), drop=["Airport_fee"],
         VendorID=pa.int32(), passenger_count=pa.float64(), fare_amount=pa.float32(),
     )
     zones = f"{folder}/zones.csv"
@@ -110,7 +110,7 @@ def test_marts_add_up_over_months(spark, folder, raw):
 def test_the_ledger_tells_the_run(spark, folder, raw):
     paths, zones = raw
     lake = Lake(f"{folder}/lake")
-    undated = month_file(folder, "trips.parquet", trip_rows()[:2])
+    undated = month_file(folder, "trips.parquet", TRIPS[:2])
     run(spark, lake, [*paths, undated], zones, run_id="r1", loaded_at=LOADED)
     stages = {r.stage: (r.records_in, r.records_out, r.records_rejected) for r in open_ledger(spark, lake, "full", "r1").this_run().collect()}
     assert stages["bronze_zones"] == (6, 6, 0)
@@ -122,7 +122,7 @@ def test_the_ledger_tells_the_run(spark, folder, raw):
 def test_several_files_in_a_month_get_keys_of_their_own(spark, folder, raw):
     _, zones = raw
     lake = Lake(f"{folder}/lake")
-    parts = [month_file(folder, f"{n}_2023-03.parquet", shifted(trip_rows(), 3)) for n in "ab"]
+    parts = [month_file(folder, f"{n}_2023-03.parquet", shifted(TRIPS, 3)) for n in "ab"]
     result = run(spark, lake, parts, zones, loaded_at=LOADED)
     assert result["facts_written"] == 10
     assert len({key for key, *_ in facts(spark, lake)}) == 10
@@ -154,6 +154,6 @@ def test_months_are_loaded_together(spark, folder, raw):
         run(spark, Lake(f"{folder}/{name}"), files, zones, loaded_at=LOADED)
         return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
 
-    march = [month_file(folder, f"trips_2023-{m:02}.parquet", shifted(trip_rows(), m)) for m in range(3, 7)]
+    march = [month_file(folder, f"trips_2023-{m:02}.parquet", shifted(TRIPS, m)) for m in range(3, 7)]
     one, four = jobs_of("one", march[:1]), jobs_of("four", march)
     assert four - one < 2 * 3  # three months more: at most a footer or a listing each

@@ -6,6 +6,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starmart.operators.lineage import month_of_path, number_files, split_month
 from starmart.operators.merge import insert_if_absent, upsert
@@ -202,7 +203,7 @@ def test_existence_and_row_counts(spark, folder, trips):
     assert scan.exists(spark, f"{folder}/t")
     assert not scan.exists(spark, f"{folder}/none")
     assert not scan.exists(spark, "no_such_table")
-    counts = scan.row_counts(spark, {"t": spark.read.parquet(f"{folder}/t"), "none": None}).collect()
+    counts = scan.row_counts(spark, {"t": spark.read.parquet(f"{folder}/t"), "none": f"{folder}/none"}).collect()
     assert {(r.table_name, r.row_count) for r in counts} == {("t", 5), ("none", None)}
     layers = scan.layer_health(spark, {"a": f"{folder}/t", "b": f"{folder}/u"})
     assert scan.healthy(layers).first() == (False, ["b"])
@@ -227,3 +228,26 @@ def test_shared_folder(spark, monkeypatch):
 
     with pytest.raises(ValueError, match="shared by all executors"):
         lake.shared_folder(Unset())
+
+
+def test_files_of_one_folder_keep_their_own_types(spark, folder):
+    wide = spark.createDataFrame([(1, 5.0), (2, None)], "VendorID long, Airport_fee double")
+    narrow = spark.createDataFrame([(3,), (4,)], "VendorID int")
+    contract = T.StructType([T.StructField("VendorID", T.LongType()), T.StructField("Airport_fee", T.DoubleType())])
+    for name, parts in (("wide", (wide, narrow)), ("narrow", (narrow, wide))):
+        for number, part in enumerate(parts):
+            part.coalesce(1).write.mode("append").parquet(f"{folder}/{name}/{number}")
+        rows = scan.read_raw(spark, [f"{folder}/{name}/0", f"{folder}/{name}/1"], contract).collect()
+        assert sorted((r.VendorID, r.Airport_fee) for r in rows) == [(1, 5.0), (2, None), (3, None), (4, None)]
+
+
+def test_three_hundred_months_are_counted_and_emptied(spark, folder):
+    months = [f"{2000 + y}-{m:02}" for y in range(25) for m in range(1, 13)]
+    rows = spark.range(600).select(
+        F.col("id").cast("string").alias("v"),
+        (2000 + F.floor(F.col("id") % 300 / 12)).cast("int").alias("_year"),
+        (F.col("id") % 300 % 12 + 1).cast("int").alias("_month"),
+    )
+    assert lake.replace_months(rows, f"{folder}/t", months, rebalance=True) == dict.fromkeys(months, 2)
+    left = lake.replace_months(rows.where("_year > 2000"), f"{folder}/t", months, rebalance=True)
+    assert sum(left.values()) == spark.read.parquet(f"{folder}/t").count() == 576

@@ -149,3 +149,12 @@ def test_metric_types_are_checked(spark, folder):
     assert runs.metrics().first().tags == {"t": "a"}
     with pytest.raises(ValueError):
         runs.metric("rows", 5, "dial")
+
+
+def test_gauges_of_one_time_do_not_depend_on_the_order_of_rows(spark):
+    at = datetime(2024, 1, 1)
+    rows = [("g", "gauge", v, at, {}) for v in (0.0, 7.0, 3.0)] + [("h", "timer", v, at, {}) for v in (2.0, None, 4.0)]
+    metrics = spark.createDataFrame(rows, "name string, type string, value double, ts timestamp, tags map<string, string>")
+    for df in (metrics, metrics.repartition(5), metrics.orderBy("value")):
+        found = {r.name: r for r in metric_rollup(df).collect()}
+        assert found["g"].latest == 7.0 and found["h"].average == 3.0

@@ -7,9 +7,10 @@ from starmart import contracts
 from starmart.contracts import align
 from starmart.operators import dims, gate
 from starmart.operators.fact import TRIPS, build_fact
+from starmart.operators.merge import upsert
 from starmart.operators.star import star_join
 from starmart.sources.lake import MONTH, write_partitions
-from starmart.sources.scan import read_bronze_source, read_months, scan
+from starmart.sources.scan import in_months, read_bronze_source, read_months, scan
 
 
 def plan(df):
@@ -58,10 +59,10 @@ def test_scan_reads_only_what_it_returns(spark, bronze):
     assert "fare_amount" in schema and "PULocationID" in schema and "total_amount" not in schema
 
 
-def test_star_join_moves_no_fact(spark, bronze, zones):
+def test_star_join_broadcasts_by_bytes(spark, bronze, zones, folder):
     fact = build_fact(read_months(spark, bronze))
     bounds = dims.with_buffer_years(dims.date_range(spark.read.parquet(bronze), "tpep_pickup_datetime"))
-    tables = {
+    made = {
         "dim_date": dims.calendar_over(bounds),
         "dim_time": dims.minute_of_day(spark),
         "dim_location": dims.locations(zones),
@@ -69,11 +70,29 @@ def test_star_join_moves_no_fact(spark, bronze, zones):
         "dim_ratecode": dims.rate_codes(spark),
         "dim_payment_type": dims.payment_types(spark),
     }
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    for name, df in made.items():
+        df.write.parquet(f"{folder}/{name}")
+    tables = {name: spark.read.parquet(f"{folder}/{name}") for name in made}
+    text = plan(star_join(fact, tables))
+    assert text.count("BroadcastHashJoin") == 8
+    assert "SortMergeJoin" not in text and "hashpartitioning" not in text
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 1)
     try:
         text = plan(star_join(fact, tables))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert text.count("BroadcastHashJoin") == 8
-    assert "SortMergeJoin" not in text
-    assert "hashpartitioning" not in text
+    assert "BroadcastHashJoin" not in text
+
+
+def test_listing_more_months_adds_no_expressions(spark, bronze):
+    def size(years):
+        months = [f"{2000 + y}-{m:02}" for y in range(years) for m in range(1, 13)]
+        return in_months(months)._jc.toString().count("_month")
+
+    assert size(1) == 1 and size(25) == 25
+
+
+def test_merging_needs_no_sorted_aggregate_and_no_full_join(spark):
+    target = spark.range(100).selectExpr("id", "'a' AS name", "'b' AS note")
+    text = plan(upsert(target, target.limit(3), ["id"], ["name"]))
+    assert "SortAggregate" not in text and "FullOuter" not in text
