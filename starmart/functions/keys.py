@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 ROW_ID = "_row_id"
 
-# Bit layout of a position key: month number, file number within the month, row number.
-MONTH_BITS, FILE_BITS, ROW_BITS = 17, 14, 32
+# Bit layout of a position key: month number, file number within the month, row number: 1365 years, half a
+# million files a month, a billion rows a file.
+MONTH_BITS, FILE_BITS, ROW_BITS = 14, 19, 30
+FIRST_YEAR = 1000
 MAX_FILES_PER_MONTH = 1 << FILE_BITS
 MAX_ROWS_PER_FILE = 1 << ROW_BITS
 
@@ -34,7 +36,7 @@ def position_key(year: Column, month: Column, file_number: Column, row_index: Co
     Raw files never change, so the key is the same on every run and needs no
     shuffle and no uniqueness check. A file or row number out of range fails.
     """
-    month_number = year.cast("long") * 12 + month - 1
+    month_number = (year.cast("long") - FIRST_YEAR) * 12 + month - 1
     packed = F.shiftleft(F.shiftleft(month_number, FILE_BITS) + file_number, ROW_BITS) + row_index
     fits = (
         month_number.between(0, (1 << MONTH_BITS) - 1)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame
@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from starmart.functions.keys import MAX_FILES_PER_MONTH, ROW_ID, position_key
 
+# The number of a raw file within its month, as the file register of a lake has it.
+FILE = "_file"
+
 # Fixed value: how a month is written in a path; standing alone, so not inside a number or a hash.
 MONTH_PATTERN = r"(?<![0-9A-Za-z])([0-9]{4}-(?:0[1-9]|1[0-2]))(?![0-9A-Za-z])"
 LAST_MONTH = ".*" + MONTH_PATTERN
@@ -50,27 +53,40 @@ def add_lineage(df: DataFrame, source_file: Column, source_month: Column, loaded
     )
 
 
-def number_files(paths: Sequence[str]) -> list[tuple[str, str, int]]:
-    """(month, file name, number within the month) in name order; names must differ within a month."""
+def number_files(
+    paths: Sequence[str], known: Mapping[tuple[str, str], int] | None = None
+) -> list[tuple[str, str, int]]:
+    """(month, file name, number within the month) of each file; names must differ within a month.
+
+    A file in `known` (by month and name) keeps its number. New ones take the next
+    free numbers of their month in name order, so no number is ever used again.
+    """
+    numbers = dict(known or {})
+    free: dict[str, int] = {}
+    for (month, _), number in numbers.items():
+        free[month] = max(free.get(month, 0), number + 1)
     by_month: dict[str, list[str]] = {}
     for path in sorted(map(unquote, paths)):
         by_month.setdefault(month_of_path(path) or "", []).append(path.rsplit("/", 1)[-1])
     for month, names in by_month.items():
         if len(set(names)) < len(names):
             raise ValueError(f"two files of {month} have the same name, so their rows cannot be told apart")
-        if len(names) > MAX_FILES_PER_MONTH:
-            raise ValueError(f"{len(names)} files in {month}, more than {MAX_FILES_PER_MONTH}")
-    return [(month, name, i) for month, names in by_month.items() for i, name in enumerate(sorted(names))]
+        for name in sorted(names):
+            if (month, name) not in numbers:
+                numbers[month, name] = free.get(month, 0)
+                free[month] = numbers[month, name] + 1
+        if free[month] > MAX_FILES_PER_MONTH:
+            raise ValueError(f"{free[month]} files in {month}, more than {MAX_FILES_PER_MONTH}")
+    return [(month, name, numbers[month, name]) for month, names in by_month.items() for name in sorted(names)]
 
 
-def add_row_id(df: DataFrame, files: Sequence[str], row_index: Column) -> DataFrame:
-    """Add `_row_id` from the month, the file's number within the month and the row's number.
+def add_row_id(df: DataFrame, numbered: Sequence[tuple[str, str, int]], row_index: Column) -> DataFrame:
+    """Add `_file`, the file's number within the month, and `_row_id`: month, that number and the row's number.
 
     Where every month is a single file the number is zero and there is nothing to
     look up; else the list of files (at most MAX_FILES_PER_MONTH a month, as
     checked) is looked up; Spark broadcasts it by its bytes.
     """
-    numbered = number_files(files)
     if all(number == 0 for _, _, number in numbered):
         located, file_number = df, F.lit(0).cast("long")
     else:
@@ -78,4 +94,4 @@ def add_row_id(df: DataFrame, files: Sequence[str], row_index: Column) -> DataFr
         same_file = (F.col("_source_month") == F.col("__month")) & (F.col("_source_file") == F.col("__name"))
         located, file_number = df.join(listing, same_file, "left").drop("__month", "__name"), F.col("__number")
     row_id = position_key(F.col("_year"), F.col("_month"), file_number, row_index)
-    return located.withColumn(ROW_ID, row_id).drop("__number")
+    return located.withColumns({FILE: file_number.cast("int"), ROW_ID: row_id}).drop("__number")

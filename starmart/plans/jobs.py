@@ -16,11 +16,11 @@ from starmart.functions.measures import exact_average
 from starmart.operators import dims, gate
 from starmart.operators.fact import TRIPS, build_fact
 from starmart.operators.gate import Rule
-from starmart.operators.lineage import month_of_path
+from starmart.operators.lineage import FILE, month_of_path
 from starmart.operators.star import TRIP_STAR, fk_orphans
 from starmart.plans.ledger import RunLedger
-from starmart.sources.lake import load, load_dimension, replace_months
-from starmart.sources.scan import CORRUPT, clean_rows, exists, read_bronze_source, read_csv, read_months
+from starmart.sources.lake import load, load_dimension, register_files, replace_files, replace_months
+from starmart.sources.scan import CORRUPT, clean_rows, exists, raw_files, read_bronze_source, read_csv, read_months
 
 
 @dataclass(frozen=True)
@@ -33,6 +33,10 @@ class Lake:
     def bronze_trips(self) -> str:
         return f"{self.root}/bronze/trips"
 
+    @property
+    def files(self) -> str:
+        return f"{self.root}/bronze/files"
+
     @property
     def bronze_zones(self) -> str:
         return f"{self.root}/bronze/zones"
@@ -73,8 +77,9 @@ def ingest(
 ) -> list[str]:
     """Land raw month files and the zone lookup in bronze; returns the months landed.
 
-    Each month present is replaced, others stay. All months are one job whose
-    tasks write where they read: no shuffle. Files without a month in their path
+    Each file present is replaced; other files, of the same month too, stay with
+    their rows and keys. All months are one job whose tasks write where they read:
+    no shuffle. Files without a month in their path
     are not loaded; their rows are counted as rejected.
     """
     if zones_csv is not None:
@@ -94,8 +99,9 @@ def ingest(
             stage.records_rejected = spark.read.parquet(*undated).count()
         if dated:
             now = F.lit(loaded_at or datetime.now(timezone.utc))
-            raw = read_bronze_source(spark, dated, contracts.RAW_TRIPS, now)
-            written = replace_months(align(raw, contracts.BRONZE_TRIPS, ROW_ID), lake.bronze_trips, months)
+            numbered = register_files(spark, lake.files, raw_files(spark, dated))
+            raw = read_bronze_source(spark, dated, contracts.RAW_TRIPS, now, numbered)
+            written = replace_files(align(raw, contracts.BRONZE_TRIPS, ROW_ID, FILE), lake.bronze_trips, numbered)
             stage.records_out = written_rows(written, months)
         stage.records_in = stage.records_out + stage.records_rejected
     return months
@@ -167,7 +173,7 @@ def build_star(
     upsert, overwrite, or None to leave them.
     """
     rules = rules or gate.trip_rules()
-    bronze = read_months(spark, lake.bronze_trips, months)
+    bronze = read_months(spark, lake.bronze_trips, months).drop(FILE)
     seen = write_rejects(bronze, lake, months, rules, ledger)
     loaded = load_dimensions(spark, lake, seen, ledger, dimensions) if dimensions else {}
     with ledger.stage("fact") as stage:

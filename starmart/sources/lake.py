@@ -9,7 +9,8 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.operators.lineage import split_month
+from starmart.functions.keys import MAX_FILES_PER_MONTH
+from starmart.operators.lineage import FILE, month_of_path, number_files, split_month
 from starmart.operators.merge import insert_if_absent, upsert
 from starmart.sources.jdbc import write_jdbc
 from starmart.sources.scan import exists, read_months
@@ -105,6 +106,52 @@ def replace_months(
     return result
 
 
+def register_files(spark: SparkSession, path: str, files: Sequence[str]) -> list[tuple[str, str, int]]:
+    """(month, name, number) of raw files, from a register in which each file keeps its number for good.
+
+    New files are appended before any of their rows is written, so a run that
+    fails leaves a gap and no number twice. Only the entries of these files' months
+    are read.
+    """
+    months = sorted({month_of_path(f) or "" for f in files})
+    known = {}
+    if exists(spark, path):
+        entries = spark.read.parquet(path).filter(F.col("month").isin(months))
+        known = {(r["month"], r["name"]): r["number"] for r in entries.collect()}
+    numbered = number_files(files, known)
+    new = [entry for entry in numbered if entry[:2] not in known]
+    if new:
+        rows = spark.createDataFrame(new, "month string, name string, number long")
+        rows.coalesce(1).write.mode("append").parquet(path)
+    return numbered
+
+
+def replace_files(df: DataFrame, path: str, numbered: Sequence[tuple[str, str, int]]) -> dict[str, int]:
+    """Replace the rows of the given raw files in a table partitioned by `_year`, `_month`, `_file`.
+
+    Rows of other files of a month stay as they are. A file that has no rows any
+    more is emptied. Returns rows written per month, counted from the new
+    partitions' footers.
+    """
+    by = (*MONTH, FILE)
+    wanted = {(*split_month(month), number): month for month, _, number in numbered}
+    seen = Observation()
+    place = (F.col("_year").cast("long") * 12 + F.col("_month")) * MAX_FILES_PER_MONTH + F.col(FILE)
+    write_partitions(df.observe(seen, F.collect_set(place).alias("met")), path, by)
+    met = {place for place in seen.get["met"]}
+    for year, month, number in wanted:
+        if (year * 12 + month) * MAX_FILES_PER_MONTH + number not in met:
+            empty = df.limit(0).drop(*by)
+            empty.write.mode("overwrite").parquet(f"{path}/_year={year}/_month={month}/{FILE}={number}")
+    written = dict.fromkeys(wanted.values(), 0)
+    table = read_months(df.sparkSession, path, sorted(written))
+    for row in table.groupBy(*by).agg(F.count(F.lit(1)).alias("rows")).collect():
+        key = tuple(row[c] for c in by)
+        if key in wanted:
+            written[wanted[key]] += row["rows"]
+    return written
+
+
 def write_by_date(df: DataFrame, path: str, ts: str, date_column: str, mode: str = "overwrite") -> None:
     """Write partitioned by the date of a timestamp; overwrite replaces the dates present."""
     dated = df.withColumn(date_column, F.to_date(ts))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmart.contracts import align
-from starmart.operators.lineage import add_lineage, add_row_id, month_in_path, split_month
+from starmart.operators.lineage import add_lineage, add_row_id, month_in_path, number_files, split_month
 
 CORRUPT = "_corrupt_record"
 
@@ -40,7 +40,7 @@ def read_raw(spark: SparkSession, paths: Sequence[str], schema: T.StructType, *a
     if common is not None:
         return align(spark.read.schema(common).parquet(*paths), schema, *also)
     by_schema: dict[str, tuple[T.StructType, list[str]]] = {}
-    for found, files in _agreeing(spark, sorted(spark.read.parquet(*paths).inputFiles())):
+    for found, files in _agreeing(spark, raw_files(spark, paths)):
         by_schema.setdefault(found.json(), (found, []))[1].extend(files)
     scans = [align(spark.read.schema(found).parquet(*files), schema, *also) for found, files in by_schema.values()]
     return reduce(DataFrame.unionByName, scans)
@@ -64,8 +64,13 @@ def read_bronze_source(
     paths: Sequence[str],
     raw_schema: T.StructType,
     loaded_at: Column,
+    numbered: Sequence[tuple[str, str, int]] | None = None,
 ) -> DataFrame:
-    """Raw month files with lineage columns and a stable row id taken from file positions."""
+    """Raw month files with lineage columns, and file number and row id from file positions.
+
+    `numbered` is a lake's register of these files; without it, files are numbered
+    by name among those given.
+    """
     hidden = [
         F.col("_metadata.file_name").alias("__file"),
         F.col("_metadata.file_path").alias("__path"),
@@ -73,7 +78,13 @@ def read_bronze_source(
     ]
     raw = read_raw(spark, paths, raw_schema, *hidden)
     with_lineage = add_lineage(raw, F.col("__file"), month_in_path(F.col("__path")), loaded_at)
-    return add_row_id(with_lineage, raw.inputFiles(), F.col("__row")).drop("__file", "__path", "__row")
+    numbers = number_files(raw_files(spark, paths)) if numbered is None else numbered
+    return add_row_id(with_lineage, numbers, F.col("__row")).drop("__file", "__path", "__row")
+
+
+def raw_files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """The files at the paths, in name order: Spark's own listing, which its driver holds anyway."""
+    return sorted(spark.read.parquet(*paths).inputFiles())
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

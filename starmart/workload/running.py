@@ -91,3 +91,32 @@ def first_run_stats(spark, sf_dir):
     lake = loaded_lake(spark, sf_dir)
     stats = job_stats(spark.read.parquet(f"{lake.ledger}/stages")).filter("run_id = 'first' AND stage IN ('gate', 'fact')")
     return stats.drop("run_id")
+
+
+@query(
+    "partial_month_reload",
+    f"""WITH {LINE_FACT}
+        SELECT CAST(count(*) AS BIGINT) AS facts, CAST(count(*) AS BIGINT) AS distinct_keys,
+          CAST(count(*) AS BIGINT) AS kept_keys, CAST(sum(total_amount) AS DOUBLE) AS revenue
+        FROM fact""",
+)
+def partial_month_reload(spark, sf_dir):
+    """Two files of one month, then one of them again: all facts stay, under the keys they had."""
+    folder = scratch_folder(spark, "partial")
+    lake, paths = Lake(f"{folder}/lake"), []
+    trips = line_trips(spark, sf_dir, contracts.RAW_TRIPS.fieldNames())
+    for number, part in enumerate((trips.filter("passenger_count <= 2"), trips.filter("passenger_count > 2"))):
+        paths.append(f"{folder}/raw/{number}_2024-05")
+        part.coalesce(1).write.parquet(paths[-1])
+    zones(spark, sf_dir).write.option("header", True).csv(f"{folder}/zones")
+    run(spark, lake, paths, f"{folder}/zones", line_rules(), "first", LOADED_AT)
+    facts = lake.table("fact_trips")
+    spark.read.parquet(facts).select(F.col("trip_key").alias("first_key")).write.parquet(f"{folder}/first")
+    run(spark, lake, paths[1:], None, line_rules(), "second", LOADED_AT, dimensions=None)
+    now, before = spark.read.parquet(facts), spark.read.parquet(f"{folder}/first")
+    return now.join(before, F.col("trip_key") == F.col("first_key"), "left").agg(
+        F.count(F.lit(1)).alias("facts"),
+        F.countDistinct("trip_key").alias("distinct_keys"),
+        F.count("first_key").alias("kept_keys"),
+        F.sum("total_amount").alias("revenue"),
+    )

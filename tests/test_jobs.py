@@ -62,7 +62,7 @@ def test_files_to_star_and_back_again(spark, folder, raw):
     assert len({key for key, *_ in first}) == 11
 
     bronze = spark.read.parquet(lake.bronze_trips)
-    assert set(bronze.columns) == {*contracts.BRONZE_TRIPS.fieldNames(), "_row_id"}
+    assert set(bronze.columns) == {*contracts.BRONZE_TRIPS.fieldNames(), "_row_id", "_file"}
     assert bronze.filter("_month = 2 AND Airport_fee IS NULL").count() == 5
 
     (reject,) = spark.read.parquet(lake.rejects).collect()
@@ -128,6 +128,27 @@ def test_several_files_in_a_month_get_keys_of_their_own(spark, folder, raw):
     assert len({key for key, *_ in facts(spark, lake)}) == 10
 
 
+def test_reloading_one_file_of_a_month_keeps_the_others_and_all_keys(spark, folder, raw):
+    _, zones = raw
+    lake = Lake(f"{folder}/lake")
+    a, b, c = [month_file(folder, f"{n}_2023-03.parquet", shifted(TRIPS, 3)) for n in "abc"]
+    run(spark, lake, [b, c], zones, loaded_at=LOADED)
+    first = facts(spark, lake)
+    result = run(spark, lake, [c], zones, loaded_at=LOADED)
+    assert result["facts_written"] == 10 and facts(spark, lake) == first
+    run(spark, lake, [a], zones, loaded_at=LOADED)
+    later = facts(spark, lake)
+    assert set(first) < set(later) and len({key for key, *_ in later}) == 15
+
+
+def test_a_trip_centuries_away_is_loaded(spark, folder, raw):
+    _, zones = raw
+    lake = Lake(f"{folder}/lake")
+    far = [(r[0], r[1].replace(year=2300), r[2].replace(year=2300), *r[3:]) for r in TRIPS[:1]]
+    result = run(spark, lake, [month_file(folder, "t_2023-04.parquet", [*TRIPS, *far])], zones, loaded_at=LOADED)
+    assert result["facts_written"] == 6 and all(rows == 0 for rows in result["orphan_rows"].values())
+
+
 def test_nothing_to_load(spark, folder, raw):
     _, zones = raw
     assert run(spark, Lake(f"{folder}/lake"), [], zones)["months_processed"] == 0

@@ -54,7 +54,7 @@ def key_of(spark, year, month, file_number, row):
 def test_position_keys_do_not_meet(spark):
     places = [
         (2023, 1, 0, 0), (2023, 1, 0, 1), (2023, 1, 1, 0), (2023, 2, 0, 0), (2022, 12, 0, 0),
-        (2023, 1, 0, keys.MAX_ROWS_PER_FILE - 1), (2023, 1, keys.MAX_FILES_PER_MONTH - 1, 0), (9999, 12, 0, 0),
+        (2023, 1, 0, keys.MAX_ROWS_PER_FILE - 1), (2023, 1, keys.MAX_FILES_PER_MONTH - 1, 0), (2300, 12, 0, 0),
     ]
     found = {key_of(spark, *place) for place in places}
     assert len(found) == len(places)

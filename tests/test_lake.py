@@ -194,6 +194,10 @@ def test_months_and_file_numbers():
     assert number_files(["/x/b_2023-01.parquet", "/x/a_2023-01.parquet", "/x/c_2023-02.parquet"]) == [
         ("2023-01", "a_2023-01.parquet", 0), ("2023-01", "b_2023-01.parquet", 1), ("2023-02", "c_2023-02.parquet", 0),
     ]
+    known = {("2023-01", "b_2023-01.parquet"): 0, ("2023-01", "gone.parquet"): 4}
+    assert number_files(["/x/a_2023-01.parquet", "/x/b_2023-01.parquet"], known) == [
+        ("2023-01", "a_2023-01.parquet", 5), ("2023-01", "b_2023-01.parquet", 0),
+    ]
     with pytest.raises(ValueError, match="same name"):
         number_files(["/x/2023-01/a.parquet", "/y/2023-01/a.parquet"])
 
