@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmart.llm.text import slices
-from starmart.llm.tokens import SLICE_BYTES, WORD_PIECES, definition_of, encoder, with_end
+from starmart.llm.tokens import WORD_PIECES, definition_of, encoder, with_end
 from starmart.sources.lake import scratch_folder
 
 WINDOW = 2048
@@ -169,7 +169,7 @@ def pieces(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str =
         part = TaskContext.get().partitionId()
         seen = np.zeros(window + 1, np.int64)
         for batch in batches:
-            for own in slices(batch, "text", SLICE_BYTES):
+            for own in slices(batch, "text"):
                 ids, counts = with_end(*own_encoder.encode(own.column("text")), end)
                 raw = ids.astype("<u4").tobytes()
                 rows = []

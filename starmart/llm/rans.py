@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starmart.llm.text import slices
-from starmart.llm.tokens import BYTE_PIECES, SLICE_BYTES, definition_of, encoder, with_end
+from starmart.llm.tokens import BYTE_PIECES, definition_of, encoder, with_end
 from starmart.sources.lake import scratch_folder
 
 END_ID = 0
@@ -28,6 +28,8 @@ LANES = 16
 BLOCK_STEPS = 4096
 STRIDE = 512
 SEGMENT_TOKENS = 1 << 20
+#: Text that is cut into pieces at once.
+SLICE_BYTES = 2 << 20
 
 FORMAT = (
     "part int, segment int, first long, n_tokens long, symbols binary, frequencies binary, steps int, "

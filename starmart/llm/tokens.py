@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import re
 import sys
-from itertools import chain, islice
+from itertools import chain
 from pathlib import Path
 from types import ModuleType
 
@@ -22,15 +22,18 @@ WORD_PIECES = rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^\s{LETTERS}{
 #: Outside these, library versions may class characters differently: such texts go through the tokenizer whole.
 PLAIN = re.compile("[^\t\n\r -~¡-¬®-ÿ]")
 HELD_PIECES = 1 << 20
-#: Text that is cut into pieces at once.
-SLICE_BYTES = 1 << 19
 
 
 class Codes(dict):
-    """Numbers keys in the order in which they are first asked for."""
+    """Numbers keys in the order in which they are first asked for, and lists those that are new."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
 
     def __missing__(self, key: str) -> int:
         code = self[key] = len(self)
+        self.new.append(key)
         return code
 
 
@@ -60,7 +63,7 @@ class Encoder:
     def _clear(self) -> None:
         self.known = Codes()
         self.ids = np.zeros(1 << 16, np.uint32)
-        self.ends = np.zeros(1, np.int64)
+        self.ends = np.zeros(1 << 16, np.int64)
 
     def _learn(self, pieces: list[str]) -> None:
         """Append the ids of new pieces; `ends[k]` is where those of piece k begin, `ends[k + 1]` where they end."""
@@ -79,8 +82,11 @@ class Encoder:
             parts = {k: (a, n) for k, a, n in zip((k for k in range(len(pieces)) if k not in alone), at, sizes, strict=True)}
             own = [np.array(alone[k], np.uint32) if k in alone else ids[parts[k][0] : sum(parts[k])] for k in range(len(pieces))]
             ids, sizes = np.concatenate(own), np.fromiter(map(len, own), np.int64, len(own))
-        before = int(self.ends[-1])
-        self.ends = np.concatenate([self.ends, before + np.cumsum(sizes)])
+        n = len(self.known) - len(pieces)
+        before = int(self.ends[n])
+        if len(self.known) >= len(self.ends):
+            self.ends = np.concatenate([self.ends, np.zeros(max(len(pieces), len(self.ends)), np.int64)])
+        self.ends[n + 1 : n + 1 + len(pieces)] = before + np.cumsum(sizes)
         if before + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros(max(len(ids), len(self.ids)), np.uint32)])
         self.ids[before : before + len(ids)] = ids
@@ -93,10 +99,10 @@ class Encoder:
         odd = {k for k, t in enumerate(whole) if PLAIN.search(t)}
         found = [[] if k in odd else self.find(t.lower() if self.lower else t) for k, t in enumerate(whole)]
         pieces_of = np.fromiter(map(len, found), np.int64, len(found))
-        held = len(self.known)
         codes = np.fromiter(map(self.known.__getitem__, chain.from_iterable(found)), np.int64, int(pieces_of.sum()))
-        if len(self.known) > held:
-            self._learn(list(islice(self.known, held, None)))
+        if self.known.new:
+            new, self.known.new = self.known.new, []
+            self._learn(new)
         starts = self.ends[codes]
         sizes = self.ends[codes + 1] - starts
         ends = np.cumsum(sizes)
