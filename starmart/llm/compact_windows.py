@@ -11,6 +11,7 @@ right and the run to their left, and not by the shingle alone: a frequent phrase
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -239,23 +240,69 @@ def covered(inside: np.ndarray, shortest: int, similarity: float) -> list[tuple[
     return trimmed
 
 
+def matched(own: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """For each shingle of `own` its place in `other`, -1 without one.
+
+    Of several places the one that goes on from the shingle before is taken, or else the nearest to where that leads.
+    """
+    order = np.argsort(other, kind="stable")
+    held = other[order]
+    low, high = np.searchsorted(held, own, "left").tolist(), np.searchsorted(held, own, "right").tolist()
+    places, out, shift = order.tolist(), np.full(len(own), -1, np.int64), 0
+    for k, (first, end) in enumerate(zip(low, high, strict=True)):
+        if first < end:
+            at = bisect_left(places, k + shift, first, end)
+            near = places[max(at - 1, first) : min(at + 1, end)]
+            out[k] = min(near, key=lambda p: abs(p - k - shift))
+            shift = int(out[k]) - k
+    return out
+
+
+def alike(own: np.ndarray, other: np.ndarray) -> tuple[int, float]:
+    """(shingles that both have, similarity) as sets."""
+    mine, theirs = np.unique(own), np.unique(other)
+    both = len(np.intersect1d(mine, theirs, assume_unique=True))
+    return both, both / (len(mine) + len(theirs) - both)
+
+
 def similar_parts(a: np.ndarray, b: np.ndarray, shortest: int, similarity: float) -> list[tuple[int, int, int, int, float]]:
-    """(start, words, start, words, similarity) of passages of `a` and `b` that are similar enough as sets of shingles."""
+    """(start, words, start, words, similarity) of passages of `a` and `b` that are similar enough as sets of shingles.
+
+    A stretch of `a` whose shingles stand in `b` is one passage if the densest stretch of `b` that holds them is similar
+    enough. Otherwise it is split where the place in `b` jumps, and the longest runs of parts that are similar
+    enough by themselves are passages.
+    """
     own, other = run_hashes(a, SHINGLE), run_hashes(b, SHINGLE)
+    least = 2 * similarity / (1 + similarity) * shortest - 1e-9
     out = []
     for first, end in covered(np.isin(own, other), shortest, similarity):
-        mine = np.unique(own[first:end])
-        there = np.flatnonzero(np.isin(other, mine))
+        there = np.flatnonzero(np.isin(other, own[first:end]))
         # The densest stretch of the other text that holds them.
         splits = np.flatnonzero(np.diff(there) > shortest)
-        runs = np.split(there, splits + 1)
-        best = max(runs, key=len)
+        best = max(np.split(there, splits + 1), key=len)
         start, stop = int(best[0]), int(best[-1]) + 1
-        theirs = np.unique(other[start:stop])
-        both = len(np.intersect1d(mine, theirs, assume_unique=True))
-        value = both / (len(mine) + len(theirs) - both)
+        value = alike(own[first:end], other[start:stop])[1]
         if value >= similarity:
             out.append((first, end - first + SHINGLE - 1, start, stop - start + SHINGLE - 1, value))
+            continue
+        place = matched(own[first:end], other)
+        at = np.flatnonzero(place >= 0)
+        jumps = np.flatnonzero(np.diff(place[at] - at)) + 1
+        heads, tails = np.append(0, jumps), np.append(jumps, len(at)) - 1
+        reached = -1
+        for p in range(len(heads)):
+            low, high = np.minimum.accumulate(place[at[heads[p:]]]), np.maximum.accumulate(place[at[tails[p:]]])
+            for q in range(len(heads) - 1, max(p, reached + 1) - 1, -1):
+                # No part of fewer shared places can be similar enough.
+                if tails[q] - heads[p] + 1 < similarity * shortest:
+                    break
+                start, stop = int(low[q - p]), int(high[q - p]) + 1
+                mine = own[first + at[heads[p]] : first + at[tails[q]] + 1]
+                both, value = alike(mine, other[start:stop])
+                if value >= similarity and (len(mine) >= shortest or both >= least):
+                    out.append((first + int(at[heads[p]]), len(mine) + SHINGLE - 1, start, stop - start + SHINGLE - 1, value))
+                    reached = q
+                    break
     return out
 
 

@@ -4,6 +4,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pytest
 import xxhash
 
 from starmart.llm import compact_windows, simhash
@@ -118,6 +119,27 @@ def test_spans_are_cut_and_the_rest_stays(spark, odd, none):
     assert compact_windows.repeated_passages(none).count() == 0
 
 
+@pytest.mark.parametrize(("size", "inserted"), [(50, 20), (50, 45), (60, 40), (100, 40), (100, 300)])
+def test_passages_with_words_inserted_on_the_smaller_id_are_each_found(spark, size, inserted):
+    first, last = (" ".join(f"{side}{k}" for k in range(size)) for side in "pq")
+    between = " ".join(f"x{k}" for k in range(inserted))
+    rows = [(1, f"{first} {between} {last}"), (2, f"{first} {last}")]
+    found = compact_windows.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert found.where("similarity < 0.8").count() == 0
+    (row,) = compact_windows.spans(found).collect()
+    assert (row.doc_id, [(s.start, s.n_words) for s in row.spans]) == (2, [(0, 2 * size)])
+
+
+def test_parts_that_are_similar_only_together_or_alone():
+    p, q, x = np.arange(60, dtype=np.uint32), np.arange(100, 160, dtype=np.uint32), np.arange(1000, 1100, dtype=np.uint32)
+    # One word inserted within the first passage, forty between the two: the first is one part.
+    a, b = np.concatenate([p, q]), np.concatenate([p[:30], x[:1], p[30:], x[1:41], q])
+    assert [r[:4] for r in compact_windows.similar_parts(a, b, 46, 0.8)] == [(0, 60, 0, 61), (60, 60, 101, 60)]
+    # The second stands first in the other text.
+    assert [r[:4] for r in compact_windows.similar_parts(a, np.concatenate([q, x, p]), 46, 0.8)] == [(0, 60, 160, 60), (60, 60, 0, 60)]
+    assert compact_windows.similar_parts(p[:49], np.concatenate([p[:25], x, p[25:49]]), 46, 0.8) == []
+
+
 def test_compact_windows_cover_every_subsequence_once():
     hashes = np.random.default_rng(1).integers(0, 50, 60).astype(np.uint64)
     windows = compact_windows.compact_windows(hashes, 5)
