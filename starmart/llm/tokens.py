@@ -40,7 +40,8 @@ class Codes(dict):
 class Encoder:
     """Ids of texts, the same as the tokenizer's own for the whole text.
 
-    A BPE merges within a piece only, so a text's ids are those of its pieces, end to end. Each distinct piece is
+    A BPE merges within a piece only, so a text's ids are those of its pieces, end to end; a text that holds an added
+    token, as <|endoftext|>, or is not plain goes through the tokenizer whole. Each distinct piece is
     encoded once; new ones go to the tokenizer together, as lines of one text. The table starts anew when it is
     full, which costs time only.
     """
@@ -48,8 +49,9 @@ class Encoder:
     def __init__(self, definition: str, pieces: str, lower: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True
         self.find, self.lower = re.compile(pieces).findall, lower
+        # The tokenizer looks for its added tokens before it cuts a text into pieces.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         # What stands between two lines: an id of its own, or nothing where the last id of a piece is marked as such.
         self.between = self._ids("\n")
         last = [i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]
@@ -96,7 +98,7 @@ class Encoder:
         if len(self.known) > HELD_PIECES:
             self._clear()
         whole = [t or "" for t in texts.to_pylist()]
-        odd = {k for k, t in enumerate(whole) if PLAIN.search(t)}
+        odd = {k for k, t in enumerate(whole) if PLAIN.search(t) or any(x in t for x in self.added)}
         found = [[] if k in odd else self.find(t.lower() if self.lower else t) for k, t in enumerate(whole)]
         pieces_of = np.fromiter(map(len, found), np.int64, len(found))
         codes = np.fromiter(map(self.known.__getitem__, chain.from_iterable(found)), np.int64, int(pieces_of.sum()))

@@ -4,10 +4,11 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from starmart.llm import packing, rans
+from starmart.llm import packing, rans, tokens
 from tests.llm.conftest import ODD
 
 
@@ -21,6 +22,19 @@ def crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 
 
+@pytest.mark.parametrize(
+    ("name", "pieces", "lower"), [("byte_bpe_50k.json", tokens.BYTE_PIECES, False), ("word_bpe_49k.json", tokens.WORD_PIECES, True)]
+)
+def test_added_tokens_have_their_own_ids(name, pieces, lower):
+    path = public_tokenizers.path(name)
+    plain = Tokenizer.from_file(path)
+    texts = ["a <|endoftext|> b", "a b", None, "<|startoftext|>it's 12\n<|endoftext|>", "<|ENDOFTEXT|> <|end oftext|>", "\u212a <|endoftext|>"]
+    ids, counts = tokens.Encoder(tokens.definition_of(path), pieces, lower).encode(pa.array(texts))
+    got = [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
+    assert got == [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert got[0] == ([64, 220, 50256, 275] if name.startswith("byte") else [320, 49407, 321])
+
+
 def test_packing_holds_each_id_once_without_gaps(spark, odd, none):
     path = public_tokenizers.path("word_bpe_49k.json")
     rows = packing.pack(odd.where("doc_id <> 2 OR doc_id IS NULL"), path).collect()
