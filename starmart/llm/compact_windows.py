@@ -7,6 +7,7 @@ passages share their least shingle under most hash functions, so they meet at th
 A passage of that length with a similarity of SIMILARITY has one word in fifty changed at most, so an unchanged run of
 RUN_WORDS words stands on at least one side of a shared place. Places therefore meet by the run to their
 right and the run to their left, and not by the shingle alone: a frequent phrase in unlike texts then meets nothing.
+Places that give no passage with the first text of their run meet again by longer windows around it.
 """
 
 from __future__ import annotations
@@ -34,10 +35,13 @@ ENOUGH = 1
 RUN_WORDS = 15
 #: Words looked at on either side of the places that two texts share.
 MARGIN = 64
+#: Words at either end of a window that must agree besides the run, where texts are tied a second time.
+END_WORDS = 8
 SEED = 42
 
 WORDS = "doc_id long, words binary"
 ANCHORS = "key long, doc_id long, place int, found byte, leader long, leader_place int"
+MET = "doc_id long, place int, source_id long, source_place int, found byte"
 STRETCHES = "doc_id long, start int, source_id long, source_start int, span int"
 PASSAGES = "doc_id long, start int, n_words int, source_id long, source_start int, source_words int, similarity double"
 
@@ -112,6 +116,22 @@ def places_of(words: np.ndarray, shortest: int, hashes: int) -> tuple[np.ndarray
     return at[keep], keys[keep], chosen[at[keep]]
 
 
+def led(key: np.ndarray, doc: np.ndarray, place: np.ndarray, bits: np.ndarray) -> pa.RecordBatch:
+    """ANCHORS rows of these places, each tied to the first of its key; the first has no leader."""
+    order = np.lexsort((place, doc, key))
+    doc, place, key, bits = doc[order], place[order].astype(np.int32), key[order], bits[order]
+    first = np.ones(len(key), bool)
+    first[1:] = key[1:] != key[:-1]
+    lead = np.flatnonzero(first)[np.cumsum(first) - 1] if len(key) else np.zeros(0, np.int64)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(key.view(np.int64)), pa.array(doc), pa.array(place), pa.array(bits),
+            pa.array(doc[lead], mask=first), pa.array(place[lead], mask=first),
+        ],
+        ["key", "doc_id", "place", "found", "leader", "leader_place"],
+    )
+
+
 def anchors(words: DataFrame, shortest: int = SHORTEST, hashes: int = HASHES) -> DataFrame:
     """Meeting places of all texts, those of a run that a task met before already tied to the first such place.
 
@@ -131,19 +151,7 @@ def anchors(words: DataFrame, shortest: int = SHORTEST, hashes: int = HASHES) ->
                 found.append(bits)
             if not docs:
                 continue
-            doc, place, key, bits = (np.concatenate(x) for x in (docs, places, keys, found))
-            order = np.lexsort((place, doc, key))
-            doc, place, key, bits = doc[order], place[order], key[order], bits[order]
-            first = np.ones(len(key), bool)
-            first[1:] = key[1:] != key[:-1]
-            lead = np.flatnonzero(first)[np.cumsum(first) - 1] if len(key) else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(key.view(np.int64)), pa.array(doc), pa.array(place.astype(np.int32)), pa.array(bits),
-                    pa.array(doc[lead], mask=first), pa.array(place[lead].astype(np.int32), mask=first),
-                ],
-                ["key", "doc_id", "place", "found", "leader", "leader_place"],
-            )
+            yield led(*(np.concatenate(x) for x in (keys, docs, places, found)))
 
     return words.mapInArrow(run, ANCHORS)
 
@@ -180,14 +188,70 @@ def meetings(found: DataFrame) -> DataFrame:
             )
 
     heads = found.where("leader IS NULL").select("key", "doc_id", "place", "found")
-    kind = "doc_id long, place int, source_id long, source_place int, found byte"
-    across = heads.repartition("key").sortWithinPartitions("key", "doc_id", "place").mapInArrow(run, kind)
+    across = heads.repartition("key").sortWithinPartitions("key", "doc_id", "place").mapInArrow(run, MET)
     inside = found.where("leader IS NOT NULL").select(
         "doc_id", "place", F.col("leader").alias("source_id"), F.col("leader_place").alias("source_place"), "found"
     )
     return across.unionByName(inside).where("doc_id <> source_id")
 
 
+def window_keys(words: np.ndarray, places: np.ndarray, shortest: int) -> tuple[np.ndarray, np.ndarray]:
+    """(place, key) of windows of `shortest` words around the runs at `places`, two keys a window.
+
+    One key is that of all its words: texts that share it share enough to be verified. The other is that of the run
+    and of the window's ends, so that a word changed between them does not part two texts.
+    """
+    whole, ends, runs = run_hashes(words, shortest), run_hashes(words, END_WORDS), run_hashes(words, RUN_WORDS)
+    last = shortest - RUN_WORDS
+    at, keys = [], []
+    # A passage is SHINGLE - 1 words longer than a window, so one of so many neighbouring windows lies within it.
+    for back in sorted({*range(0, last + 1, SHINGLE), last}):
+        first = places - back
+        inside = (first >= 0) & (first < len(whole))
+        own = first[inside]
+        loose = (runs[places[inside]] * _ODD + ends[own]) * _ODD + ends[own + shortest - END_WORDS] + np.uint64(back)
+        for key in (_mix(whole[own] + np.uint64(back)), _mix(loose)):
+            at.append(places[inside])
+            keys.append(key)
+    return np.concatenate(at), np.concatenate(keys)
+
+
+def tied_again(met: DataFrame, passages: DataFrame, words: DataFrame, shortest: int) -> DataFrame:
+    """ANCHORS rows of the places whose tie gave no passage around them, and of their leaders, by longer keys.
+
+    The leader of a run may hold no more of a passage than the run, as a text does that quotes a part. The others are
+    then tied among themselves by windows of `shortest` words around the run, in which it has no part. A place
+    gives a fixed number of rows, however many texts share its run.
+    """
+    done = passages.select("doc_id", "source_id", "start", (F.col("start") + F.col("n_words") - RUN_WORDS).alias("until"))
+    m, d = met.alias("m"), done.alias("d")
+    around = (
+        (F.col("m.doc_id") == F.col("d.doc_id")) & (F.col("m.source_id") == F.col("d.source_id"))
+        & F.col("m.place").between(F.col("d.start"), F.col("d.until"))
+    )
+    failed = m.join(d, around, "left_anti")
+    side = F.explode(
+        F.array(F.struct("doc_id", "place"), F.struct(F.col("source_id").alias("doc_id"), F.col("source_place").alias("place")))
+    )
+    own = failed.select(side.alias("s")).select("s.*").groupBy("doc_id").agg(F.collect_set("place").alias("places"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            docs, places, keys = [], [], []
+            raw, asked = batch.column("words"), batch.column("places")
+            for k, doc in enumerate(batch.column("doc_id").to_pylist()):
+                at, key = window_keys(np.frombuffer(raw[k].as_buffer(), "<u4"), np.asarray(asked[k].values, np.int64), shortest)
+                docs.append(np.full(len(at), doc, np.int64))
+                places.append(at)
+                keys.append(key)
+            if docs:
+                doc = np.concatenate(docs)
+                # Every hash function counts as having found these.
+                yield led(np.concatenate(keys), doc, np.concatenate(places), np.full(len(doc), 127, np.int8))
+
+    return words.join(own, "doc_id").select("doc_id", "words", "places").mapInArrow(run, ANCHORS)
+
+
 def stretches(met: DataFrame, enough: int = ENOUGH) -> DataFrame:
     """(doc_id, start, source_id, source_start, span): shared places of two texts that follow each other alike.
 
@@ -366,7 +430,7 @@ def repeated_passages(
     """PASSAGES rows: a passage of `doc_id` that is similar to one of a smaller `source_id`.
 
     Each place where texts meet is tied to its first text, not to all others, so a passage in n texts gives n - 1
-    rows about; every text that shares a passage has a row or is the source of one. Positions and lengths count words
+    rows about; places that give no passage with that text are tied once more by longer windows. Every text that shares a passage has a row or is the source of one. Positions and lengths count words
     (runs of other than ASCII white space). Similarity is that of the sets of five-word shingles. Null texts are
     empty; rows without an id are not searched; rows that share an id are one text, the one of the least digest, and
     others are not searched; an empty table gives an empty result.
@@ -376,11 +440,18 @@ def repeated_passages(
     word_hashes(searched(docs, doc_id, text), doc_id, text).write.option("compression", "zstd").parquet(f"{folder}/words")
     words = spark.read.schema(WORDS).parquet(f"{folder}/words")
     anchors(words, shortest, hashes).write.option("compression", "zstd").parquet(f"{folder}/anchors")
-    met = meetings(spark.read.schema(ANCHORS).parquet(f"{folder}/anchors"))
+    meetings(spark.read.schema(ANCHORS).parquet(f"{folder}/anchors")).write.option("compression", "zstd").parquet(f"{folder}/met")
+    met = spark.read.schema(MET).parquet(f"{folder}/met")
     stretches(met, enough).distinct().write.parquet(f"{folder}/stretches")
     asked = spark.read.schema(STRETCHES).parquet(f"{folder}/stretches")
     verified(asked, words, shortest, similarity).write.parquet(f"{folder}/passages")
-    return spark.read.schema(PASSAGES).parquet(f"{folder}/passages")
+    passages = spark.read.schema(PASSAGES).parquet(f"{folder}/passages")
+    tied_again(met, passages, words, shortest).write.option("compression", "zstd").parquet(f"{folder}/anchors-again")
+    again = stretches(meetings(spark.read.schema(ANCHORS).parquet(f"{folder}/anchors-again")), enough).distinct()
+    again.join(asked, again.columns, "left_anti").write.parquet(f"{folder}/stretches-again")
+    asked = spark.read.schema(STRETCHES).parquet(f"{folder}/stretches-again")
+    verified(asked, words, shortest, similarity).write.parquet(f"{folder}/passages-again")
+    return passages.unionByName(spark.read.schema(PASSAGES).parquet(f"{folder}/passages-again")).distinct()
 
 
 def searched(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -130,6 +130,20 @@ def test_passages_with_words_inserted_on_the_smaller_id_are_each_found(spark, si
     assert (row.doc_id, [(s.start, s.n_words) for s in row.spans]) == (2, [(0, 2 * size)])
 
 
+def test_copies_are_found_behind_texts_that_quote_parts(spark):
+    rows = []
+    for t in range(12):
+        whole = [f"t{t}w{k}" for k in range(60)]
+        around = lambda i, w, t=t: " ".join([*(f"t{t}d{i}a{k}" for k in range(30)), *w, *(f"t{t}d{i}b{k}" for k in range(30))])
+        edited = [*whole[:31], "changed", *whole[32:]]
+        texts = [around(0, whole[:40]), around(1, whole[-40:]), *(around(i, whole) for i in range(2, 6)), around(6, edited)]
+        rows += [(100 * t + i, text) for i, text in enumerate(texts)]
+    found = compact_windows.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"))
+    classes = {r.doc_id: r.component_id for r in compact_windows.classes(found).collect()}
+    assert classes == {100 * t + i: 100 * t + 2 for t in range(12) for i in range(2, 7)}
+    assert found.where("similarity < 0.8 OR source_id >= doc_id").count() == 0
+
+
 def test_parts_that_are_similar_only_together_or_alone():
     p, q, x = np.arange(60, dtype=np.uint32), np.arange(100, 160, dtype=np.uint32), np.arange(1000, 1100, dtype=np.uint32)
     # One word inserted within the first passage, forty between the two: the first is one part.
