@@ -32,6 +32,8 @@ def stale_replies(held: DataFrame) -> DataFrame:
     """Pairs (pair_id, chosen, rejected) from single conversations with two or more replies.
 
     Chosen is the conversation up to its last reply; in rejected, that reply is the one given before it.
+    Conversations with fewer replies give no pair, and turns after the last reply are left out. Both sides share all
+    turns before the last reply, so their completions are that one turn each, or empty where the replies are equal.
     """
     replies = F.expr(f"filter(sequence(0, size(turns) - 1), i -> turns[i].role = '{LEARNED_ROLE}')")
     known = held.where(F.size("turns") > 0).withColumn("replies", replies).where(F.size("replies") >= 2)
