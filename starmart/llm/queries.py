@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from starmart.llm import (
     compact_windows,
     decontamination,
+    merkle,
     packing,
+    periodic_runs,
     pitman_yor,
     preference,
     quality_ledger,
@@ -179,3 +181,51 @@ def op5_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_compact_windows")
 def op2_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compact_windows.classes(compact_windows.repeated_passages(table(spark, sf_dir, "documents")))
+
+
+@query("op12_merkle")
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    changed = {"text": F.replace(F.col("text"), F.lit("\n"), F.lit(""))}
+    tampered = merkle.leaf([changed.get(c, F.col(c)) for c in columns])
+    carry = {"held": F.when(held_out(2, 0), tampered)}
+    rows = merkle.manifest(table(spark, sf_dir, "documents"), columns, carry=carry)
+    proved = rows.withColumns(
+        {
+            "proof_sha256": F.sha2(merkle.proof_text(F.col("left"), F.col("right")), 256),
+            "folded_root": merkle.folded(F.coalesce("held", "leaf"), F.col("left"), F.col("right")),
+        }
+    )
+    return proved.withColumn("verified", F.col("folded_root") == F.col("root")).select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"
+    )
+
+
+def with_planted_period(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): of every tenth crc32 of a doc_id, the words from some place on repeat with some period."""
+    # The words are bound once; a lambda would evaluate the expression per word.
+    cut = r"regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0)"
+    repeated = f"""transform(array({cut}), w -> transform(array(named_struct('a', int(g % size(w)), 'n', size(w))), s ->
+        array_join(transform(sequence(0, s.n - 1), i ->
+            w[if(i < s.a, i, s.a + (i - s.a) % int(1 + floor((s.n - s.a) / (3 + g % 8))))]), ' '))[0])[0]"""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    rows = docs.select("doc_id", "text", h.alias("h"), F.floor(h / 10).alias("g"))
+    chosen = (F.col("h") % 10 == 0) & F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    return rows.select("doc_id", F.when(chosen, F.expr(repeated)).otherwise(F.col("text")).alias("text"))
+
+
+@query("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(with_planted_period(table(spark, sf_dir, "documents")))
+    longest = F.expr("array_max(transform(runs, r -> struct(r.length, -r.start AS before, -r.period AS fast)))")
+    lines = "array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\\n')), '')"
+    return found.withColumn("top", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("top.before")).alias("start"),
+        F.col("top.length").alias("length"),
+        (-F.col("top.fast")).alias("period"),
+        F.floor(F.col("top.length") * 1000 / -F.col("top.fast")).cast("long").alias("exponent_milli"),
+        F.sha2(F.expr(lines), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
