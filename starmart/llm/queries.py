@@ -12,6 +12,7 @@ from starmart.llm import (
     compact_windows,
     decontamination,
     merkle,
+    minhash,
     packing,
     periodic_runs,
     pitman_yor,
@@ -183,6 +184,11 @@ def op2_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compact_windows.classes(compact_windows.repeated_passages(table(spark, sf_dir, "documents")))
 
 
+@query("op11_minhash")
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query("op12_merkle")
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["doc_id", "source", "lang", "n_chars", "text"]
