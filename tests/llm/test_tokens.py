@@ -14,7 +14,6 @@ from tests.llm.conftest import ODD
 
 def ids_of(name, text, end):
     tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-    tokenizer.encode_special_tokens = True
     return [*tokenizer.encode(text or "", add_special_tokens=False).ids, end]
 
 
