@@ -10,9 +10,10 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starmart.llm.components import forest
 from starmart.llm.stars import components
 from starmart.llm.text import slices, within, words_of
 from starmart.sources.lake import scratch_folder
@@ -24,8 +25,9 @@ BANDS, ROWS = 48, 7
 #: Standard deviations by which a signature may fall short of the similarity asked for.
 DEVIATIONS = 5
 SEED = 42
-#: Rows of a side that one task compares.
-BLOCK = 2048
+#: Rows and bytes of a side that one task compares.
+BLOCK = 4096
+BLOCK_BYTES = 1 << 25
 #: Bits of the filter that says which documents may be asked for; 8 MB, whatever the data.
 FILTER_BITS, FILTER_HASHES = 1 << 26, 4
 
@@ -190,30 +192,35 @@ def by_set(percent: int) -> Callable[[list[bytes]], Alike]:
 
 
 def _linked(rows: DataFrame, prepare: Callable[[list[bytes]], Alike]) -> DataFrame:
-    """(a, b) links between nodes of each (grp, x, y), where block x is compared with block y."""
+    """(a, b) links between components in each (grp, x, y), where block x is compared with block y: stars, at most
+    as many as there are components."""
 
     def compare(key: tuple, held: pd.DataFrame) -> pd.DataFrame:
-        node, block = held["node"].to_numpy(), held["block"].to_numpy()
-        a, b = join_rows(held["comp"].to_numpy(), block == key[1], block == key[2], prepare(held["payload"].tolist()))
-        return pd.DataFrame({"a": node[a], "b": node[b]}, dtype="int64")
+        block, (comp, label) = held["block"].to_numpy(), np.unique(held["comp"].to_numpy(), return_inverse=True)
+        a, b = join_rows(label, block == key[1], block == key[2], prepare(held["payload"].tolist()))
+        low = forest(label[a], label[b], len(comp))
+        moved = np.flatnonzero(low != np.arange(len(comp)))
+        return pd.DataFrame({"a": comp[moved], "b": comp[low[moved]]}, dtype="int64")
 
     return rows.groupBy("grp", "x", "y").applyInPandas(compare, "a long, b long")
 
 
-def _within_blocks(rows: DataFrame, sizes: DataFrame, block: int) -> DataFrame:
-    """Rows (grp, node, comp, payload) dealt to blocks, each compared with itself."""
-    at = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / block)).cast("int")
-    return rows.join(sizes, "grp").withColumn("block", at).withColumns({"x": F.col("block"), "y": F.col("block")}).drop("n")
+def _blocks(block: int) -> Column:
+    """How many blocks the rows of a group are cut into."""
+    return F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum(F.octet_length("payload")) / BLOCK_BYTES)).cast("int")
 
 
-def _with_first_block(rows: DataFrame, sizes: DataFrame, block: int) -> DataFrame:
+def _within_blocks(rows: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Rows (grp, node, comp, payload) dealt to the blocks of `sizes` (grp, blocks), each compared with itself."""
+    at = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    return rows.join(sizes, "grp").withColumn("block", at).withColumns({"x": F.col("block"), "y": F.col("block")})
+
+
+def _with_first_block(rows: DataFrame, sizes: DataFrame) -> DataFrame:
     """The same blocks, the first of a group compared with each other one."""
-    held = _within_blocks(rows, sizes.where(F.col("n") > block), block).drop("x", "y")
-    last = sizes.select(F.col("grp").alias("of"), (F.ceil(F.col("n") / block) - 1).cast("int").alias("last"))
-    first = held.where("block = 0").join(last, F.col("grp") == F.col("of"))
-    met = F.explode(F.expr("CASE WHEN last > 0 THEN sequence(1, last) END"))
-    rest = held.where("block > 0").withColumns({"x": F.lit(0), "y": F.col("block")})
-    return rest.unionByName(first.withColumns({"x": F.lit(0), "y": met}).drop("of", "last"))
+    held = _within_blocks(rows, sizes.where("blocks > 1")).drop("x", "y")
+    first = held.where("block = 0").withColumns({"x": F.lit(0), "y": F.explode(F.sequence(F.lit(1), F.col("blocks") - 1))})
+    return first.unionByName(held.where("block > 0").withColumns({"x": F.lit(0), "y": F.col("block")}))
 
 
 def _across_components(rows: DataFrame, block: int) -> DataFrame:
@@ -223,13 +230,15 @@ def _across_components(rows: DataFrame, block: int) -> DataFrame:
     compared with itself, with the later ones and with the many. So a large component with some strays costs
     its rows once for each block of strays.
     """
-    parts = rows.groupBy("grp", "comp").agg(F.count("*").alias("n"))
-    groups = parts.groupBy("grp").agg(F.max(F.struct("n", "comp")).alias("main"), F.sum("n").alias("n"), F.count("*").alias("parts"))
+    parts = rows.groupBy("grp", "comp").agg(F.count("*").alias("n"), F.sum(F.octet_length("payload")).alias("bytes"))
+    total = [F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), F.count("*").alias("parts")]
+    groups = parts.groupBy("grp").agg(F.max(F.struct("n", "bytes", "comp")).alias("main"), *total)
+    cut = lambda n, size: F.greatest(F.ceil(n / block), F.ceil(size / BLOCK_BYTES)).cast("int")
     groups = groups.where("parts > 1").select(
         "grp",
         F.col("main.comp").alias("main"),
-        F.ceil((F.col("n") - F.col("main.n")) / block).cast("int").alias("few"),
-        F.ceil(F.col("main.n") / block).cast("int").alias("many"),
+        cut(F.col("n") - F.col("main.n"), F.col("bytes") - F.col("main.bytes")).alias("few"),
+        cut(F.col("main.n"), F.col("main.bytes")).alias("many"),
     )
     spread = F.xxhash64("node")
     at = F.when(F.col("comp") == F.col("main"), F.col("few") + F.pmod(spread, F.col("many"))).otherwise(F.pmod(spread, F.col("few")))
@@ -269,6 +278,23 @@ def id_filter(ids: DataFrame) -> np.ndarray:
     return out
 
 
+def _let_through(held: np.ndarray, ids: pa.Array) -> pa.Array:
+    at = _positions(ids.to_numpy().astype(np.int64))
+    there = (held[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1)
+    return pa.array(there.all(axis=0))
+
+
+def that_may_be_in(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """The rows whose `column` is in `ids`, and some others; so that a join after it moves little of a long side."""
+    held = rows.sparkSession.sparkContext.broadcast(id_filter(ids))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(_let_through(held.value, batch.column(column)))
+
+    return rows.mapInArrow(run, rows.schema)
+
+
 def full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """(node, payload): the sets of the wanted nodes (node, rep, digest), from the texts. Only sets that are asked for move."""
     held = docs.sparkSession.sparkContext.broadcast(id_filter(wanted.select("rep")))
@@ -276,9 +302,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = batch.filter(pc.is_valid(batch.column("doc_id")))
-            at = _positions(batch.column("doc_id").to_numpy().astype(np.int64))
-            there = (held.value[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1)
-            batch = batch.filter(pa.array(there.all(axis=0)))
+            batch = batch.filter(_let_through(held.value, batch.column("doc_id")))
             for part in slices(batch, "text"):
                 values, counts = shingle_sets(part.column("text"), words)
                 ends = np.cumsum(counts)
@@ -345,43 +369,54 @@ def near_duplicates(
 
     shared = nodes.select("node", F.posexplode("bands").alias("band", "hash"))
     shared = shared.select("node", F.xxhash64("band", "hash").alias("grp"))
-    leaders = shared.groupBy("grp").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1")
-    members = kept(shared.join(leaders, "grp"), "members")
+    ends = [F.min("node").alias("a"), F.max("node").alias("b"), F.count("*").alias("n")]
+    buckets = kept(shared.groupBy("grp").agg(*ends).where("n > 1"), "buckets")
+    many = buckets.where("n > 2").select("grp", "a")
+    members = kept(that_may_be_in(shared, "grp", many.select("grp")).join(many, "grp"), "members")
+    tied = members.where("a <> node").select("a", F.col("node").alias("b")).unionAll(buckets.where("n = 2").select("a", "b"))
+    tied = kept(tied.distinct(), "tied")
     least = percent / 100
     least -= DEVIATIONS * (least * (1 - least) / (bands * rows)) ** 0.5
-    tied = members.where("a <> node").select("a", F.col("node").alias("b")).distinct()
-    loose = kept(_agree(tied, nodes, least), "loose-0")
+    met = tied.select(F.col("a").alias("node")).unionAll(tied.select(F.col("b").alias("node")))
+    marks = kept(that_may_be_in(nodes.select("node", "signature"), "node", met), "marks")
+    loose = kept(_agree(tied, marks, least), "loose-0")
+
+    def labelled(frame: DataFrame, classes: DataFrame) -> DataFrame:
+        return frame.join(classes, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
 
-    def labelled(frame: DataFrame, edges: DataFrame) -> DataFrame:
-        return frame.join(components(edges), "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
+    def stars(classes: DataFrame) -> DataFrame:
+        return classes.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
 
-    open_bands = labelled(members.where("n > 2").select("grp", "node"), loose)
+    hanging = components(loose)
+    open_bands = labelled(members.select("grp", "node"), hanging)
     unclear = open_bands.groupBy("grp").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("grp")
-    asked = kept(open_bands.join(unclear, "grp"), "open").join(nodes.select("node", F.col("signature").alias("payload")), "node")
+    asked = kept(open_bands.join(unclear, "grp"), "open").join(marks.select("node", F.col("signature").alias("payload")), "node")
     more = kept(_linked(_across_components(asked, block), by_signature(least)), "loose-1")
-
-    hanging = kept(components(loose.unionAll(more)), "hanging")
+    if not more.isEmpty():
+        hanging = components(stars(hanging).unionAll(more))
+    hanging = kept(hanging, "hanging")
     wanted = kept(nodes.join(hanging, "node").select("node", "rep", "digest"), "wanted")
-    sets = kept(full_sets(source, wanted, words), "sets")
-    alone = hanging.select("node", F.col("component").alias("grp"), F.col("node").alias("comp"))
-    sizes = kept(hanging.groupBy(F.col("component").alias("grp")).agg(F.count("*").alias("n")), "sizes")
-    links = kept(_linked(_within_blocks(alone.join(sets, "node"), sizes, block), by_set(percent)), "links-0")
-    if not sizes.where(F.col("n") > block).isEmpty():
-        large = sizes.where(F.col("n") > block).select("grp")
-        rest = alone.drop("comp").join(large, "grp")
-        first = labelled(rest, links).join(sets, "node")
-        links = links.unionAll(kept(_linked(_with_first_block(first, sizes, block), by_set(percent)), "links-1"))
-        last = kept(labelled(rest, links), "labelled").join(sets, "node")
-        links = links.unionAll(kept(_linked(_across_components(last, block), by_set(percent)), "links-2"))
-
-    found = labelled(nodes.select("node", "rep", "digest"), links)
-    found = kept(found, "found")
+    sets = full_sets(source, wanted, words).join(hanging, "node")
+    sets = kept(sets.select("node", F.col("component").alias("grp"), "payload"), "sets")
+
+    sizes = kept(sets.groupBy("grp").agg(_blocks(block).alias("blocks")), "sizes")
+    alone = sets.withColumn("comp", F.col("node"))
+    classes = components(kept(_linked(_within_blocks(alone, sizes), by_set(percent)), "links-0"))
+    large = sizes.where("blocks > 1").select("grp")
+    if not large.isEmpty():
+        rest = kept(sets.join(large, "grp"), "large")
+        links = kept(_linked(_with_first_block(labelled(rest, classes), sizes), by_set(percent)), "links-1")
+        classes = components(stars(classes).unionAll(links))
+        links = kept(_linked(_across_components(labelled(rest, classes), block), by_set(percent)), "links-2")
+        classes = components(stars(classes).unionAll(links))
+
+    found = kept(labelled(nodes.select("node", "rep", "digest"), classes), "found")
     smallest = found.groupBy("comp").agg(F.min("rep").alias("component_id"))
-    classes = found.join(smallest, "comp").select("digest", "component_id")
+    lowest = found.join(smallest, "comp").select("digest", "component_id")
     least_id = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return (
         own.select("doc_id", "n", "digest")
-        .join(classes, "digest", "left")
+        .join(lowest, "digest", "left")
         .select("doc_id", F.col("n").alias("n_shingles"), least_id.alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )

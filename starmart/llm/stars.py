@@ -7,13 +7,16 @@ from pyspark.sql import functions as F
 
 from starmart.sources.lake import scratch_folder
 
+#: Edges that one task of a round writes; edges only become fewer.
+TASK_EDGES = 1 << 20
+
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is tied to the smallest of the node and all its neighbours."""
     both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low"))
     low = F.least("low", "node")
-    return edges.join(least, edges["b"] == least["node"]).select("a", low.alias("b")).distinct()
+    return edges.join(least, edges["b"] == least["node"]).select("a", low.alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -34,15 +37,17 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     spark = edges.sparkSession
     folder = scratch_folder(spark, "stars")
     left = edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where(f"{a} <> {b}").distinct()
-    known, turn = None, 0
+    known, turn, n = None, 0, None
     while True:
         seen = Observation()
         total = F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))
-        left.observe(seen, F.count("*").alias("n"), total.alias("hashes")).write.parquet(f"{folder}/{turn}")
+        # Without a shuffle, so that small rounds are not cut into as many files as there are shuffle partitions.
+        laid_out = left if n is None else left.coalesce(-(-n // TASK_EDGES))
+        laid_out.observe(seen, F.count("*").alias("n"), total.alias("hashes")).write.parquet(f"{folder}/{turn}")
         held = spark.read.schema(left.schema).parquet(f"{folder}/{turn}")
         if seen.get == known or not seen.get["n"]:
             break
-        known, turn = seen.get, turn + 1
+        known, turn, n = seen.get, turn + 1, seen.get["n"]
         left = _small_star(_large_star(held))
     stars = held.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return stars.unionAll(stars.select(F.col("component").alias("node"), "component").distinct())
