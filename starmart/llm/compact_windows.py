@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starmart.llm.components import components
+from starmart.llm.filters import that_may_be_in
 from starmart.llm.text import slices, words_of
 from starmart.sources.lake import scratch_folder
 
@@ -233,7 +234,9 @@ def tied_again(met: DataFrame, passages: DataFrame, words: DataFrame, shortest:
     side = F.explode(
         F.array(F.struct("doc_id", "place"), F.struct(F.col("source_id").alias("doc_id"), F.col("source_place").alias("place")))
     )
-    own = failed.select(side.alias("s")).select("s.*").groupBy("doc_id").agg(F.collect_set("place").alias("places"))
+    folder = scratch_folder(words.sparkSession, "places")
+    failed.select(side.alias("s")).select("s.*").groupBy("doc_id").agg(F.collect_set("place").alias("places")).write.parquet(folder)
+    own = words.sparkSession.read.schema("doc_id long, places array<int>").parquet(folder)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -249,7 +252,8 @@ def tied_again(met: DataFrame, passages: DataFrame, words: DataFrame, shortest:
                 # Every hash function counts as having found these.
                 yield led(np.concatenate(keys), doc, np.concatenate(places), np.full(len(doc), 127, np.int8))
 
-    return words.join(own, "doc_id").select("doc_id", "words", "places").mapInArrow(run, ANCHORS)
+    asked = that_may_be_in(words, "doc_id", own.select("doc_id"))
+    return asked.join(own, "doc_id").select("doc_id", "words", "places").mapInArrow(run, ANCHORS)
 
 
 def stretches(met: DataFrame, enough: int = ENOUGH) -> DataFrame:
@@ -394,7 +398,8 @@ def verified(asked: DataFrame, words: DataFrame, shortest: int, similarity: floa
     ).select("n", "span", "side.*")
     first = F.greatest(F.col("start") - MARGIN, F.lit(0))
     size = F.col("start") + F.col("span") + MARGIN - first
-    cut = sides.join(words, "doc_id").select(
+    asked = that_may_be_in(words, "doc_id", sides.select("doc_id"))
+    cut = sides.join(asked, "doc_id").select(
         "n", "own", "doc_id", first.alias("first"), F.substring("words", 4 * first + 1, 4 * size).alias("cut")
     )
     paired = cut.repartition("n").sortWithinPartitions("n", "own")
@@ -480,11 +485,14 @@ def spans(passages: DataFrame) -> DataFrame:
     return merged.groupBy("doc_id").agg(F.array_sort(F.collect_list(row)).alias("spans"))
 
 
-def classes(passages: DataFrame) -> DataFrame:
-    """(doc_id, component_id, n_links, spans) per text that shares a passage.
+def classes(passages: DataFrame, docs: DataFrame | None = None, doc_id: str = "doc_id") -> DataFrame:
+    """(doc_id, component_id, n_links, spans) per text that shares a passage, or per row of `docs`.
 
-    component_id is the smallest id that a chain of shared passages reaches, n_links the number of texts that this
-    one is tied to, spans its passages that a smaller id has too, by word.
+    component_id is the smallest id that a chain of shared passages reaches, the text's own included. n_links is the
+    number of texts that a row of `passages` ties this one to: the first text that has a passage is tied to all that have it,
+    these to the first. spans are its passages that a smaller id has too, by word. Of `docs`, rows without a
+    passage have their own id, no link and no spans; rows that share an id have the same result; those without one
+    have no component.
     """
     spark, folder = passages.sparkSession, scratch_folder(passages.sparkSession, "passage-links")
     passages.select(F.col("doc_id").alias("a"), F.col("source_id").alias("b")).distinct().write.parquet(folder)
@@ -493,7 +501,14 @@ def classes(passages: DataFrame) -> DataFrame:
     counted = both.groupBy(F.col("a").alias("doc_id")).agg(F.count("*").alias("n_links"))
     found = components(held).withColumnRenamed("node", "doc_id").join(counted, "doc_id").join(spans(passages), "doc_id", "left")
     empty = F.expr("CAST(array() AS array<struct<start: int, n_words: int>>)")
-    return found.select("doc_id", F.col("component").alias("component_id"), "n_links", F.coalesce("spans", empty).alias("spans"))
+    if docs is not None:
+        found = docs.select(F.col(doc_id).cast("long").alias("doc_id")).join(found, "doc_id", "left")
+    return found.select(
+        "doc_id",
+        F.coalesce("component", "doc_id").alias("component_id"),
+        F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        F.coalesce("spans", empty).alias("spans"),
+    )
 
 
 def without_spans(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.llm.components import forest
+from starmart.llm.filters import id_filter, let_through, that_may_be_in
 from starmart.llm.stars import components
 from starmart.llm.text import slices, within, words_of
 from starmart.sources.lake import scratch_folder
@@ -28,8 +29,6 @@ SEED = 42
 #: Rows and bytes of a side that one task compares.
 BLOCK = 4096
 BLOCK_BYTES = 1 << 25
-#: Bits of the filter that says which documents may be asked for; 8 MB, whatever the data.
-FILTER_BITS, FILTER_HASHES = 1 << 26, 4
 
 
 class Hashes(NamedTuple):
@@ -254,47 +253,6 @@ def _across_components(rows: DataFrame, block: int) -> DataFrame:
 # --- documents ---
 
 
-def _positions(ids: np.ndarray) -> np.ndarray:
-    """Where the filter keeps each id, one row per hash."""
-    taken = hashes(1, FILTER_HASHES)
-    shift = np.uint64(64 - FILTER_BITS.bit_length() + 1)
-    return (ids.view(np.uint64)[None, :] * taken.factor[:, None] + taken.offset[:, None]) >> shift
-
-
-def id_filter(ids: DataFrame) -> np.ndarray:
-    """A Bloom filter of a fixed size over one column of ids, built by Spark. It may let other ids through, too."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = _positions(batch.column(0).to_numpy()).reshape(-1)
-            bit = np.uint64(1) << (at & np.uint64(63))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((at >> np.uint64(6)).astype(np.int32)), pa.array(bit.view(np.int64))], ["word", "bit"]
-            )
-
-    found = ids.mapInArrow(run, "word int, bit long").groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
-    out = np.zeros(FILTER_BITS // 64, np.uint64)
-    out[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
-    return out
-
-
-def _let_through(held: np.ndarray, ids: pa.Array) -> pa.Array:
-    at = _positions(ids.to_numpy().astype(np.int64))
-    there = (held[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1)
-    return pa.array(there.all(axis=0))
-
-
-def that_may_be_in(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
-    """The rows whose `column` is in `ids`, and some others; so that a join after it moves little of a long side."""
-    held = rows.sparkSession.sparkContext.broadcast(id_filter(ids))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(_let_through(held.value, batch.column(column)))
-
-    return rows.mapInArrow(run, rows.schema)
-
-
 def full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """(node, payload): the sets of the wanted nodes (node, rep, digest), from the texts. Only sets that are asked for move."""
     held = docs.sparkSession.sparkContext.broadcast(id_filter(wanted.select("rep")))
@@ -302,7 +260,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = batch.filter(pc.is_valid(batch.column("doc_id")))
-            batch = batch.filter(_let_through(held.value, batch.column("doc_id")))
+            batch = batch.filter(let_through(held.value, batch.column("doc_id")))
             for part in slices(batch, "text"):
                 values, counts = shingle_sets(part.column("text"), words)
                 ends = np.cumsum(counts)

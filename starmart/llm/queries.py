@@ -181,7 +181,8 @@ def op5_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op2_compact_windows")
 def op2_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return compact_windows.classes(compact_windows.repeated_passages(table(spark, sf_dir, "documents")))
+    docs = table(spark, sf_dir, "documents")
+    return compact_windows.classes(compact_windows.repeated_passages(docs), docs)
 
 
 @query("op11_minhash")

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from starmart.llm import minhash
+from starmart.llm import filters, minhash
 from starmart.llm.queries import op11_minhash
 from starmart.llm.stars import components
 from tests.llm.conftest import ODD, prose
@@ -84,8 +84,8 @@ def test_signatures_estimate_similarity():
 
 def test_filter_lets_all_wanted_ids_through(spark):
     ids = [0, 1, -5, 2**62, 12345]
-    held = minhash.id_filter(spark.createDataFrame([(i,) for i in ids], "rep long"))
-    at = minhash._positions(np.array(ids))
+    held = filters.id_filter(spark.createDataFrame([(i,) for i in ids], "rep long"))
+    at = filters.positions(np.array(ids))
     assert (((held[(at >> np.uint64(6)).astype(int)] >> (at & np.uint64(63))) & np.uint64(1)) == 1).all()
 
 

@@ -99,6 +99,15 @@ def test_passages_of_fifty_words(spark):
     assert passages.where("similarity < 0.8 OR source_id >= doc_id").count() == 0
 
 
+def test_every_document_has_a_class(odd, none):
+    rows = compact_windows.classes(compact_windows.repeated_passages(odd), odd).collect()
+    assert len(rows) == len(ODD)
+    by = {r.doc_id: (r.component_id, r.n_links > 0, bool(r.spans)) for r in rows}
+    assert by[1] == (1, True, False) and by[2] == by[3] == by[9] == (1, True, True)
+    assert by[5] == (5, False, False) and by[8] == (8, False, False) and by[None] == (None, False, False)
+    assert compact_windows.classes(compact_windows.repeated_passages(none), none).count() == 0
+
+
 def test_one_changed_word_is_found_and_clean_text_is_not(spark):
     base = prose(200).split()
     changed = [*base[:100], "changed", *base[101:]]
