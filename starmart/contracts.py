@@ -103,6 +103,14 @@ def lost_value(df: DataFrame, field: T.StructField) -> Column:
     return _quoted(have.name).isNotNull() & _cast(field, have).isNull()
 
 
+def losses(df: DataFrame, schema: T.StructType) -> Column:
+    """The names of a row's declared columns whose present value does not survive the cast; types that agree cost nothing."""
+    found = _by_lower_name(df)
+    cast = [f for f in schema.fields if (have := found.get(f.name.lower())) is not None and have.dataType != f.dataType]
+    names = [F.when(lost_value(df, f), F.lit(f.name)) for f in cast]
+    return F.array_compact(F.array(*names)) if names else F.array().cast("array<string>")
+
+
 def lost_values(df: DataFrame, schema: T.StructType) -> DataFrame:
     """One row: per declared column, how many present values the cast loses."""
     return df.agg(*[F.count_if(lost_value(df, f)).alias(f.name) for f in schema.fields])

@@ -53,34 +53,42 @@ def add_lineage(df: DataFrame, source_file: Column, source_month: Column, loaded
     )
 
 
+def plain_path(path: str) -> str:
+    """A path as Spark lists it, without its URL escapes; `file:///` and `file:/` are one."""
+    return re.sub(r"^([^/:]+):///", r"\1:/", unquote(path))
+
+
+def plain_path_of(path: Column) -> Column:
+    """`plain_path` as a column expression. A plus sign is no space here, as it is in a form."""
+    return F.regexp_replace(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), "^([^/:]+):///", "$1:/")
+
+
 def number_files(
     paths: Sequence[str], known: Mapping[tuple[str, str], int] | None = None
 ) -> list[tuple[str, str, int]]:
-    """(month, file name, number within the month) of each file; names must differ within a month.
+    """(month, path, number within the month) of each file.
 
-    A file in `known` (by month and name) keeps its number. New ones take the next
-    free numbers of their month in name order, so no number is ever used again.
+    A file is its whole path, so files of one name in two folders are two. One in `known` (by month and path) keeps its
+    number. New ones take the next free numbers of their month in path order, so no number is ever used again.
     """
     numbers = dict(known or {})
     free: dict[str, int] = {}
     for (month, _), number in numbers.items():
         free[month] = max(free.get(month, 0), number + 1)
     by_month: dict[str, list[str]] = {}
-    for path in sorted(map(unquote, paths)):
-        by_month.setdefault(month_of_path(path) or "", []).append(path.rsplit("/", 1)[-1])
-    for month, names in by_month.items():
-        if len(set(names)) < len(names):
-            raise ValueError(f"two files of {month} have the same name, so their rows cannot be told apart")
-        for name in sorted(names):
-            if (month, name) not in numbers:
-                numbers[month, name] = free.get(month, 0)
-                free[month] = numbers[month, name] + 1
+    for path in sorted(set(map(plain_path, paths))):
+        by_month.setdefault(month_of_path(path) or "", []).append(path)
+    for month, own in by_month.items():
+        for path in own:
+            if (month, path) not in numbers:
+                numbers[month, path] = free.get(month, 0)
+                free[month] = numbers[month, path] + 1
         if free[month] > MAX_FILES_PER_MONTH:
             raise ValueError(f"{free[month]} files in {month}, more than {MAX_FILES_PER_MONTH}")
-    return [(month, name, numbers[month, name]) for month, names in by_month.items() for name in sorted(names)]
+    return [(month, path, numbers[month, path]) for month, own in by_month.items() for path in own]
 
 
-def add_row_id(df: DataFrame, numbered: Sequence[tuple[str, str, int]], row_index: Column) -> DataFrame:
+def add_row_id(df: DataFrame, numbered: Sequence[tuple[str, str, int]], path: Column, row_index: Column) -> DataFrame:
     """Add `_file`, the file's number within the month, and `_row_id`: month, that number and the row's number.
 
     Where every month is a single file the number is zero and there is nothing to
@@ -90,8 +98,7 @@ def add_row_id(df: DataFrame, numbered: Sequence[tuple[str, str, int]], row_inde
     if all(number == 0 for _, _, number in numbered):
         located, file_number = df, F.lit(0).cast("long")
     else:
-        listing = df.sparkSession.createDataFrame(numbered, "__month string, __name string, __number long")
-        same_file = (F.col("_source_month") == F.col("__month")) & (F.col("_source_file") == F.col("__name"))
-        located, file_number = df.join(listing, same_file, "left").drop("__month", "__name"), F.col("__number")
+        listing = df.sparkSession.createDataFrame(numbered, "__month string, __at string, __number long")
+        located, file_number = df.join(listing, plain_path_of(path) == F.col("__at"), "left").drop("__month", "__at"), F.col("__number")
     row_id = position_key(F.col("_year"), F.col("_month"), file_number, row_index)
     return located.withColumns({FILE: file_number.cast("int"), ROW_ID: row_id}).drop("__number")

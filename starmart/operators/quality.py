@@ -63,7 +63,9 @@ class Checks:
     def report(self) -> DataFrame:
         """(dataset, check, column, total_rows, observed, fraction, threshold, passed)."""
         parts = [_count_violations(self.df, self.row_checks)] if self.row_checks else []
-        parts += [_count_duplicates(self.df, columns, approximate) for columns, approximate in self.unique_checks]
+        exact = [columns for columns, approximate in self.unique_checks if not approximate]
+        parts += [_count_duplicates(self.df, exact)] if exact else []
+        parts += [_estimate_duplicates(self.df, columns) for columns, approximate in self.unique_checks if approximate]
         counted = reduce(DataFrame.unionByName, parts)
         share = rate(F.col("observed"), F.col("total_rows"))
         return counted.select(
@@ -96,21 +98,43 @@ def _count_violations(df: DataFrame, checks: Sequence[RowCheck]) -> DataFrame:
     return counts.select(F.inline(F.array(*entries)))
 
 
-def _count_duplicates(df: DataFrame, columns: Sequence[str], approximate: bool) -> DataFrame:
-    """Rows minus distinct values. Equal values combine before the shuffle, so a hot value costs one row."""
-    if approximate:
-        value = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
-        counted = df.agg(F.count(F.lit(1)).alias("total_rows"), F.approx_count_distinct(value).alias("__distinct"))
-    else:
-        per_value = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("__rows"))
-        counted = per_value.agg(
-            F.coalesce(F.sum("__rows"), F.lit(0)).alias("total_rows"), F.count(F.lit(1)).alias("__distinct")
-        )
+def _count_duplicates(df: DataFrame, checks: Sequence[Sequence[str]]) -> DataFrame:
+    """Rows minus distinct values, per check, in one scan and one shuffle of all checks' values together.
+
+    Each check has columns of its own, null in the rows of the others, so that one grouping holds all. Equal values
+    combine before the shuffle, so a hot value costs one row a task.
+    """
+    number = "__check"
+    own = [[F.col(c).alias(f"__{k}_{i}") for i, c in enumerate(columns)] for k, columns in enumerate(checks)]
+    names = [f"__{k}_{i}" for k, columns in enumerate(checks) for i in range(len(columns))]
+    kinds = {f"__{k}_{i}": df.schema[c].dataType for k, columns in enumerate(checks) for i, c in enumerate(columns)}
+    narrow = df.select(*[c for columns in own for c in columns])
+    held = F.struct(*[
+        F.when(F.col(number) == k, F.col(n)).otherwise(F.lit(None).cast(kinds[n])).alias(n)
+        for k, columns in enumerate(checks)
+        for n in (f"__{k}_{i}" for i in range(len(columns)))
+    ])
+    stacked = narrow.withColumn(number, F.explode(F.sequence(F.lit(0), F.lit(len(checks) - 1)))).select(number, held.alias("__value"))
+    per_value = stacked.select(number, "__value.*").groupBy(number, *names).agg(F.count(F.lit(1)).alias("__rows"))
+    counted = per_value.groupBy(number).agg(F.sum("__rows").alias("total_rows"), F.count(F.lit(1)).alias("__distinct"))
+    labels = df.sparkSession.createDataFrame([(k, ",".join(c)) for k, c in enumerate(checks)], f"{number} int, column string")
+    return _uniqueness(labels.join(counted, number, "left"))
+
+
+def _estimate_duplicates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    value = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+    counted = df.agg(F.count(F.lit(1)).alias("total_rows"), F.approx_count_distinct(value).alias("__distinct"))
+    return _uniqueness(counted.withColumn("column", F.lit(",".join(columns))))
+
+
+def _uniqueness(counted: DataFrame) -> DataFrame:
+    """Check rows from (column, total_rows, __distinct); an empty table has no row of either."""
+    total, distinct = (F.coalesce(c, F.lit(0)) for c in ("total_rows", "__distinct"))
     return counted.select(
         F.lit("uniqueness_check").alias("check"),
-        F.lit(",".join(columns)).alias("column"),
-        "total_rows",
-        F.greatest(F.col("total_rows") - F.col("__distinct"), F.lit(0)).alias("observed"),
+        "column",
+        total.alias("total_rows"),
+        F.greatest(total - distinct, F.lit(0)).alias("observed"),
         F.lit(0.0).alias("threshold"),
     )
 

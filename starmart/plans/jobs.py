@@ -5,21 +5,23 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starmart import contracts
-from starmart.contracts import align
+from starmart import fixed_values as fixed
+from starmart.contracts import align, losses
 from starmart.functions.keys import ROW_ID
 from starmart.functions.measures import exact_average
 from starmart.operators import dims, gate
 from starmart.operators.fact import TRIPS, build_fact
 from starmart.operators.gate import Rule
-from starmart.operators.lineage import FILE, month_of_path
-from starmart.operators.star import TRIP_STAR, fk_orphans
+from starmart.operators.lineage import FILE, month_of_path, split_month
+from starmart.operators.star import TRIP_STAR, fk_orphans, look_up
 from starmart.plans.ledger import RunLedger
-from starmart.sources.lake import load, load_dimension, register_files, replace_files, replace_months
+from starmart.sources.lake import load, load_dimension, register_files, replace_files, replace_months, write_partitions
 from starmart.sources.scan import CORRUPT, clean_rows, exists, raw_files, read_bronze_source, read_csv, read_months
 
 
@@ -56,8 +58,16 @@ class Lake:
     def table(self, name: str) -> str:
         return f"{self.gold}/{name}"
 
+    @property
+    def marts(self) -> str:
+        return f"{self.gold}/marts"
+
     def mart(self, name: str) -> str:
-        return f"{self.gold}/marts/{name}"
+        return f"{self.marts}/mart={name}"
+
+    @property
+    def unfit(self) -> str:
+        return f"{self.root}/bronze/unfit"
 
     def layers(self) -> dict[str, str]:
         return {"trips": self.bronze_trips, "zones": self.bronze_zones}
@@ -80,7 +90,8 @@ def ingest(
     Each file present is replaced; other files, of the same month too, stay with
     their rows and keys. All months are one job whose tasks write where they read:
     no shuffle. Files without a month in their path
-    are not loaded; their rows are counted as rejected.
+    are not loaded; their rows are counted as rejected. Rows with a value that does not fit its type are
+    rejected, too, and kept as text (see `keep_unfit`).
     """
     if zones_csv is not None:
         with ledger.stage("bronze_zones") as stage:
@@ -100,13 +111,47 @@ def ingest(
         if dated:
             now = F.lit(loaded_at or datetime.now(timezone.utc))
             numbered = register_files(spark, lake.files, raw_files(spark, dated))
-            raw = read_bronze_source(spark, dated, contracts.RAW_TRIPS, now, numbered)
-            written = replace_files(align(raw, contracts.BRONZE_TRIPS, ROW_ID, FILE), lake.bronze_trips, numbered)
+            raw = with_losses(read_bronze_source(spark, dated, contracts.RAW_TRIPS, now, numbered, lost=LOST))
+            seen, lost = Observation(), F.size(LOST) > 0
+            fitting = raw.observe(seen, F.count_if(lost).alias("lost")).where(~lost)
+            written = replace_files(align(fitting, contracts.BRONZE_TRIPS, ROW_ID, FILE), lake.bronze_trips, numbered)
             stage.records_out = written_rows(written, months)
+            stage.records_rejected += keep_unfit(spark, lake, raw, numbered, seen.get["lost"], ledger)
         stage.records_in = stage.records_out + stage.records_rejected
     return months
 
 
+LOST = "__lost"
+
+
+def with_losses(raw: DataFrame) -> DataFrame:
+    """`raw` with, in LOST, the columns whose present value fits neither the raw nor the bronze type, and such a row's text."""
+    text = F.to_json(F.struct(*contracts.RAW_TRIPS.fieldNames()), {"ignoreNullFields": "false"})
+    every = F.array_distinct(F.concat(LOST, losses(raw, contracts.BRONZE_TRIPS)))
+    return raw.withColumn(f"{LOST}_row", F.coalesce(f"{LOST}_row", text)).withColumn(LOST, every)
+
+
+def keep_unfit(spark: SparkSession, lake: Lake, raw: DataFrame, numbered: Sequence, lost: int, ledger: RunLedger) -> int:
+    """Keep the rows that lost a value as text, with the columns that lost one, by month and file; returns their number.
+
+    They are read a second time, only where the write saw any. Loading a file again replaces its rows here, too, so a
+    mended file leaves none. Values lost are counted per column in the ledger's metrics.
+    """
+    if not lost and not exists(spark, lake.unfit):
+        return 0
+    kept = raw.where(F.size(LOST) > 0).select(
+        F.col(LOST).alias("lost_columns"), F.col(f"{LOST}_row").alias("row"), "_source_file", "_source_month", "_ingestion_ts",
+        ROW_ID, "_year", "_month", FILE,
+    )
+    replace_files(kept if lost else kept.limit(0), lake.unfit, numbered)
+    if lost:
+        own = read_months(spark, lake.unfit, sorted({month for month, _, _ in numbered}))
+        # One row per column of the contract at most.
+        counts = own.select(F.explode("lost_columns").alias("column")).groupBy("column").count().collect()
+        ledger.record([("lost_values", r["count"], "gauge", {"column": r.column}) for r in counts])
+    return lost
+
+
 def write_rejects(bronze: DataFrame, lake: Lake, months: Sequence[str], rules: Sequence[Rule], ledger: RunLedger) -> dict:
     """Write the rejected rows of the months; returns what that one pass saw of all rows.
 
@@ -212,41 +257,86 @@ MARTS = {
     "route": ["pickup_location_key", "dropoff_location_key"],
     "payment": ["payment_type_key"],
     "pickup_time": ["pickup_time_key"],
+    "high_value": ["date_key", "is_high_value"],
+    "airport_pickup": ["date_key", "from_airport"],
+    "airport_dropoff": ["date_key", "to_airport"],
 }
+# Marts over names of a dimension, summed when read: stored mart, its key, dimension, the dimension's key, names.
+NAMED_MARTS = {
+    "month": ("date_vendor", "date_key", "dim_date", "date_key", ["year", "month"]),
+    "time_of_day": ("pickup_time", "pickup_time_key", "dim_time", "time_key", ["time_of_day", "is_rush_hour", "is_night"]),
+    "borough": ("date_pickup", "pickup_location_key", "dim_location", "location_key", ["borough", "service_zone"]),
+}
+# Of a grouping by a flag, the trips that have it are read.
+FLAGS = ["is_high_value", "from_airport", "to_airport"]
+
+
+def mart_sums(fact: DataFrame) -> DataFrame:
+    """Additive sums of every mart per file month, in one scan: (mart, _year, _month, all keys, sums).
+
+    Each fact row is expanded to one per mart with that mart's keys only, and these combine before the one
+    shuffle: it carries as many rows as the marts have, times tasks at most.
+    """
+    keys = list(dict.fromkeys(k for own in MARTS.values() for k in own))
+    airports = list(fixed.AIRPORT_LOCATIONS)
+    conditions = [F.col("total_amount") > fixed.HIGH_VALUE_TOTAL, *(F.col(f"{end}_location_key").isin(airports) for end in ("pickup", "dropoff"))]
+    flagged = fact.withColumns({name: F.coalesce(c, F.lit(False)) for name, c in zip(FLAGS, conditions, strict=True)})
+    months = ["_year", "_month"]
+    sets = [[F.col(c) for c in (*months, *own)] for own in MARTS.values()]
+    grouped = flagged.groupingSets(sets, *months, *keys).agg(
+        F.grouping_id(*months, *keys).alias("__set"),
+        F.count(F.lit(1)).alias("trips"),
+        F.sum("total_amount").alias("revenue"),
+        F.sum("trip_duration_minutes").alias("minutes"),
+        F.count("trip_duration_minutes").alias("timed_trips"),
+    )
+    columns = [*months, *keys]
+    numbers = {
+        sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in (*months, *own)): name for name, own in MARTS.items()
+    }
+    name = F.create_map(*[F.lit(x) for pair in numbers.items() for x in pair])[F.col("__set").cast("int")]
+    return grouped.withColumn("mart", name).drop("__set")
 
 
 def refresh_marts(spark: SparkSession, lake: Lake, months: Sequence[str], ledger: RunLedger) -> None:
-    """Replace the months' share of every mart.
+    """Replace the months' share of every mart, in one scan of their facts and one write.
 
     A mart holds additive sums per file month, so a re-run touches its months only
-    even where late trips give one date to two months.
+    even where late trips give one date to two months. A mart that has no trips in a month is emptied there.
     """
-    fact = read_months(spark, lake.table(TRIP_STAR.fact), months)
-    for name, keys in MARTS.items():
-        with ledger.stage(f"mart_{name}") as stage:
-            sums = fact.groupBy("_year", "_month", *keys).agg(
-                F.count(F.lit(1)).alias("trips"),
-                F.sum("total_amount").alias("revenue"),
-                F.sum("trip_duration_minutes").alias("minutes"),
-                F.count("trip_duration_minutes").alias("timed_trips"),
-            )
-            written = replace_months(sums, lake.mart(name), months, rebalance=True)
-            stage.records_out = written_rows(written, months)
+    by = ("mart", "_year", "_month")
+    with ledger.stage("marts") as stage:
+        sums, seen = mart_sums(read_months(spark, lake.table(TRIP_STAR.fact), months)), Observation()
+        rows = sums.hint("rebalance", *[F.col(c) for c in by])
+        write_partitions(rows.observe(seen, F.collect_set(F.struct(*by)).alias("met"), F.count(F.lit(1)).alias("rows")), lake.marts, by)
+        stage.records_out = seen.get["rows"]
+        met = {tuple(r) for r in seen.get["met"]}
+        empty = sums.limit(0).drop(*by)
+        for name in MARTS:
+            for year, month in map(split_month, months):
+                if (name, year, month) not in met:
+                    empty.write.mode("overwrite").parquet(f"{lake.mart(name)}/_year={year}/_month={month}")
 
 
 def read_mart(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
     """A mart over all months: trips, revenue and average duration per grouping."""
-    return (
-        spark.read.parquet(lake.mart(name))
-        .groupBy(*MARTS[name])
-        .agg(
-            F.sum("trips").alias("trips"),
-            F.sum("revenue").alias("revenue"),
-            exact_average(F.sum("minutes"), F.sum("timed_trips")).alias("avg_duration_minutes"),
-        )
+    if name in NAMED_MARTS:
+        stored, column, table, key, by = NAMED_MARTS[name]
+        held = spark.read.parquet(lake.mart(stored)).groupBy(column).agg(*[F.sum(c).alias(c) for c in SUMS])
+        sums = look_up(held, spark.read.parquet(lake.table(table)), column, key, attributes=by)
+    else:
+        by = [k for k in MARTS[name] if k not in FLAGS]
+        sums = spark.read.parquet(lake.mart(name)).where(reduce(Column.__and__, [F.col(k) for k in MARTS[name] if k in FLAGS], F.lit(True)))
+    return sums.groupBy(*by).agg(
+        F.sum("trips").alias("trips"),
+        F.sum("revenue").alias("revenue"),
+        exact_average(F.sum("minutes"), F.sum("timed_trips")).alias("avg_duration_minutes"),
     )
 
 
+SUMS = ["trips", "revenue", "minutes", "timed_trips"]
+
+
 def publish(
     spark: SparkSession,
     lake: Lake,

@@ -6,8 +6,9 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starmart import fixed_values as fixed
@@ -176,31 +177,67 @@ def run_summary(ledger: DataFrame) -> DataFrame:
     )
 
 
-def metric_rollup(
-    metrics: DataFrame,
-    tags: Sequence[str] = (),
-    latest_by: str = "ts",
-    accuracy: int = 1_000_000,
-) -> DataFrame:
+#: Values that a percentile's sketch holds; it narrows the search and leaves the result exact.
+SKETCH = 10_000
+
+
+def exact_percentiles(values: DataFrame, by: Sequence[str], value: str, shares: Sequence[str], sketch: int = SKETCH) -> DataFrame:
+    """(by..., share, percentile): of each group the smallest value that has at least this share of the ranks.
+
+    Ranks are selected in two passes. A sketch of bounded size brackets each percentile between two values. Then values
+    below the bracket are counted as one and those within it by value, which combines before the shuffle; only the
+    different values of a bracket, some 4 / sketch of a group's, are sorted. Nulls do not count; shares are decimal text.
+    """
+    present = values.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("__value"))
+    margin = 2 / sketch
+    edges = [max(0.0, float(q) - margin) for q in shares] + [min(1.0, float(q) + margin) for q in shares]
+    found = present.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("__n"),
+        F.percentile_approx("__value", edges, sketch).alias("__edges"),
+        F.min("__value").alias("__min"),
+        F.max("__value").alias("__max"),
+    )
+
+    def bracket(k: int, share: str) -> Column:
+        rank = F.greatest(F.ceil(F.col("__n").cast("decimal(20,0)") * F.lit(share).cast("decimal(10,9)")).cast("long"), F.lit(1))
+        low = F.col("__min") if float(share) <= margin else F.col("__edges")[k]
+        high = F.col("__max") if float(share) + margin >= 1 else F.col("__edges")[k + len(shares)]
+        return F.struct(F.lit(share).alias("share"), rank.alias("rank"), low.alias("low"), high.alias("high"))
+
+    asked = found.select(
+        *[F.col(c).alias(f"__by_{c}") for c in by], F.explode(F.array(*[bracket(k, q) for k, q in enumerate(shares)])).alias("b")
+    )
+    same = [F.col(c).eqNullSafe(F.col(f"__by_{c}")) for c in by]
+    met = present.join(asked, reduce(Column.__and__, same, F.lit(True)) if same else None)
+    inside = F.when(F.col("__value") >= F.col("b.low"), F.col("__value"))
+    counted = met.where("__value <= b.high").groupBy(*by, "b.share", "b.rank", inside.alias("__at")).agg(F.count(F.lit(1)).alias("__n"))
+    order = Window.partitionBy(*by, "share").orderBy(F.col("__at").asc_nulls_first())
+    reached = counted.withColumn("__reached", F.sum("__n").over(order)).where("__at IS NOT NULL AND __reached >= rank")
+    return reached.groupBy(*by, "share").agg(F.min("__at").alias("percentile"))
+
+
+def metric_rollup(metrics: DataFrame, tags: Sequence[str] = (), latest_by: str = "ts", sketch: int = SKETCH) -> DataFrame:
     """Custom metrics per name and type (and per value of the named tags).
 
     A counter sums, a gauge keeps the value with the highest `latest_by`, timers
-    and histograms give average and percentiles. Percentiles come from a sketch
-    of bounded size: exact below `accuracy` values a group, beyond that off by at
-    most 1/accuracy of the ranks.
+    and histograms give average and percentiles, exact however many values there are (see `exact_percentiles`).
     """
-    tag_columns = [F.col("tags")[t].alias(t) for t in tags]
-    rolled = metrics.groupBy("name", "type", *tag_columns).agg(
+    tagged = metrics.select("name", "type", "value", F.col(latest_by).alias("__latest"), *[F.col("tags")[t].alias(t) for t in tags])
+    by = ["name", "type", *tags]
+    rolled = tagged.groupBy(*by).agg(
         F.count(F.lit(1)).alias("measurements"),
         F.sum(F.col("value").cast(EXACT)).cast("double").alias("__sum"),
         F.count("value").alias("__valued"),
         # Of gauges recorded at one time the largest counts, whatever the order of the rows.
-        F.max_by("value", F.struct(latest_by, "value")).alias("__last"),
-        F.percentile_approx("value", [0.5, 0.95], accuracy).alias("__percentiles"),
+        F.max_by("value", F.struct("__latest", "value")).alias("__last"),
     )
     kind = F.col("type")
     spread = kind.isin("timer", "histogram")
-    return rolled.select(
+    shares = {"0.5": "__p50", "0.95": "__p95"}
+    ranked = exact_percentiles(tagged.where(spread), by, "value", list(shares), sketch).groupBy(*[F.col(c).alias(f"__by_{c}") for c in by])
+    ranked = ranked.agg(*[F.max(F.when(F.col("share") == q, F.col("percentile"))).alias(n) for q, n in shares.items()])
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"__by_{c}")) for c in by])
+    return rolled.join(ranked, same, "left").select(
         "name",
         "type",
         *tags,
@@ -208,8 +245,8 @@ def metric_rollup(
         F.when(kind == "counter", F.col("__sum")).alias("total"),
         F.when(kind == "gauge", F.col("__last")).alias("latest"),
         F.when(spread, F.col("__sum") / F.nullif(F.col("__valued"), F.lit(0))).alias("average"),
-        F.when(spread, F.col("__percentiles")[0]).alias("p50"),
-        F.when(spread, F.col("__percentiles")[1]).alias("p95"),
+        F.col("__p50").alias("p50"),
+        F.col("__p95").alias("p95"),
     )
 
 

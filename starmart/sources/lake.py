@@ -107,7 +107,7 @@ def replace_months(
 
 
 def register_files(spark: SparkSession, path: str, files: Sequence[str]) -> list[tuple[str, str, int]]:
-    """(month, name, number) of raw files, from a register in which each file keeps its number for good.
+    """(month, path, number) of raw files, from a register in which each file keeps its number for good.
 
     New files are appended before any of their rows is written, so a run that
     fails leaves a gap and no number twice. Only the entries of these files' months
@@ -117,11 +117,11 @@ def register_files(spark: SparkSession, path: str, files: Sequence[str]) -> list
     known = {}
     if exists(spark, path):
         entries = spark.read.parquet(path).filter(F.col("month").isin(months))
-        known = {(r["month"], r["name"]): r["number"] for r in entries.collect()}
+        known = {(r["month"], r["path"]): r["number"] for r in entries.collect()}
     numbered = number_files(files, known)
     new = [entry for entry in numbered if entry[:2] not in known]
     if new:
-        rows = spark.createDataFrame(new, "month string, name string, number long")
+        rows = spark.createDataFrame(new, "month string, path string, number long")
         rows.coalesce(1).write.mode("append").parquet(path)
     return numbered
 

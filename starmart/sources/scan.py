@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starmart.contracts import align
+from starmart.contracts import align, losses
 from starmart.operators.lineage import add_lineage, add_row_id, month_in_path, number_files, split_month
 
 CORRUPT = "_corrupt_record"
@@ -27,22 +27,33 @@ def _one_schema(spark: SparkSession, paths: Sequence[str]) -> T.StructType | Non
         raise
 
 
-def read_raw(spark: SparkSession, paths: Sequence[str], schema: T.StructType, *also: str | Column) -> DataFrame:
+def read_raw(
+    spark: SparkSession, paths: Sequence[str], schema: T.StructType, *also: str | Column, lost: str | None = None
+) -> DataFrame:
     """All raw files as one frame aligned to the contract, whatever each file's own types.
 
     Files that agree are one scan, with the columns of all of them. Where types
     disagree, on integer widths say, the files of all paths are grouped by schema,
     also within a folder: one scan per distinct schema (a handful), none of which
     reads a file under another's types. `also` may name hidden columns of the
-    scan, as `_metadata.file_name`.
+    scan, as `_metadata.file_name`. `lost` names a column for the names of a row's columns whose value does not
+    fit, and, with `_row` after it, one for such a row as text.
     """
+
+    def aligned(df: DataFrame) -> DataFrame:
+        if lost is None:
+            return align(df, schema, *also)
+        names = losses(df, schema)
+        row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"})
+        return align(df, schema, *also, names.alias(lost), F.when(F.size(names) > 0, row).alias(f"{lost}_row"))
+
     common = _one_schema(spark, paths)
     if common is not None:
-        return align(spark.read.schema(common).parquet(*paths), schema, *also)
+        return aligned(spark.read.schema(common).parquet(*paths))
     by_schema: dict[str, tuple[T.StructType, list[str]]] = {}
     for found, files in _agreeing(spark, raw_files(spark, paths)):
         by_schema.setdefault(found.json(), (found, []))[1].extend(files)
-    scans = [align(spark.read.schema(found).parquet(*files), schema, *also) for found, files in by_schema.values()]
+    scans = [aligned(spark.read.schema(found).parquet(*files)) for found, files in by_schema.values()]
     return reduce(DataFrame.unionByName, scans)
 
 
@@ -65,21 +76,22 @@ def read_bronze_source(
     raw_schema: T.StructType,
     loaded_at: Column,
     numbered: Sequence[tuple[str, str, int]] | None = None,
+    lost: str | None = None,
 ) -> DataFrame:
     """Raw month files with lineage columns, and file number and row id from file positions.
 
     `numbered` is a lake's register of these files; without it, files are numbered
-    by name among those given.
+    by path among those given. `lost` is as in `read_raw`.
     """
     hidden = [
         F.col("_metadata.file_name").alias("__file"),
         F.col("_metadata.file_path").alias("__path"),
         F.col("_metadata.row_index").alias("__row"),
     ]
-    raw = read_raw(spark, paths, raw_schema, *hidden)
+    raw = read_raw(spark, paths, raw_schema, *hidden, lost=lost)
     with_lineage = add_lineage(raw, F.col("__file"), month_in_path(F.col("__path")), loaded_at)
     numbers = number_files(raw_files(spark, paths)) if numbered is None else numbered
-    return add_row_id(with_lineage, numbers, F.col("__row")).drop("__file", "__path", "__row")
+    return add_row_id(with_lineage, numbers, F.col("__path"), F.col("__row")).drop("__file", "__path", "__row")
 
 
 def raw_files(spark: SparkSession, paths: Sequence[str]) -> list[str]:

@@ -1,11 +1,14 @@
 """The jobs end to end on raw month files that disagree in their types."""
 
+import json
+import os
 from datetime import datetime
 
 import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from starmart import contracts
 from starmart.plans import jobs
@@ -178,3 +181,57 @@ def test_months_are_loaded_together(spark, folder, raw):
     march = [month_file(folder, f"trips_2023-{m:02}.parquet", shifted(TRIPS, m)) for m in range(3, 7)]
     one, four = jobs_of("one", march[:1]), jobs_of("four", march)
     assert four - one < 2 * 3  # three months more: at most a footer or a listing each
+
+
+def test_files_of_one_name_in_two_folders_keep_their_rows(spark, folder, raw):
+    lake, zones, paths = Lake(f"{folder}/lake"), raw[1], []
+    for side, rows in (("east side+1", TRIPS[:3]), ("west", TRIPS)):
+        os.makedirs(f"{folder}/{side}")
+        paths.append(month_file(f"{folder}/{side}", "trips_2023-01.parquet", rows))
+    run(spark, lake, paths[:1], zones, loaded_at=LOADED)
+    first = {r[0] for r in facts(spark, lake)}
+    run(spark, lake, paths[1:], None, loaded_at=LOADED)
+    both = facts(spark, lake)
+    assert len(both) == 8 and first < {r[0] for r in both}
+    for again in (paths[:1], paths, paths[1:]):
+        run(spark, lake, again, None, loaded_at=LOADED)
+        assert facts(spark, lake) == both
+
+
+def test_values_that_do_not_fit_are_kept_aside(spark, folder, raw):
+    """A vendor out of range is no vendor 1; its row is kept as text until the file is mended."""
+    lake, zones = Lake(f"{folder}/lake"), raw[1]
+    bad = [(3_000_000_000, *TRIPS[0][1:]), (*TRIPS[1][:3], 2**40, *TRIPS[1][4:]), *TRIPS[2:]]
+    path = month_file(folder, "trips_2023-03.parquet", shifted(bad, 3))
+    result = run(spark, lake, [path, raw[0][1]], zones, run_id="one", loaded_at=LOADED)
+    assert result["facts_written"] == 8
+    unfit = {tuple(r.lost_columns): r for r in spark.read.parquet(lake.unfit).collect()}
+    assert set(unfit) == {("VendorID",), ("passenger_count",)}
+    assert json.loads(unfit["VendorID",].row)["VendorID"] == 3_000_000_000 and unfit["VendorID",]._source_month == "2023-03"
+    ledger = open_ledger(spark, lake, "full", "one")
+    (stage,) = [r for r in ledger.this_run().collect() if r.stage == "bronze_trips"]
+    assert (stage.records_in, stage.records_out, stage.records_rejected) == (10, 8, 2)
+    told = {r.tags["column"]: r.value for r in ledger.metrics().where("name = 'lost_values'").collect()}
+    assert told == {"VendorID": 1.0, "passenger_count": 1.0}
+    month_file(folder, "trips_2023-03.parquet", shifted(TRIPS, 3))
+    spark.catalog.clearCache()
+    assert run(spark, lake, [path], None, loaded_at=LOADED)["facts_written"] == 5
+    assert spark.read.parquet(lake.unfit).count() == 0
+
+
+def test_marts_come_from_one_scan_of_the_facts(spark, folder, raw):
+    paths, zones = raw
+    lake = Lake(f"{folder}/lake")
+    run(spark, lake, paths, zones, loaded_at=LOADED)
+    fact = spark.read.parquet(lake.table("fact_trips"))
+    plan = jobs.mart_sums(fact)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
+    for name in [*jobs.MARTS, *jobs.NAMED_MARTS]:
+        rows = read_mart(spark, lake, name).collect()
+        assert sum(r.trips for r in rows) <= 11 and all("is_high_value" not in r for r in rows)
+    airports = list(jobs.fixed.AIRPORT_LOCATIONS)
+    want = sorted((r.date_key, r["count"]) for r in fact.where(F.col("pickup_location_key").isin(airports)).groupBy("date_key").count().collect())
+    assert sorted((r.date_key, r.trips) for r in read_mart(spark, lake, "airport_pickup").collect()) == want != []
+    assert sum(r.trips for r in read_mart(spark, lake, "high_value").collect()) == fact.where(F.col("total_amount") > jobs.fixed.HIGH_VALUE_TOTAL).count() > 0
+    for name in jobs.NAMED_MARTS:
+        assert sum(r.trips for r in read_mart(spark, lake, name).collect()) == 11

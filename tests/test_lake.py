@@ -192,14 +192,15 @@ def test_months_and_file_numbers():
     assert month_of_path("/raw/trips_2023-01/part-00000-9cf04ddb-d64d-4702-1012-a76f.parquet") == "2023-01"
     assert month_of_path("/raw/trips.parquet") is None
     assert number_files(["/x/b_2023-01.parquet", "/x/a_2023-01.parquet", "/x/c_2023-02.parquet"]) == [
-        ("2023-01", "a_2023-01.parquet", 0), ("2023-01", "b_2023-01.parquet", 1), ("2023-02", "c_2023-02.parquet", 0),
+        ("2023-01", "/x/a_2023-01.parquet", 0), ("2023-01", "/x/b_2023-01.parquet", 1), ("2023-02", "/x/c_2023-02.parquet", 0),
     ]
-    known = {("2023-01", "b_2023-01.parquet"): 0, ("2023-01", "gone.parquet"): 4}
+    known = {("2023-01", "/x/b_2023-01.parquet"): 0, ("2023-01", "/x/gone_2023-01.parquet"): 4}
     assert number_files(["/x/a_2023-01.parquet", "/x/b_2023-01.parquet"], known) == [
-        ("2023-01", "a_2023-01.parquet", 5), ("2023-01", "b_2023-01.parquet", 0),
+        ("2023-01", "/x/a_2023-01.parquet", 5), ("2023-01", "/x/b_2023-01.parquet", 0),
+    ]
+    assert number_files(["/x/2023-01/a.parquet", "/y/2023-01/a.parquet"]) == [
+        ("2023-01", "/x/2023-01/a.parquet", 0), ("2023-01", "/y/2023-01/a.parquet", 1),
     ]
-    with pytest.raises(ValueError, match="same name"):
-        number_files(["/x/2023-01/a.parquet", "/y/2023-01/a.parquet"])
 
 
 def test_existence_and_row_counts(spark, folder, trips):

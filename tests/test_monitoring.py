@@ -3,6 +3,7 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from starmart.operators.quality import Checks, summary
 from starmart.plans.ledger import (
@@ -10,6 +11,7 @@ from starmart.plans.ledger import (
     METRICS,
     RunLedger,
     alerts_by_level,
+    exact_percentiles,
     metric_rollup,
     run_summary,
     stage_alerts,
@@ -158,3 +160,30 @@ def test_gauges_of_one_time_do_not_depend_on_the_order_of_rows(spark):
     for df in (metrics, metrics.repartition(5), metrics.orderBy("value")):
         found = {r.name: r for r in metric_rollup(df).collect()}
         assert found["g"].latest == 7.0 and found["h"].average == 3.0
+
+
+def test_percentiles_are_exact_beyond_any_sketch(spark):
+    """A million values a group, many of them repeated, ranks of a small sketch off by thousands."""
+    n = 1_000_000
+    rows = spark.range(n).select(
+        (F.col("id") % 2).cast("string").alias("g"), (F.xxhash64("id") % 300_000).cast("double").alias("v")
+    )
+    rows = rows.unionAll(spark.createDataFrame([(None, 7.0), ("0", None), ("z", None)], "g string, v double"))
+    got = {(r.g, r.share): r.percentile for r in exact_percentiles(rows, ["g"], "v", ["0.5", "0.95"], sketch=100).collect()}
+    held = rows.where("v IS NOT NULL").toPandas()
+    want = {}
+    for g, own in held.groupby("g", dropna=False):
+        ordered = sorted(own.v)
+        for share in (50, 95):
+            want[None if g != g or g is None else g, "0.5" if share == 50 else "0.95"] = ordered[-(-len(ordered) * share // 100) - 1]
+    assert got == want
+
+
+def test_all_unique_checks_are_one_scan(spark, folder):
+    spark.range(100).selectExpr("id % 10 AS a", "id AS b", "if(id < 5, null, id) AS c").write.parquet(f"{folder}/t")
+    df = spark.read.parquet(f"{folder}/t")
+    report = Checks(df, "t").unique("a").unique("b").unique("c").unique("a", "b").report()
+    assert report._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert {r.column: (r.total_rows, r.observed) for r in report.collect()} == {"a": (100, 90), "b": (100, 0), "c": (100, 4), "a,b": (100, 0)}
+    empty = Checks(df.limit(0), "t").unique("a").report().first()
+    assert (empty.total_rows, empty.observed, empty.passed) == (0, 0, True)
