@@ -1,9 +1,13 @@
 """Queries that run the jobs themselves, on month files derived from the given tables."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart import contracts
-from starmart.plans.jobs import Lake, run
+from starmart import fixed_values as fixed
+from starmart.plans.jobs import FLAGS, MARTS, Lake, read_mart, run
 from starmart.plans.ledger import job_stats
 from starmart.sources.lake import scratch_folder, write_partitions
 from starmart.sources.scan import layer_health
@@ -120,3 +124,62 @@ def partial_month_reload(spark, sf_dir):
         F.count("first_key").alias("kept_keys"),
         F.sum("total_amount").alias("revenue"),
     )
+
+
+AIRPORTS = ", ".join(map(str, fixed.AIRPORT_LOCATIONS))
+# Fixed condition of a mart in the oracle, where it has one.
+MART_CONDITIONS = {
+    "high_value": f"total_amount > {fixed.HIGH_VALUE_TOTAL}",
+    "airport_pickup": f"pickup_location_key IN ({AIRPORTS})",
+    "airport_dropoff": f"dropoff_location_key IN ({AIRPORTS})",
+}
+
+
+def mart_sql(name: str) -> str:
+    keys = [k for k in MARTS[name] if k not in FLAGS]
+    first, second = [f"CAST({k} AS BIGINT)" for k in keys] + ["CAST(NULL AS BIGINT)"] * (2 - len(keys))
+    return f"""SELECT '{name}' AS mart, {first} AS first_key, {second} AS second_key, count(*) AS trips,
+      CAST(sum(total_amount) AS DOUBLE) AS revenue FROM fact WHERE {MART_CONDITIONS.get(name, "true")} GROUP BY ALL"""
+
+
+MONTH_SQL = """SELECT 'month' AS mart, CAST(date_key // 10000 AS BIGINT) AS first_key, CAST(date_key // 100 % 100 AS BIGINT) AS second_key,
+  count(*) AS trips, CAST(sum(total_amount) AS DOUBLE) AS revenue FROM fact GROUP BY ALL"""
+
+
+@query("mart_refresh", f"WITH {LINE_FACT} " + " UNION ALL ".join([*map(mart_sql, MARTS), MONTH_SQL]))
+def mart_refresh(spark, sf_dir):
+    """Every stored mart, and the months summed from one, after two files were loaded a second time."""
+    lake = loaded_lake(spark, sf_dir)
+
+    def told(name, keys):
+        first, second = [F.col(k).cast("long") for k in keys] + [F.lit(None).cast("long")] * (2 - len(keys))
+        return read_mart(spark, lake, name).select(
+            F.lit(name).alias("mart"), first.alias("first_key"), second.alias("second_key"), "trips", "revenue"
+        )
+
+    stored = [told(name, [k for k in keys if k not in FLAGS]) for name, keys in MARTS.items()]
+    return reduce(DataFrame.unionAll, [*stored, told("month", ["year", "month"])])
+
+
+@query(
+    "lost_at_ingest",
+    f"""WITH {LINE_FACT}, lines AS (SELECT l_linenumber FROM lineitem)
+        SELECT 'facts' AS told_by, CAST(count(*) AS BIGINT) AS rows, CAST(count_if(vendor_key = 1) AS BIGINT) AS of_vendor_one
+        FROM fact WHERE passenger_count < 6
+        UNION ALL SELECT 'VendorID', CAST(count(*) AS BIGINT), 0 FROM lines WHERE l_linenumber = 7
+        UNION ALL SELECT 'passenger_count', CAST(count(*) AS BIGINT), 0 FROM lines WHERE l_linenumber = 6""",
+)
+def lost_at_ingest(spark, sf_dir):
+    """Vendors and passenger counts out of range: such lines are kept aside by column and give no fact."""
+    folder = scratch_folder(spark, "lost")
+    lake, path = Lake(f"{folder}/lake"), f"{folder}/raw/trips_2024-05"
+    line = F.col("passenger_count")
+    far = {"VendorID": F.when(line == 7, 3_000_000_000).otherwise(F.col("VendorID")), "passenger_count": F.when(line == 6, 1 << 40).otherwise(line)}
+    line_trips(spark, sf_dir, contracts.RAW_TRIPS.fieldNames()).withColumns(far).write.parquet(path)
+    zones(spark, sf_dir).write.option("header", True).csv(f"{folder}/zones")
+    run(spark, lake, [path], f"{folder}/zones", line_rules(), "first", LOADED_AT)
+    count = F.count(F.lit(1)).alias("rows")
+    facts = spark.read.parquet(lake.table("fact_trips")).agg(count, F.count_if(F.col("vendor_key") == 1).alias("of_vendor_one"))
+    columns = spark.read.parquet(lake.unfit).select(F.explode("lost_columns").alias("told_by"))
+    lost = columns.groupBy("told_by").agg(count, F.lit(0).cast("long").alias("of_vendor_one"))
+    return facts.select(F.lit("facts").alias("told_by"), "*").unionByName(lost)
