@@ -39,6 +39,8 @@ MARGIN = 64
 #: Words at either end of a window that must agree besides the run, where texts are tied a second time.
 END_WORDS = 8
 SEED = 42
+#: Keys of longer windows that a task holds at once; those of one text may be more.
+KEYS_HELD = 1 << 18
 
 WORDS = "doc_id long, words binary"
 ANCHORS = "key long, doc_id long, place int, found byte, leader long, leader_place int"
@@ -240,17 +242,25 @@ def tied_again(met: DataFrame, passages: DataFrame, words: DataFrame, shortest:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs, places, keys = [], [], []
+            docs, places, keys, filled = [], [], [], 0
+
+            def tied() -> pa.RecordBatch:
+                doc = np.concatenate(docs)
+                # Every hash function counts as having found these.
+                return led(np.concatenate(keys), doc, np.concatenate(places), np.full(len(doc), 127, np.int8))
+
             raw, asked = batch.column("words"), batch.column("places")
             for k, doc in enumerate(batch.column("doc_id").to_pylist()):
                 at, key = window_keys(np.frombuffer(raw[k].as_buffer(), "<u4"), np.asarray(asked[k].values, np.int64), shortest)
                 docs.append(np.full(len(at), doc, np.int64))
                 places.append(at)
                 keys.append(key)
+                filled += len(at)
+                if filled >= KEYS_HELD:
+                    yield tied()
+                    docs, places, keys, filled = [], [], [], 0
             if docs:
-                doc = np.concatenate(docs)
-                # Every hash function counts as having found these.
-                yield led(np.concatenate(keys), doc, np.concatenate(places), np.full(len(doc), 127, np.int8))
+                yield tied()
 
     asked = that_may_be_in(words, "doc_id", own.select("doc_id"))
     return asked.join(own, "doc_id").select("doc_id", "words", "places").mapInArrow(run, ANCHORS)
