@@ -11,6 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starmart.llm.filters import that_may_be_in
 from starmart.llm.text import slices
 from starmart.sources.lake import scratch_folder
 
@@ -18,11 +19,8 @@ from starmart.sources.lake import scratch_folder
 ORDERS = (4, 5, 6)
 BITS = 18
 SMOOTHING = 1.0
-#: Features that the classifier may weigh: those whose presence differs most between the classes, beyond chance.
-FEATURES = 1024
+#: Features that the classifier weighs: all whose presence differs by so many standard deviations between the classes.
 LEAST_DEVIATION = 4.0
-#: Labels of at most so many rows (16 bytes each) are sent to the documents; more are met in a shuffle.
-BROADCAST_LABELS = 2_000_000
 #: Labelled rows that the weights are fitted on, half per class; the counts come from all of them.
 SAMPLE_ROWS = 16384
 RIDGE = 1e-4
@@ -111,9 +109,8 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     chosen = (
         held.withColumn("z", F.abs(p1 - p0) / spread)
         .where(F.col("z") >= LEAST_DEVIATION)
-        .orderBy(F.desc("z"), "feature")
-        .limit(FEATURES)
         .select("feature", "toxic", "clean")
+        .orderBy("feature")
         .toPandas()
     )
     used = chosen["feature"].to_numpy(np.int64)
@@ -180,7 +177,7 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, held_out) -> DataFrame:
     """(doc_id, text, toxic) of labelled documents outside the held-out fold.
 
     Labels other than 0 and 1 and null ids are left out; an id labelled twice counts as toxic if either label says
-    so. `held_out` is a condition on doc_id.
+    so. `held_out` is a condition on doc_id. Texts without a label are kept out of the join by a filter of a fixed size.
     """
     own = (
         labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
@@ -188,7 +185,6 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, held_out) -> DataFrame:
         .agg(F.max("toxic").cast("int").alias("toxic"))
     )
     own = own.where(~held_out)
-    if labels.count() <= BROADCAST_LABELS:
-        own = F.broadcast(own)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return rows.where(~held_out).join(own, "doc_id")
+    asked = that_may_be_in(rows.where(F.col("doc_id").isNotNull() & ~held_out), "doc_id", own.select("doc_id"))
+    return asked.join(own, "doc_id")
