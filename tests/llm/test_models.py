@@ -59,6 +59,82 @@ def test_predictive_probabilities_sum_to_one():
     assert np.allclose(mean.sum(axis=1), 1) and (mean > 0).all()
 
 
+def test_customers_keep_their_seats_through_sweeps():
+    draw = np.random.default_rng(5)
+    n = np.array([1, 2, 3, 40, 5000, 1, 7])
+    at = np.array([0, 0, 0, 1, 1, 2, 2])
+    held = pitman_yor.Restaurants(at, n, np.full(7, 0.1), 3, 1.0, 0.5, draw)
+    for _ in range(20):
+        held.sweep(np.full(7, 0.1))
+        pair = np.repeat(np.arange(len(held.many)), held.held)
+        assert (np.bincount(pair, held.size) == n[held.many]).all()
+        assert (np.bincount(pair[held.size > 0]) == held.tables[held.many]).all()
+        assert (held.opened == np.bincount(at, held.tables)).all() and (held.tables[n == 1] == 1).all()
+
+
+def test_sweeps_reach_the_exact_distribution_of_tables():
+    # Three customers of one dish, alone in their restaurant: every seating has its Pitman-Yor weight.
+    p, theta, d = 0.3, 1.0, 0.5
+    one = (1 - d) * (2 - d) * theta * p
+    two = 3 * (1 - d) * theta * (theta + d) * p**2
+    three = theta * (theta + d) * (theta + 2 * d) * p**3
+    count = 4000
+    held = pitman_yor.Restaurants(np.arange(count), np.full(count, 3), np.full(count, p), count, theta, d, np.random.default_rng(2))
+    seen = np.zeros(4)
+    for sweep in range(12):
+        held.sweep(np.full(count, p))
+        if sweep >= 4:
+            seen += np.bincount(held.tables, minlength=4)
+    expected = np.array([one, two, three]) / (one + two + three)
+    assert np.allclose(seen[1:] / seen.sum(), expected, atol=0.015)
+
+
+def test_language_model_scores_by_its_definition(spark):
+    from pyspark.sql import functions as F
+
+    texts = ["the cat sat on the mat", "the dog sat on the log", None, "a cat and a dog", "the cat sat", "zzz qqq sat"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in pitman_yor.score(docs, F.col("doc_id") >= 4).collect()}
+    train = [tokens(t) for t in texts[:4]]
+    counts = Counter(w for t in train for w in t)
+    top = ["", *sorted((w for w in counts if w), key=lambda w: (-counts[w], w))]
+    assert len(top) < pitman_yor.TOP
+    # All training words are classes here, so the contexts are those of the class matrix, and a word's own share is one.
+    pairs = Counter((top.index(a), top.index(b)) for t in train for a, b in zip(["", *t], t))
+    before, after = (np.array(x) for x in zip(*sorted(pairs)))
+    n = np.array([pairs[x] for x in sorted(pairs)])
+    mean = np.mean([pitman_yor.sampled(before, after, n, k) for k in range(pitman_yor.CHAINS)], axis=0)
+    for i in (0, 1, 2, 3, 4):
+        own = [top.index(w) for w in tokens(texts[i])]
+        assert abs(rows[i].score - sum(math.log10(mean[a, b]) for a, b in zip([0, *own], own))) < 1e-4
+
+
+def test_word_contexts_give_probabilities(spark, monkeypatch):
+    """With two classes of frequent words, all others have contexts of their own; brute force over the classes of a vocabulary."""
+    monkeypatch.setattr(pitman_yor, "TOP", 2)
+    draw = np.random.default_rng(4)
+    words = [f"w{a}" for a in "abcdefghij"]
+    texts = [" ".join(draw.choice(words, 30)) for _ in range(60)]
+    docs = spark.createDataFrame([(i, t, False) for i, t in enumerate(texts)], "doc_id long, text string, held boolean")
+    blocks = pitman_yor.blocks_of(docs).cache()
+    top = pitman_yor.frequent(blocks)
+    assert len(top) == 2
+    posted = pitman_yor.postings(blocks, top)
+    held = pitman_yor.contexts(posted).cache()
+    got = {
+        (r.word, int(a)): int(m)
+        for r in held.collect()
+        for a, m in zip(np.frombuffer(r.after, "<u2"), np.frombuffer(r.n, "<i8"))
+    }
+    classes = dict(zip(["", *words], pitman_yor.classes_of(pitman_yor.pa.array(["", *words]), top).tolist()))
+    expected = Counter((a, classes[b]) for t in texts for a, b in zip(["", *tokens(t)], tokens(t)) if classes[a] >= 2)
+    assert got == expected
+    parents = np.full((2, pitman_yor.CLASSES, pitman_yor.CLASSES), 1 / pitman_yor.CLASSES, "<f4")
+    for r in pitman_yor.answers(held, parents, 0.5).collect():
+        total = np.frombuffer(r.extra, "<f4").sum() + np.frombuffer(r.mass, "<f4").mean()
+        assert abs(total - 1) < 1e-5 and (r.k >= 2 or len(r.extra) == 0)
+
+
 def test_tables_lie_between_one_and_the_customers():
     c = np.array([0, 1, 2, 500, 10**6])
     tables = pitman_yor.seated(c, np.full(5, 0.01), np.full(5, 10.0), 0.5, np.random.default_rng(1))
