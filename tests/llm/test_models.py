@@ -119,20 +119,22 @@ def test_word_contexts_give_probabilities(spark, monkeypatch):
     blocks = pitman_yor.blocks_of(docs).cache()
     top = pitman_yor.frequent(blocks)
     assert len(top) == 2
-    posted = pitman_yor.postings(blocks, top)
-    held = pitman_yor.contexts(posted).cache()
-    got = {
-        (r.word, int(a)): int(m)
-        for r in held.collect()
-        for a, m in zip(np.frombuffer(r.after, "<u2"), np.frombuffer(r.n, "<i8"))
-    }
-    classes = dict(zip(["", *words], pitman_yor.classes_of(pitman_yor.pa.array(["", *words]), top).tolist()))
+    held = pitman_yor.contexts(pitman_yor.postings(blocks, top, 3)).cache()
+    classes = dict(zip(["", *words], pitman_yor.classes_of(["", *words], top).tolist()))
+    got = {}
+    for r in held.collect():
+        names, sizes = pitman_yor.unpacked_words(r.words), pitman_yor.unpacked(r.sizes, 2)
+        of = [w for w, m in zip(names, sizes) for _ in range(m)]
+        got |= {(w, a): m for w, a, m in zip(of, pitman_yor.unpacked(r.after, 2).tolist(), pitman_yor.unpacked(r.n, 8).tolist())}
     expected = Counter((a, classes[b]) for t in texts for a, b in zip(["", *tokens(t)], tokens(t)) if classes[a] >= 2)
     assert got == expected
     parents = np.full((2, pitman_yor.CLASSES, pitman_yor.CLASSES), 1 / pitman_yor.CLASSES, "<f4")
     for r in pitman_yor.answers(held, parents, 0.5).collect():
-        total = np.frombuffer(r.extra, "<f4").sum() + np.frombuffer(r.mass, "<f4").mean()
-        assert abs(total - 1) < 1e-5 and (r.k >= 2 or len(r.extra) == 0)
+        n, tables, sizes = pitman_yor.unpacked(r.n, 8), pitman_yor.unpacked(r.tables, 8), pitman_yor.unpacked(r.sizes, 2)
+        opened = pitman_yor.unpacked(r.opened, 8).reshape(2, -1)
+        assert ((tables >= 2 * np.minimum(n, 1)) & (tables <= 2 * n)).all()
+        at = np.repeat(np.arange(len(sizes)), sizes)
+        assert (opened.sum(axis=0) == np.bincount(at, tables, len(sizes))).all()
 
 
 def test_tables_lie_between_one_and_the_customers():
