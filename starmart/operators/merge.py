@@ -27,24 +27,34 @@ def one_row_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return checked.select(*[F.col(f"t.{c}").alias(c) for c in df.columns])
 
 
+def _found(target: DataFrame, source: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Of the target's rows, those whose key the source has: a filter, which leaves the target where it lies."""
+    wanted = source.select(*keys).alias("s")
+    return target.select(*keys, *columns).alias("t").join(wanted, _same_key(keys), "left_semi")
+
+
 def upsert(
     target: DataFrame,
     source: DataFrame,
     keys: Sequence[str],
     update: Sequence[str] | None = None,
+    checked: bool = False,
 ) -> DataFrame:
     """Target with source merged in: new keys inserted, known keys updated.
 
     `update` names the columns a known key takes from the source (default: all);
     the others keep the target's value. Null keys match each other. A key that
-    occurs twice in the source is an error. The target is only filtered by the
-    source's keys, so a small source is broadcast and the target does not move.
+    occurs twice in the source is an error; `checked` says that none does. The
+    target is only ever filtered by the source's keys, and what is left of it is no
+    larger than the source. Where Spark knows that the source is small, as it does of
+    one that was checked and stored (`starmart.sources.lake.stage_source`), it
+    broadcasts the keys and the target does not move.
     """
     kept = [c for c in target.columns if update is not None and c not in update and c not in keys]
-    s = one_row_per_key(source.select(*target.columns), keys)
+    s = source.select(*target.columns) if checked else one_row_per_key(source.select(*target.columns), keys)
     merged = s
     if kept:
-        t = target.select(*keys, *kept).withColumn("__known", F.lit(True)).alias("t")
+        t = _found(target, s, keys, kept).withColumn("__known", F.lit(True)).alias("t")
         found = F.col("t.__known").isNotNull()
         columns = [
             F.when(found, F.col(f"t.{c}")).otherwise(F.col(f"s.{c}")).alias(c) if c in kept else F.col(f"s.{c}").alias(c)
@@ -55,8 +65,8 @@ def upsert(
     return others.select(*target.columns).unionByName(merged)
 
 
-def insert_if_absent(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target plus the source rows whose key it does not have; target rows never change."""
-    s = one_row_per_key(source.select(*target.columns), keys).alias("s")
-    absent = s.join(target.select(*keys).alias("t"), _same_key(keys), "left_anti")
-    return target.unionByName(absent)
+def insert_if_absent(target: DataFrame, source: DataFrame, keys: Sequence[str], checked: bool = False) -> DataFrame:
+    """Target plus the source rows whose key it does not have; target rows never change. `checked` as in `upsert`."""
+    s = source.select(*target.columns) if checked else one_row_per_key(source.select(*target.columns), keys)
+    known = _found(target, s, keys, []).alias("t")
+    return target.unionByName(s.alias("s").join(known, _same_key(keys), "left_anti"))

@@ -6,9 +6,11 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import reduce
+from hashlib import sha1
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starmart import contracts
 from starmart import fixed_values as fixed
@@ -18,11 +20,25 @@ from starmart.functions.measures import exact_average
 from starmart.operators import dims, gate
 from starmart.operators.fact import TRIPS, build_fact
 from starmart.operators.gate import Rule
-from starmart.operators.lineage import FILE, month_of_path, split_month
+from starmart.operators.lineage import FILE, month_of_path, plain_path, plain_path_of, split_month
 from starmart.operators.star import TRIP_STAR, fk_orphans, look_up
 from starmart.plans.ledger import RunLedger
 from starmart.sources.lake import load, load_dimension, register_files, replace_files, replace_months, write_partitions
-from starmart.sources.scan import CORRUPT, clean_rows, exists, raw_files, read_bronze_source, read_csv, read_months
+from starmart.sources.scan import (
+    CORRUPT,
+    as_text,
+    clean_rows,
+    corrupt_rows,
+    exists,
+    file_bytes,
+    month_bytes,
+    raw_files,
+    read_as_text,
+    read_bronze_source,
+    read_csv,
+    read_months,
+)
+from starmart.sources.snapshots import has_snapshot, read_snapshot
 
 
 @dataclass(frozen=True)
@@ -69,6 +85,10 @@ class Lake:
     def unfit(self) -> str:
         return f"{self.root}/bronze/unfit"
 
+    @property
+    def quarantine(self) -> str:
+        return f"{self.root}/bronze/quarantine"
+
     def layers(self) -> dict[str, str]:
         return {"trips": self.bronze_trips, "zones": self.bronze_zones}
 
@@ -89,27 +109,29 @@ def ingest(
 
     Each file present is replaced; other files, of the same month too, stay with
     their rows and keys. All months are one job whose tasks write where they read:
-    no shuffle. Files without a month in their path
-    are not loaded; their rows are counted as rejected. Rows with a value that does not fit its type are
+    no shuffle. Rows of files without a month in their path, and zone lines that do not fit, are kept as text (see
+    `quarantine`) and count as rejected. Rows with a value that does not fit its type are
     rejected, too, and kept as text (see `keep_unfit`).
     """
+    now = F.lit(loaded_at or datetime.now(timezone.utc))
     if zones_csv is not None:
         with ledger.stage("bronze_zones") as stage:
-            seen = Observation()
-            lines = read_csv(spark, zones_csv, contracts.ZONES).observe(
-                seen, F.count(F.lit(1)).alias("lines"), F.count_if(F.col(CORRUPT).isNotNull()).alias("corrupt")
-            )
-            clean_rows(lines).write.mode("overwrite").parquet(lake.bronze_zones)
-            stage.records_in, stage.records_rejected = seen.get["lines"], seen.get["corrupt"]
-            stage.records_out = stage.records_in - stage.records_rejected
+            lines, seen = read_csv(spark, zones_csv, contracts.ZONES), Observation()
+            told = lines.observe(seen, F.count(F.lit(1)).alias("lines"), F.count_if(F.col(CORRUPT).isNotNull()).alias("corrupt"))
+            clean_rows(told).write.mode("overwrite").parquet(lake.bronze_zones)
+            stage.records_in, corrupt = seen.get["lines"], seen.get["corrupt"]
+            if corrupt or exists(spark, lake.quarantine):
+                stage.records_rejected = quarantine(lake, as_text(corrupt_rows(lines)), lines.inputFiles(), UNFIT_LINE, now)
+            stage.records_out = stage.records_in - corrupt
+            stage.bytes_processed = file_bytes(spark, [zones_csv])
     dated = [p for p in trip_paths if month_of_path(p)]
     undated = [p for p in trip_paths if not month_of_path(p)]
     months = sorted({month_of_path(p) for p in dated})
     with ledger.stage("bronze_trips") as stage:
         if undated:
-            stage.records_rejected = spark.read.parquet(*undated).count()
+            rows = read_as_text(spark, undated)
+            stage.records_rejected = quarantine(lake, rows, raw_files(spark, undated), UNDATED, now)
         if dated:
-            now = F.lit(loaded_at or datetime.now(timezone.utc))
             numbered = register_files(spark, lake.files, raw_files(spark, dated))
             raw = with_losses(read_bronze_source(spark, dated, contracts.RAW_TRIPS, now, numbered, lost=LOST))
             seen, lost = Observation(), F.size(LOST) > 0
@@ -118,9 +140,42 @@ def ingest(
             stage.records_out = written_rows(written, months)
             stage.records_rejected += keep_unfit(spark, lake, raw, numbered, seen.get["lost"], ledger)
         stage.records_in = stage.records_out + stage.records_rejected
+        stage.bytes_processed = file_bytes(spark, trip_paths)
     return months
 
 
+# Why a row is in quarantine.
+UNDATED, UNFIT_LINE = "no month in the file's path", "line does not fit"
+
+
+def quarantine(lake: Lake, rows: DataFrame, files: Sequence[str], reason: str, loaded_at: Column) -> int:
+    """Keep rows (file, row) that cannot be loaded, in place of those kept of these files; returns their number.
+
+    Each file is a partition, named by a digest of its path. One that has no such rows any more is emptied, so of a
+    file that was mended and loaded again nothing is left. `read_quarantine` reads them back.
+    """
+    spark, seen = rows.sparkSession, Observation()
+    path = plain_path_of(F.col("file"))
+    kept = rows.select(path.alias("file"), "row", F.lit(reason).alias("reason"), loaded_at.alias("loaded_at"), F.sha1(path).alias("_input"))
+    watched = kept.observe(seen, F.collect_set("_input").alias("met"), F.count(F.lit(1)).alias("rows"))
+    write_partitions(watched, lake.quarantine, ["_input"])
+    result = seen.get
+    for name in {sha1(plain_path(f).encode()).hexdigest() for f in files} - set(result["met"]):
+        if exists(spark, f"{lake.quarantine}/_input={name}"):
+            kept.limit(0).drop("_input").write.mode("overwrite").parquet(f"{lake.quarantine}/_input={name}")
+    return result["rows"]
+
+
+def read_quarantine(spark: SparkSession, lake: Lake, reason: str | None = None, schema: T.StructType | None = None) -> DataFrame:
+    """Rows that could not be loaded: (file, row, reason, loaded_at), or, with a schema, the columns of `row` under it.
+
+    Rows of undated files under the raw contract, written to a path that names their month, are ready to be ingested.
+    """
+    held = spark.read.parquet(lake.quarantine).drop("_input")
+    chosen = held if reason is None else held.where(F.col("reason") == reason)
+    return chosen if schema is None else chosen.select(F.from_json("row", schema).alias("row")).select("row.*")
+
+
 LOST = "__lost"
 
 
@@ -159,6 +214,7 @@ def write_rejects(bronze: DataFrame, lake: Lake, months: Sequence[str], rules: S
     are observed in the stage that scans and writes.
     """
     with ledger.stage("gate") as stage:
+        stage.bytes_processed = month_bytes(bronze.sparkSession, lake.bronze_trips, months)
         seen, ok = Observation(), gate.passes(rules)
         day = F.when(ok, F.to_date(TRIPS.pickup))
         watched = bronze.observe(
@@ -225,12 +281,13 @@ def build_star(
         fact = build_fact(gate.accepted(bronze, rules), TRIPS, "_year", "_month")
         written = replace_months(fact, lake.table(TRIP_STAR.fact), months)
         stage.records_in = seen["accepted"]
+        stage.bytes_processed = month_bytes(spark, lake.bronze_trips, months)
         stage.records_out = written_rows(written, months)
     orphans = {}
-    if exists(spark, lake.table("dim_date")):
+    if has_snapshot(spark, lake.table("dim_date")):
         with ledger.stage("foreign_keys") as stage:
             fact = read_months(spark, lake.table(TRIP_STAR.fact), months)
-            tables = {name: spark.read.parquet(lake.table(name)) for name in TRIP_STAR.dimensions}
+            tables = {name: read_snapshot(spark, lake.table(name)) for name in TRIP_STAR.dimensions}
             # One row per foreign key. A month without facts has none to report.
             orphans = {row.fk: row.orphan_rows for row in fk_orphans(fact, tables).collect()}
             ledger.record([("orphan_rows", rows, "gauge", {"fk": fk}) for fk, rows in orphans.items()])
@@ -306,6 +363,7 @@ def refresh_marts(spark: SparkSession, lake: Lake, months: Sequence[str], ledger
     """
     by = ("mart", "_year", "_month")
     with ledger.stage("marts") as stage:
+        stage.bytes_processed = month_bytes(spark, lake.table(TRIP_STAR.fact), months)
         sums, seen = mart_sums(read_months(spark, lake.table(TRIP_STAR.fact), months)), Observation()
         rows = sums.hint("rebalance", *[F.col(c) for c in by])
         write_partitions(rows.observe(seen, F.collect_set(F.struct(*by)).alias("met"), F.count(F.lit(1)).alias("rows")), lake.marts, by)
@@ -323,7 +381,7 @@ def read_mart(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
     if name in NAMED_MARTS:
         stored, column, table, key, by = NAMED_MARTS[name]
         held = spark.read.parquet(lake.mart(stored)).groupBy(column).agg(*[F.sum(c).alias(c) for c in SUMS])
-        sums = look_up(held, spark.read.parquet(lake.table(table)), column, key, attributes=by)
+        sums = look_up(held, read_snapshot(spark, lake.table(table)), column, key, attributes=by)
     else:
         by = [k for k in MARTS[name] if k not in FLAGS]
         sums = spark.read.parquet(lake.mart(name)).where(reduce(Column.__and__, [F.col(k) for k in MARTS[name] if k in FLAGS], F.lit(True)))
@@ -350,7 +408,7 @@ def publish(
     a month, so a re-run of `append` would double it: prefer overwrite there.
     """
     for name in TRIP_STAR.dimensions:
-        load(spark.read.parquet(lake.table(name)), name, "jdbc", "overwrite", connection=connection)
+        load(read_snapshot(spark, lake.table(name)), name, "jdbc", "overwrite", connection=connection)
     fact = read_months(spark, lake.table(TRIP_STAR.fact), months).drop("_year", "_month")
     load(fact, TRIP_STAR.fact, "jdbc", fact_mode, connection=connection, drop_key=TRIP_STAR.fact_key)
 

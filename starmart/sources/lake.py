@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from starmart.functions.keys import MAX_FILES_PER_MONTH
 from starmart.operators.lineage import FILE, month_of_path, number_files, split_month
-from starmart.operators.merge import insert_if_absent, upsert
+from starmart.operators.merge import insert_if_absent, one_row_per_key, upsert
 from starmart.sources.jdbc import write_jdbc
 from starmart.sources.scan import exists, read_months
+from starmart.sources.snapshots import has_snapshot, read_snapshot, write_snapshot
 
 MONTH = ("_year", "_month")
 MODES = ("overwrite", "append", "error", "ignore")
@@ -165,6 +166,16 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> int:
     return seen.get["rows"]
 
 
+def stage_source(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The same rows, checked for a key that occurs twice and stored, so that Spark plans by their size.
+
+    The check's join hides how small a source is; its stored rows show it.
+    """
+    folder = scratch_folder(source.sparkSession, "merge")
+    one_row_per_key(source, keys).write.parquet(folder)
+    return source.sparkSession.read.schema(source.schema).parquet(folder)
+
+
 def load_dimension(
     df: DataFrame,
     path: str,
@@ -174,18 +185,19 @@ def load_dimension(
 ) -> int:
     """Load a dimension: upsert (default), insert (only absent keys) or overwrite; returns its row count.
 
-    A merge reads the table it replaces, so the merged rows are checkpointed to
-    the shared folder before the old files go.
+    The table is one of snapshots (see `starmart.sources.snapshots`): a load that fails leaves the members that facts
+    point to. The source is stored first, the target is read where it lies and written once.
     """
     spark = df.sparkSession
     if how not in ("upsert", "insert", "overwrite"):
         raise ValueError(f"unknown way to load a dimension: {how}")
-    if how == "overwrite" or not exists(spark, path):
-        return write_table(df, path)
-    shared_folder(spark)
-    target = spark.read.parquet(path)
-    merged = upsert(target, df, keys, update) if how == "upsert" else insert_if_absent(target, df, keys)
-    return write_table(merged.checkpoint(), path)
+    if how == "overwrite" or not has_snapshot(spark, path):
+        return write_snapshot(df, path)
+    target = read_snapshot(spark, path)
+    source = stage_source(df.select(*target.columns), keys)
+    if how == "upsert":
+        return write_snapshot(upsert(target, source, keys, update, checked=True), path)
+    return write_snapshot(insert_if_absent(target, source, keys, checked=True), path)
 
 
 def without_surrogate(df: DataFrame, key: str = "trip_key") -> DataFrame:

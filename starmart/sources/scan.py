@@ -47,14 +47,29 @@ def read_raw(
         row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"})
         return align(df, schema, *also, names.alias(lost), F.when(F.size(names) > 0, row).alias(f"{lost}_row"))
 
+    return reduce(DataFrame.unionByName, map(aligned, _scans(spark, paths)))
+
+
+def _scans(spark: SparkSession, paths: Sequence[str]) -> list[DataFrame]:
+    """One scan per distinct schema of the files, with their own types; a single one where all files agree."""
     common = _one_schema(spark, paths)
     if common is not None:
-        return aligned(spark.read.schema(common).parquet(*paths))
+        return [spark.read.schema(common).parquet(*paths)]
     by_schema: dict[str, tuple[T.StructType, list[str]]] = {}
     for found, files in _agreeing(spark, raw_files(spark, paths)):
         by_schema.setdefault(found.json(), (found, []))[1].extend(files)
-    scans = [aligned(spark.read.schema(found).parquet(*files)) for found, files in by_schema.values()]
-    return reduce(DataFrame.unionByName, scans)
+    return [spark.read.schema(found).parquet(*files) for found, files in by_schema.values()]
+
+
+def as_text(df: DataFrame) -> DataFrame:
+    """(file, row) of a scan: the path of a row's file, and the row as JSON with all its columns, nulls too."""
+    row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"})
+    return df.select(F.col("_metadata.file_path").alias("file"), row.alias("row"))
+
+
+def read_as_text(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(file, row) of raw files of any schema, every column under the name and type it has in its file."""
+    return reduce(DataFrame.unionByName, map(as_text, _scans(spark, paths)))
 
 
 def _agreeing(spark: SparkSession, files: Sequence[str]) -> list[tuple[T.StructType, list[str]]]:
@@ -121,6 +136,19 @@ def corrupt_rows(csv: DataFrame) -> DataFrame:
     return csv.filter(F.col(CORRUPT).isNotNull())
 
 
+def file_bytes(spark: SparkSession, paths: Sequence[str]) -> int:
+    """Bytes of the files at the paths, in partitions below them too, from their listing; no file is opened."""
+    if not paths:
+        return 0
+    return spark.read.format("binaryFile").load(list(paths)).agg(F.sum("length").alias("bytes")).first().bytes or 0
+
+
+def month_bytes(spark: SparkSession, path: str, months: Sequence[str]) -> int:
+    """Bytes of the listed months of a lake table partitioned by `_year` and `_month`."""
+    table = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    return table.filter(in_months(months)).agg(F.sum("length").alias("bytes")).first().bytes or 0
+
+
 def in_months(months: Sequence[str], year: str = "_year", month: str = "_month") -> Column:
     """True for rows of the listed yyyy-MM months; on partition columns it prunes directories."""
     by_year: dict[int, list[int]] = {}

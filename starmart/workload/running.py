@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from starmart import contracts
 from starmart import fixed_values as fixed
-from starmart.plans.jobs import FLAGS, MARTS, Lake, read_mart, run
+from starmart.plans.jobs import FLAGS, MARTS, UNDATED, UNFIT_LINE, Lake, read_mart, read_quarantine, run
 from starmart.plans.ledger import job_stats
-from starmart.sources.lake import scratch_folder, write_partitions
+from starmart.sources.lake import load_dimension, scratch_folder, write_partitions
 from starmart.sources.scan import layer_health
+from starmart.sources.snapshots import read_snapshot, read_snapshot_before
 from starmart.workload.registry import LINE_CHECKS, LINE_FACT, query
-from starmart.workload.testbed import LOADED_AT, line_rules, line_trips, zones
+from starmart.workload.testbed import LOADED_AT, line_rules, line_trips, table, zones
 
 # Files loaded a second time, which must change nothing.
 AGAIN = ["1995-01", "1999-01"]
@@ -183,3 +184,69 @@ def lost_at_ingest(spark, sf_dir):
     columns = spark.read.parquet(lake.unfit).select(F.explode("lost_columns").alias("told_by"))
     lost = columns.groupBy("told_by").agg(count, F.lit(0).cast("long").alias("of_vendor_one"))
     return facts.select(F.lit("facts").alias("told_by"), "*").unionByName(lost)
+
+
+@query(
+    "quarantined",
+    f"""SELECT 'held' AS told_by, '{UNDATED.replace("'", "''")}' AS reason, CAST(count(*) AS BIGINT) AS rows,
+          CAST(count(DISTINCT s_nationkey) AS BIGINT) AS places
+        FROM lineitem JOIN supplier ON s_suppkey = l_suppkey WHERE l_linenumber > 4
+        UNION ALL SELECT 'held', '{UNFIT_LINE}', CAST(count(*) AS BIGINT), 0 FROM nation WHERE n_regionkey = 1
+        UNION ALL SELECT 'ledger', 'bronze_trips', CAST(count(*) AS BIGINT), 0 FROM lineitem WHERE l_linenumber > 4
+        UNION ALL SELECT 'ledger', 'bronze_zones', CAST(count(*) AS BIGINT), 0 FROM nation WHERE n_regionkey = 1""",
+)
+def quarantined(spark, sf_dir):
+    """Files without a month and zone lines that do not fit: every row is held as text, as many as the ledger says."""
+    folder = scratch_folder(spark, "held")
+    lake, paths = Lake(f"{folder}/lake"), [f"{folder}/raw/trips_2024-05", f"{folder}/raw/trips"]
+    line = F.col("passenger_count")
+    trips = line_trips(spark, sf_dir, contracts.RAW_TRIPS.fieldNames())
+    for path, part in zip(paths, (trips.where(line <= 4), trips.where(line > 4)), strict=True):
+        part.write.parquet(path)
+    america = F.when(F.col("Borough") == "AMERICA", F.concat(F.lit("zone "), "LocationID")).otherwise(F.col("LocationID").cast("string"))
+    zones(spark, sf_dir).withColumn("LocationID", america).write.option("header", True).csv(f"{folder}/zones")
+    run(spark, lake, paths, f"{folder}/zones", line_rules(), "first", LOADED_AT)
+    none, count = F.lit(0).cast("long"), F.count(F.lit(1)).alias("rows")
+    place = F.from_json("row", contracts.RAW_TRIPS)["PULocationID"]
+    held = read_quarantine(spark, lake).groupBy("reason").agg(count, F.countDistinct(place).alias("places"))
+    told = spark.read.parquet(f"{lake.ledger}/stages").where("stage IN ('bronze_trips', 'bronze_zones')")
+    ledger = told.select(F.lit("ledger").alias("told_by"), F.col("stage").alias("reason"), F.col("records_rejected").alias("rows"), none.alias("places"))
+    return held.select(F.lit("held").alias("told_by"), "*").unionByName(ledger)
+
+
+@query(
+    "bytes_read",
+    """SELECT * FROM (VALUES ('bronze_trips', true), ('gate', true), ('fact', true), ('marts', true)) AS t(stage, as_scanned)""",
+)
+def bytes_read(spark, sf_dir):
+    """The ledger's bytes of each stage against the sizes of the files that a scan of its input meets."""
+    lake = loaded_lake(spark, sf_dir)
+    raw = f"{lake.root}/../raw"
+    inputs = {"bronze_trips": raw, "gate": lake.bronze_trips, "fact": lake.bronze_trips, "marts": lake.table("fact_trips")}
+
+    def met(stage, path):
+        files = spark.read.parquet(path).select("_metadata.file_path", "_metadata.file_size").distinct()
+        return files.agg(F.sum("file_size").alias("bytes")).select(F.lit(stage).alias("stage"), "bytes")
+
+    scanned = reduce(DataFrame.unionAll, [met(stage, path) for stage, path in inputs.items()])
+    told = spark.read.parquet(f"{lake.ledger}/stages").where("run_id = 'first'").select("stage", "bytes_processed")
+    return told.join(scanned, "stage").select("stage", (F.col("bytes") == F.col("bytes_processed")).alias("as_scanned"))
+
+
+@query(
+    "dimension_load",
+    """WITH s AS (SELECT l_partkey + 500 AS k, max(l_extendedprice) AS price FROM lineitem GROUP BY 1)
+       SELECT 'now' AS told_by, coalesce(p_partkey, k) AS part_key,
+         CASE WHEN p_partkey IS NULL THEN 'new' ELSE p_name END AS name, coalesce(price, p_retailprice) AS price
+       FROM part FULL JOIN s ON p_partkey = k
+       UNION ALL SELECT 'before', p_partkey, p_name, p_retailprice FROM part""",
+)
+def dimension_load(spark, sf_dir):
+    """Parts as a dimension, loaded and then merged with new prices: the table now, and as it was before."""
+    path = f"{scratch_folder(spark, 'dimension')}/dim_part"
+    parts = table(spark, sf_dir, "part").selectExpr("p_partkey AS part_key", "p_name AS name", "p_retailprice AS price")
+    sold = table(spark, sf_dir, "lineitem").groupBy((F.col("l_partkey") + 500).alias("part_key")).agg(F.max("l_extendedprice").alias("price"))
+    load_dimension(parts, path, ["part_key"])
+    load_dimension(sold.withColumn("name", F.lit("new")), path, ["part_key"], update=["price"])
+    now, before = read_snapshot(spark, path), read_snapshot_before(spark, path)
+    return now.select(F.lit("now").alias("told_by"), "*").unionByName(before.select(F.lit("before").alias("told_by"), "*"))

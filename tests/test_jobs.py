@@ -235,3 +235,41 @@ def test_marts_come_from_one_scan_of_the_facts(spark, folder, raw):
     assert sum(r.trips for r in read_mart(spark, lake, "high_value").collect()) == fact.where(F.col("total_amount") > jobs.fixed.HIGH_VALUE_TOTAL).count() > 0
     for name in jobs.NAMED_MARTS:
         assert sum(r.trips for r in read_mart(spark, lake, name).collect()) == 11
+
+
+def test_what_cannot_be_loaded_is_kept_and_can_be_loaded_later(spark, folder, raw):
+    lake, zones = Lake(f"{folder}/lake"), raw[1]
+    with open(zones, "a") as f:
+        f.write("x,Bad,Line,Here\n")
+    undated = month_file(folder, "trips.parquet", TRIPS[:2], VendorID=pa.int32())
+    other = f"{folder}/more.parquet"
+    pq.write_table(pa.table({"VendorID": ["one"], "file": [1.5], "row": [None]}), other)
+    run(spark, lake, [raw[0][0], undated, other], zones, run_id="one", loaded_at=LOADED)
+    held = jobs.read_quarantine(spark, lake)
+    told = {r.stage: r.records_rejected for r in open_ledger(spark, lake, "full", "one").this_run().collect()}
+    assert held.count() == told["bronze_zones"] + told["bronze_trips"] == 1 + 3
+    (line,) = held.where(F.col("reason") == jobs.UNFIT_LINE).collect()
+    assert json.loads(line.row)["_corrupt_record"] == "x,Bad,Line,Here" and line.file.endswith("zones.csv")
+    assert json.loads(held.where("file LIKE '%more%'").first().row) == {"VendorID": "one", "file": 1.5, "row": None}
+
+    pd.DataFrame(ZONES, columns=contracts.ZONES.fieldNames()).to_csv(zones, index=False)
+    spark.catalog.clearCache()
+    run(spark, lake, [undated], zones, loaded_at=LOADED)
+    assert jobs.read_quarantine(spark, lake, jobs.UNFIT_LINE).count() == 0
+    assert jobs.read_quarantine(spark, lake, jobs.UNDATED).count() == 3  # loaded again, not doubled
+    rows = jobs.read_quarantine(spark, lake, jobs.UNDATED, contracts.RAW_TRIPS).where("fare_amount IS NOT NULL")
+    assert sorted(tuple(r) for r in rows.collect()) == sorted(tuple(r) for r in spark.createDataFrame(TRIPS[:2], contracts.RAW_TRIPS).collect())
+    rows.write.parquet(f"{folder}/mended_2023-01")
+    assert run(spark, lake, [f"{folder}/mended_2023-01"], None, loaded_at=LOADED)["facts_written"] == 6 + 2
+
+
+def test_bytes_are_those_of_the_files(spark, folder, raw):
+    paths, zones = raw
+    lake = Lake(f"{folder}/lake")
+    run(spark, lake, paths, zones, run_id="one", loaded_at=LOADED)
+    told = {r.stage: r.bytes_processed for r in open_ledger(spark, lake, "full", "one").this_run().collect()}
+    on_disk = [p for p, _, names in os.walk(lake.bronze_trips) for p in [f"{p}/{n}" for n in names if n.endswith(".parquet")]]
+    assert told["bronze_trips"] == sum(map(os.path.getsize, paths))
+    assert told["bronze_zones"] == os.path.getsize(zones)
+    assert told["gate"] == told["fact"] == sum(map(os.path.getsize, on_disk))
+    assert told["marts"] > 0

@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 
 from starmart.operators.lineage import month_of_path, number_files, split_month
 from starmart.operators.merge import insert_if_absent, upsert
-from starmart.sources import jdbc, lake, scan
+from starmart.sources import jdbc, lake, scan, snapshots
+from starmart.sources.snapshots import read_snapshot, read_snapshot_before
 
 
 def monthly(spark, rows):
@@ -116,12 +117,63 @@ def test_load_dimension(spark, folder):
     path = f"{folder}/dim"
     assert lake.load_dimension(table(spark, [(1, "a", "x"), (2, "b", "y")]), path, ["k"]) == 2
     assert lake.load_dimension(table(spark, [(2, "B", "Y"), (3, "c", "z")]), path, ["k"]) == 3
-    assert values(spark.read.parquet(path)) == {(1, "a", "x"), (2, "B", "Y"), (3, "c", "z")}
+    assert values(read_snapshot(spark, path)) == {(1, "a", "x"), (2, "B", "Y"), (3, "c", "z")}
     assert lake.load_dimension(table(spark, [(3, "C", "Z"), (4, "d", "w")]), path, ["k"], "insert") == 4
-    assert values(spark.read.parquet(path)) == {(1, "a", "x"), (2, "B", "Y"), (3, "c", "z"), (4, "d", "w")}
+    assert values(read_snapshot(spark, path)) == {(1, "a", "x"), (2, "B", "Y"), (3, "c", "z"), (4, "d", "w")}
     assert lake.load_dimension(table(spark, [(9, "i", "i")]), path, ["k"], "overwrite") == 1
     with pytest.raises(ValueError, match="unknown way"):
         lake.load_dimension(table(spark, []), path, ["k"], "merge")
+    assert values(read_snapshot(spark, path)) == {(9, "i", "i")}
+    assert values(read_snapshot_before(spark, path)) == {(1, "a", "x"), (2, "B", "Y"), (3, "c", "z"), (4, "d", "w")}
+    with pytest.raises(Exception, match="key occurs twice"):
+        lake.load_dimension(table(spark, [(1, "a", "x"), (1, "b", "y")]), path, ["k"])
+    assert values(read_snapshot(spark, path)) == {(9, "i", "i")}
+
+
+def test_a_load_that_fails_leaves_the_table_as_it_was(spark, folder, monkeypatch):
+    """Whether it fails while rows are written, or between these and the entry that names them."""
+    path = f"{folder}/dim"
+    with pytest.raises(ValueError, match="no finished load"):
+        read_snapshot(spark, path)
+    lake.load_dimension(table(spark, [(1, "a", "x")]), path, ["k"])
+    reader = read_snapshot(spark, path)
+    bad = table(spark, [(2, "b", "y")]).withColumn("note", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        snapshots.write_snapshot(reader.unionByName(bad), path)
+    monkeypatch.setattr(snapshots, "_newest", MagicMock(side_effect=RuntimeError("driver gone")))
+    with pytest.raises(RuntimeError, match="driver gone"):
+        snapshots.write_snapshot(table(spark, [(3, "c", "z")]), path)
+    monkeypatch.undo()
+    assert values(read_snapshot(spark, path)) == {(1, "a", "x")}
+    assert lake.load_dimension(table(spark, [(2, "b", "y")]), path, ["k"]) == 2
+    assert values(reader) == {(1, "a", "x")}  # a reader keeps what it began with
+    assert lake.load_dimension(table(spark, []), path, ["k"], "overwrite") == 0
+    assert values(read_snapshot(spark, path)) == set()
+
+
+@pytest.mark.parametrize("update", [None, ["name"]])
+def test_a_small_source_does_not_move_the_target(spark, folder, update):
+    spark.range(200_000).selectExpr("CAST(id AS INT) AS k", "sha1(string(id)) AS name", "sha1(string(-id)) AS note").write.parquet(f"{folder}/target")
+    target, source = spark.read.parquet(f"{folder}/target"), table(spark, [(7, "seven", "s"), (-1, "new", "n")])
+    staged = lake.stage_source(source, ["k"])
+    for merged, rows in ((upsert(target, staged, ["k"], update, checked=True), 200_001), (insert_if_absent(target, staged, ["k"], checked=True), 200_001)):
+        assert merged.count() == rows
+        collected = merged.where("k in (7, -1)").orderBy("k")
+        assert [r.k for r in collected.collect()] == [-1, 7]
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning" not in moved_from(plan, f"{folder}/target")
+
+
+def moved_from(plan, path):
+    """The lines between each scan of the path and the join that reads it: where an exchange would move it whole."""
+    lines, between = plan.splitlines(), []
+    for at, line in enumerate(lines):
+        if "FileScan" in line and path in line:
+            above = at - 1
+            while above >= 0 and "Join" not in lines[above]:
+                between.append(lines[above])
+                above -= 1
+    return "\n".join(between)
 
 
 def test_load_routing(spark, folder, trips):
