@@ -173,6 +173,7 @@ def moved_from(plan, path):
             while above >= 0 and "Join" not in lines[above]:
                 between.append(lines[above])
                 above -= 1
+    assert any("FileScan" in line and path in line for line in lines)
     return "\n".join(between)
 
 
