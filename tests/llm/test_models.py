@@ -137,6 +137,14 @@ def test_word_contexts_give_probabilities(spark, monkeypatch):
         assert (opened.sum(axis=0) == np.bincount(at, tables, len(sizes))).all()
 
 
+def test_frequent_words_are_counted_in_every_block(spark):
+    """A word that is rare in each block, but not in all of them, is as frequent as its count says."""
+    size = 20 * 8 * pitman_yor.TOP
+    rows = [(k, ["", "common", f"own{k}", "spread"], [1, size, 30, 19]) for k in range(4)]
+    blocks = spark.createDataFrame(rows, "block long, words array<string>, counts array<long>")
+    assert pitman_yor.frequent(blocks) == ["", "common", "spread", "own0", "own1", "own2", "own3"]
+
+
 def test_tables_lie_between_one_and_the_customers():
     c = np.array([0, 1, 2, 500, 10**6])
     tables = pitman_yor.seated(c, np.full(5, 0.01), np.full(5, 10.0), 0.5, np.random.default_rng(1))
