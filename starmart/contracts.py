@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import cache
+from functools import cache, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -111,6 +111,11 @@ def losses(df: DataFrame, schema: T.StructType) -> Column:
     return F.array_compact(F.array(*names)) if names else F.array().cast("array<string>")
 
 
+def loses(df: DataFrame, schema: T.StructType) -> Column:
+    """True for a row of which `losses` names a column; unlike that, it makes no array."""
+    return reduce(Column.__or__, [lost_value(df, f) for f in schema.fields], F.lit(False))
+
+
 def lost_values(df: DataFrame, schema: T.StructType) -> DataFrame:
     """One row: per declared column, how many present values the cast loses."""
     return df.agg(*[F.count_if(lost_value(df, f)).alias(f.name) for f in schema.fields])

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from starmart import contracts
 from starmart import fixed_values as fixed
-from starmart.contracts import align, losses
+from starmart.contracts import align, loses, losses
 from starmart.functions.keys import ROW_ID
 from starmart.functions.measures import exact_average
 from starmart.operators import dims, gate
@@ -134,7 +134,7 @@ def ingest(
         if dated:
             numbered = register_files(spark, lake.files, raw_files(spark, dated))
             raw = with_losses(read_bronze_source(spark, dated, contracts.RAW_TRIPS, now, numbered, lost=LOST))
-            seen, lost = Observation(), F.size(LOST) > 0
+            seen, lost = Observation(), F.col(f"{LOST}_any")
             fitting = raw.observe(seen, F.count_if(lost).alias("lost")).where(~lost)
             written = replace_files(align(fitting, contracts.BRONZE_TRIPS, ROW_ID, FILE), lake.bronze_trips, numbered)
             stage.records_out = written_rows(written, months)
@@ -180,10 +180,14 @@ LOST = "__lost"
 
 
 def with_losses(raw: DataFrame) -> DataFrame:
-    """`raw` with, in LOST, the columns whose present value fits neither the raw nor the bronze type, and such a row's text."""
+    """`raw` with, in LOST, the columns whose present value fits neither the raw nor the bronze type, and such a row's text.
+
+    Rows are told apart by the condition LOST_any: names and text are made where they are kept only.
+    """
     text = F.to_json(F.struct(*contracts.RAW_TRIPS.fieldNames()), {"ignoreNullFields": "false"})
     every = F.array_distinct(F.concat(LOST, losses(raw, contracts.BRONZE_TRIPS)))
-    return raw.withColumn(f"{LOST}_row", F.coalesce(f"{LOST}_row", text)).withColumn(LOST, every)
+    some = F.col(f"{LOST}_any") | loses(raw, contracts.BRONZE_TRIPS)
+    return raw.withColumns({f"{LOST}_row": F.coalesce(f"{LOST}_row", text), LOST: every, f"{LOST}_any": some})
 
 
 def keep_unfit(spark: SparkSession, lake: Lake, raw: DataFrame, numbered: Sequence, lost: int, ledger: RunLedger) -> int:
@@ -194,7 +198,7 @@ def keep_unfit(spark: SparkSession, lake: Lake, raw: DataFrame, numbered: Sequen
     """
     if not lost and not exists(spark, lake.unfit):
         return 0
-    kept = raw.where(F.size(LOST) > 0).select(
+    kept = raw.where(f"{LOST}_any").select(
         F.col(LOST).alias("lost_columns"), F.col(f"{LOST}_row").alias("row"), "_source_file", "_source_month", "_ingestion_ts",
         ROW_ID, "_year", "_month", FILE,
     )

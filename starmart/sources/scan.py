@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -11,8 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starmart.contracts import align, losses
-from starmart.operators.lineage import add_lineage, add_row_id, month_in_path, number_files, split_month
+from starmart.contracts import align, loses, losses
+from starmart.functions.keys import ROW_ID, position_key
+from starmart.operators.lineage import FILE, add_lineage, month_of_path, number_files, plain_path, split_month
 
 CORRUPT = "_corrupt_record"
 
@@ -37,7 +39,7 @@ def read_raw(
     also within a folder: one scan per distinct schema (a handful), none of which
     reads a file under another's types. `also` may name hidden columns of the
     scan, as `_metadata.file_name`. `lost` names a column for the names of a row's columns whose value does not
-    fit, and, with `_row` after it, one for such a row as text.
+    fit, with `_row` after it one for such a row as text, and with `_any` one that is true of such a row.
     """
 
     def aligned(df: DataFrame) -> DataFrame:
@@ -45,7 +47,8 @@ def read_raw(
             return align(df, schema, *also)
         names = losses(df, schema)
         row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"})
-        return align(df, schema, *also, names.alias(lost), F.when(F.size(names) > 0, row).alias(f"{lost}_row"))
+        some = loses(df, schema)
+        return align(df, schema, *also, names.alias(lost), F.when(some, row).alias(f"{lost}_row"), some.alias(f"{lost}_any"))
 
     return reduce(DataFrame.unionByName, map(aligned, _scans(spark, paths)))
 
@@ -104,9 +107,29 @@ def read_bronze_source(
         F.col("_metadata.row_index").alias("__row"),
     ]
     raw = read_raw(spark, paths, raw_schema, *hidden, lost=lost)
-    with_lineage = add_lineage(raw, F.col("__file"), month_in_path(F.col("__path")), loaded_at)
-    numbers = number_files(raw_files(spark, paths)) if numbered is None else numbered
-    return add_row_id(with_lineage, numbers, F.col("__path"), F.col("__row")).drop("__file", "__path", "__row")
+    files = raw_files(spark, paths)
+    located = _located(raw, files, number_files(files) if numbered is None else numbered)
+    with_lineage = add_lineage(located, F.col("__file"), F.col("__month"), loaded_at)
+    row_id = position_key(F.col("_year"), F.col("_month"), F.col("__number"), F.col("__row"))
+    keyed = with_lineage.withColumns({FILE: F.col("__number").cast("int"), ROW_ID: row_id})
+    return keyed.drop("__file", "__path", "__row", "__month", "__number")
+
+
+def _located(raw: DataFrame, files: Sequence[str], numbered: Sequence[tuple[str, str, int]]) -> DataFrame:
+    """`raw` with `__month` and `__number` of the file at `__path`, which are worked out once per file, not per row.
+
+    The list of files, which the driver holds anyway, is broadcast under the names that Spark gives to the files (`file:///`
+    in its listing is `file:/` with rows): planned by its unknown size it would bring all rows of a file to one task. A
+    single file needs no list. A row of a file without a number fails where its key is made.
+    """
+    numbers = {path: number for _, path, number in numbered}
+    listed = [(f, month_of_path(plain_path(f)), numbers.get(plain_path(f))) for f in files]
+    if len(listed) == 1:
+        ((_, month, number),) = listed
+        return raw.withColumns({"__month": F.lit(month).cast("string"), "__number": F.lit(number).cast("long")})
+    named = {name: entry for f, *entry in listed for name in (f, re.sub("^([^/:]+):///", r"\1:/", f))}
+    listing = raw.sparkSession.createDataFrame([(k, *v) for k, v in named.items()], "__at string, __month string, __number long")
+    return raw.join(F.broadcast(listing), F.col("__path") == F.col("__at"), "left").drop("__at")
 
 
 def raw_files(spark: SparkSession, paths: Sequence[str]) -> list[str]:

@@ -106,13 +106,13 @@ def first_run_stats(spark, sf_dir):
         FROM fact""",
 )
 def partial_month_reload(spark, sf_dir):
-    """Two files of one month, then one of them again: all facts stay, under the keys they had."""
+    """Two folders of files of one month, then one of them again: all facts stay, under the keys they had."""
     folder = scratch_folder(spark, "partial")
     lake, paths = Lake(f"{folder}/lake"), []
     trips = line_trips(spark, sf_dir, contracts.RAW_TRIPS.fieldNames())
     for number, part in enumerate((trips.filter("passenger_count <= 2"), trips.filter("passenger_count > 2"))):
         paths.append(f"{folder}/raw/{number}_2024-05")
-        part.coalesce(1).write.parquet(paths[-1])
+        part.write.parquet(paths[-1])
     zones(spark, sf_dir).write.option("header", True).csv(f"{folder}/zones")
     run(spark, lake, paths, f"{folder}/zones", line_rules(), "first", LOADED_AT)
     facts = lake.table("fact_trips")

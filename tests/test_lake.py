@@ -53,6 +53,19 @@ def test_rebalanced_write_keeps_every_row(spark, folder):
     assert spark.read.parquet(f"{folder}/t").count() == 1000
 
 
+def test_partitioned_writes_do_not_sort(spark, folder):
+    """More partitions than open files are written all the same, and the session keeps its setting."""
+    before = spark.conf.get(lake.WRITERS)
+    with lake.unsorted_writes(spark):
+        assert spark.conf.get(lake.WRITERS) == str(lake.OPEN_FILES)
+    parts = 2 * lake.OPEN_FILES + 1
+    df = spark.range(1000).select("id", (F.col("id") % parts).alias("p")).coalesce(1)
+    lake.write_partitions(df, f"{folder}/t", ["p"])
+    assert spark.conf.get(lake.WRITERS) == before
+    back = spark.read.parquet(f"{folder}/t")
+    assert back.count() == 1000 and back.where(f"id % {parts} <> p").count() == 0
+
+
 def test_write_by_date(spark, trips, folder):
     lake.write_by_date(trips, f"{folder}/t", "tpep_pickup_datetime", "pickup_date")
     back = spark.read.parquet(f"{folder}/t")

@@ -5,10 +5,12 @@ from pyspark.sql import functions as F
 
 from starmart import contracts
 from starmart.contracts import align
+from starmart.functions.keys import ROW_ID
 from starmart.operators import dims, gate
 from starmart.operators.fact import TRIPS, build_fact
 from starmart.operators.merge import upsert
 from starmart.operators.star import star_join
+from starmart.plans.jobs import LOST, with_losses
 from starmart.sources.lake import MONTH, write_partitions
 from starmart.sources.scan import in_months, read_bronze_source, read_months, scan
 
@@ -53,6 +55,18 @@ def test_ingestion_does_not_shuffle(spark, folder, trips):
     assert "Exchange" not in plan(df)
 
 
+def test_files_of_one_month_are_looked_up_without_a_shuffle(spark, folder, trips):
+    """Their numbers are broadcast, their month is not sought in the path of every row, and rows that lose nothing make no array."""
+    paths = [f"{folder}/{number}_2023-01" for number in range(2)]
+    for path in paths:
+        trips.write.parquet(path)
+    raw = with_losses(read_bronze_source(spark, paths, contracts.RAW_TRIPS, F.lit(0).cast("timestamp"), lost=LOST))
+    text = plan(align(raw.where(f"NOT {LOST}_any"), contracts.BRONZE_TRIPS, ROW_ID))
+    assert [x for x in ("hashpartitioning", "SortMergeJoin", "regexp", "array_distinct") if x in text] == []
+    assert raw.select("_source_month", "_file").distinct().count() == raw.select(F.input_file_name()).distinct().count()
+    assert raw.select(ROW_ID).distinct().count() == 2 * trips.count()
+
+
 def test_scan_reads_only_what_it_returns(spark, bronze):
     text = plan(scan(spark.read.parquet(bronze), ["fare_amount"], "PULocationID > 100"))
     schema = text.split("ReadSchema: ")[1]
