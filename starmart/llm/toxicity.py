@@ -7,11 +7,11 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.llm.filters import that_may_be_in
+from starmart.llm.pitman_yor import packed, unpacked
 from starmart.llm.text import slices
 from starmart.sources.lake import scratch_folder
 
@@ -25,6 +25,8 @@ LEAST_DEVIATION = 4.0
 SAMPLE_ROWS = 16384
 RIDGE = 1e-4
 ROUNDS = 400
+#: Sampled rows that the fit spreads out at once.
+PART_ROWS = 1024
 
 _PRIME = np.uint32(0x01000193)
 _MIX = np.uint32(0x9E3779B1)
@@ -130,29 +132,48 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
         for batch in batches:
             for part in slices(batch, "text"):
                 rows = [np.unique(p[p >= 0]) for p in (place[own] for own in features(part.column("text")))]
-                yield pa.RecordBatch.from_arrays([part.column("toxic"), pa.array([r.tolist() for r in rows], pa.list_(pa.int32()))], ["toxic", "found"])
+                steps = pa.array([packed(np.diff(r, prepend=0)) for r in rows], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column("toxic"), steps], ["toxic", "found"])
 
-    rows = sampled(1).unionAll(sampled(0)).select("toxic", "text").mapInArrow(found, "toxic int, found array<int>").toArrow()
+    rows = sampled(1).unionAll(sampled(0)).select("toxic", "text").mapInArrow(found, "toxic int, found binary").toArrow()
     labels = rows["toxic"].to_numpy().astype(float)
-    lists = rows["found"].combine_chunks()
-    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
-    row, column = np.repeat(np.arange(len(labels)), sizes), lists.flatten().to_numpy()
     share = np.where(labels == 1, n1 / max(1, labels.sum()), n0 / max(1, (1 - labels).sum()))
-    weights, bias = logistic(row, column, ratio, labels, share / share.sum())
+    weights, bias = logistic(parts_of(rows["found"]), ratio, labels, share / share.sum())
     return Model(used, weights * ratio, bias)
 
 
-def logistic(row: np.ndarray, column: np.ndarray, scale: np.ndarray, labels: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, float]:
-    """Weights of the scaled features, by accelerated gradient descent with a ridge."""
-    entry = scale[column]
-    mass = np.bincount(row, entry * entry, len(labels))
+def parts_of(rows: pa.ChunkedArray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(features in each row, the features of all in turn) of PART_ROWS rows each, which come as packed steps between features."""
+    parts = []
+    for i in range(0, len(rows), PART_ROWS):
+        own = [np.cumsum(unpacked(x)).astype(np.int32) for x in rows.slice(i, PART_ROWS).to_pylist()]
+        parts.append((np.array([len(x) for x in own], np.int64), np.concatenate(own)))
+    return parts
+
+
+def logistic(parts: list[tuple[np.ndarray, np.ndarray]], scale: np.ndarray, labels: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, float]:
+    """Weights of the scaled features, by accelerated gradient descent with a ridge.
+
+    The rows stay in their parts, one of which at a time is spread out: beside the features themselves, the driver holds
+    a few arrays of a part's size.
+    """
+
+    def sums(values: np.ndarray) -> np.ndarray:
+        """Per row, the sum of its features' values."""
+        return np.concatenate([np.bincount(np.repeat(np.arange(len(n)), n), values[own], len(n)) for n, own in parts])
+
+    starts = np.cumsum([0, *(len(n) for n, _ in parts)])
+    mass = sums(scale * scale)
     step = 1 / (0.25 * (1 + float((share * mass).sum())) + RIDGE)
     weights, bias = np.zeros(len(scale)), 0.0
     ahead, ahead_bias, pace = weights, bias, 1.0
     for _ in range(ROUNDS):
-        z = np.bincount(row, entry * ahead[column], len(labels)) + ahead_bias
+        z = sums(scale * ahead) + ahead_bias
         off = share * (1 / (1 + np.exp(-np.clip(z, -500, 500))) - labels)
-        slope = np.bincount(column, entry * off[row], len(scale)) + RIDGE * ahead
+        slope = np.zeros(len(scale))
+        for first, (n, own) in zip(starts, parts):
+            slope += np.bincount(own, np.repeat(off[first : first + len(n)], n), len(scale))
+        slope = scale * slope + RIDGE * ahead
         new, new_bias = ahead - step * slope, ahead_bias - step * off.sum()
         quicker = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
         push = (pace - 1) / quicker

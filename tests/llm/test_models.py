@@ -145,6 +145,30 @@ def test_frequent_words_are_counted_in_every_block(spark):
     assert pitman_yor.frequent(blocks) == ["", "common", "spread", "own0", "own1", "own2", "own3"]
 
 
+def test_toxicity_fit_holds_rows_in_parts(monkeypatch):
+    """The fit needs little beside the features, and the size of its parts does not matter."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    draw = np.random.default_rng(6)
+    rows = [np.sort(draw.choice(2000, 1000, replace=False)) for _ in range(600)]
+    found = pa.chunked_array([pa.array([pitman_yor.packed(np.diff(r, prepend=0)) for r in rows], pa.binary())])
+    labels, share, scale = (draw.random(600) < 0.5).astype(float), np.full(600, 1 / 600), draw.normal(size=2000)
+    monkeypatch.setattr(toxicity, "ROUNDS", 20)
+    monkeypatch.setattr(toxicity, "PART_ROWS", 50)
+    parts = toxicity.parts_of(found)
+    assert all((np.split(own, np.cumsum(n)[:-1])[0] == rows[50 * k]).all() for k, (n, own) in enumerate(parts))
+    tracemalloc.start()
+    weights, bias = toxicity.logistic(parts, scale, labels, share)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 600 * 1000 * 8  # one array of all entries
+    whole = [(np.concatenate([n for n, _ in parts]), np.concatenate([own for _, own in parts]))]
+    again, bias_again = toxicity.logistic(whole, scale, labels, share)
+    assert np.allclose(weights, again) and abs(bias - bias_again) < 1e-9
+
+
 def test_tables_lie_between_one_and_the_customers():
     c = np.array([0, 1, 2, 500, 10**6])
     tables = pitman_yor.seated(c, np.full(5, 0.01), np.full(5, 10.0), 0.5, np.random.default_rng(1))
