@@ -9,8 +9,8 @@ from starmart import contracts
 from starmart import fixed_values as fixed
 from starmart.plans.jobs import FLAGS, MARTS, UNDATED, UNFIT_LINE, Lake, read_mart, read_quarantine, run
 from starmart.plans.ledger import job_stats
-from starmart.sources.lake import load_dimension, scratch_folder, write_partitions
-from starmart.sources.scan import layer_health
+from starmart.sources.lake import load_dimension, scratch_folder, sized_shuffles, write_partitions
+from starmart.sources.scan import file_bytes, layer_health
 from starmart.sources.snapshots import read_snapshot, read_snapshot_before
 from starmart.workload.registry import LINE_CHECKS, LINE_FACT, query
 from starmart.workload.testbed import LOADED_AT, line_rules, line_trips, table, zones
@@ -19,15 +19,22 @@ from starmart.workload.testbed import LOADED_AT, line_rules, line_trips, table,
 AGAIN = ["1995-01", "1999-01"]
 
 
+def even_shuffles(spark, sf_dir):
+    """Order lines meet their orders in partitions whose number follows from the size of the lines."""
+    return sized_shuffles(spark, file_bytes(spark, [f"{sf_dir}/lineitem.parquet"]))
+
+
 def month_files(spark, sf_dir, folder):
     """Order-line trips as one folder of raw files a year, dated its January; returns folders by month.
 
-    Most trips thus lie outside their file's month and must stay with their file.
+    Most trips thus lie outside their file's month and must stay with their file. Each task writes the years it meets:
+    the lines move once, to their orders.
     """
     columns = [*contracts.RAW_TRIPS.fieldNames(), "_year"]
     month = F.format_string("%04d-01", "_year")
     trips = line_trips(spark, sf_dir, columns).withColumn("trip_month", month).drop("_year")
-    write_partitions(trips, f"{folder}/raw", ["trip_month"], rebalance=True)
+    with even_shuffles(spark, sf_dir):
+        write_partitions(trips, f"{folder}/raw", ["trip_month"])
     months = [r.trip_month for r in spark.read.parquet(f"{folder}/raw").select("trip_month").distinct().collect()]
     return {m: f"{folder}/raw/trip_month={m}" for m in sorted(months)}
 
@@ -112,7 +119,8 @@ def partial_month_reload(spark, sf_dir):
     trips = line_trips(spark, sf_dir, contracts.RAW_TRIPS.fieldNames())
     for number, part in enumerate((trips.filter("passenger_count <= 2"), trips.filter("passenger_count > 2"))):
         paths.append(f"{folder}/raw/{number}_2024-05")
-        part.write.parquet(paths[-1])
+        with even_shuffles(spark, sf_dir):
+            part.write.parquet(paths[-1])
     zones(spark, sf_dir).write.option("header", True).csv(f"{folder}/zones")
     run(spark, lake, paths, f"{folder}/zones", line_rules(), "first", LOADED_AT)
     facts = lake.table("fact_trips")
@@ -176,7 +184,8 @@ def lost_at_ingest(spark, sf_dir):
     lake, path = Lake(f"{folder}/lake"), f"{folder}/raw/trips_2024-05"
     line = F.col("passenger_count")
     far = {"VendorID": F.when(line == 7, 3_000_000_000).otherwise(F.col("VendorID")), "passenger_count": F.when(line == 6, 1 << 40).otherwise(line)}
-    line_trips(spark, sf_dir, contracts.RAW_TRIPS.fieldNames()).withColumns(far).write.parquet(path)
+    with even_shuffles(spark, sf_dir):
+        line_trips(spark, sf_dir, contracts.RAW_TRIPS.fieldNames()).withColumns(far).write.parquet(path)
     zones(spark, sf_dir).write.option("header", True).csv(f"{folder}/zones")
     run(spark, lake, [path], f"{folder}/zones", line_rules(), "first", LOADED_AT)
     count = F.count(F.lit(1)).alias("rows")
@@ -201,8 +210,9 @@ def quarantined(spark, sf_dir):
     lake, paths = Lake(f"{folder}/lake"), [f"{folder}/raw/trips_2024-05", f"{folder}/raw/trips"]
     line = F.col("passenger_count")
     trips = line_trips(spark, sf_dir, contracts.RAW_TRIPS.fieldNames())
-    for path, part in zip(paths, (trips.where(line <= 4), trips.where(line > 4)), strict=True):
-        part.write.parquet(path)
+    with even_shuffles(spark, sf_dir):
+        for path, part in zip(paths, (trips.where(line <= 4), trips.where(line > 4)), strict=True):
+            part.write.parquet(path)
     america = F.when(F.col("Borough") == "AMERICA", F.concat(F.lit("zone "), "LocationID")).otherwise(F.col("LocationID").cast("string"))
     zones(spark, sf_dir).withColumn("LocationID", america).write.option("header", True).csv(f"{folder}/zones")
     run(spark, lake, paths, f"{folder}/zones", line_rules(), "first", LOADED_AT)

@@ -62,14 +62,15 @@ def line_trips(spark: SparkSession, sf_dir: str, columns: Sequence[str] | None =
     """Trips from order lines: the named columns, or all."""
     wanted = list(LINE_COLUMNS) if columns is None else list(columns)
     lines = table(spark, sf_dir, "lineitem")
+    if "PULocationID" in wanted:
+        # Before the orders: a supplier's nation is shuffled in place of its key.
+        lines = lines.join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
     if ORDER_COLUMNS & set(wanted):
         orders = table(spark, sf_dir, "orders")
         if "DOLocationID" in wanted:
             # Customers meet the orders, not the four times longer lines.
             orders = orders.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         lines = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    if "PULocationID" in wanted:
-        lines = lines.join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
     return lines.selectExpr(*[f"{LINE_COLUMNS[c]} AS {c}" for c in wanted])
 
 

@@ -1,7 +1,9 @@
 """Lake writes, merges by key, load routing and database options."""
 
+from datetime import datetime
 from unittest.mock import MagicMock
 
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -66,6 +68,36 @@ def test_partitioned_writes_do_not_sort(spark, folder):
     assert back.count() == 1000 and back.where(f"id % {parts} <> p").count() == 0
 
 
+def test_partitioned_writes_load_their_tasks_evenly(spark, folder):
+    """Scans of a write are split for more tasks than cores, times are 64-bit numbers, and the session keeps its settings."""
+    before = {name: spark.conf.get(name, None) for name in (lake.SPLITS, lake.TIMES)}
+    with lake.unsorted_writes(spark):
+        assert int(spark.conf.get(lake.SPLITS)) == lake.TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    lake.write_partitions(spark.sql("SELECT TIMESTAMP'1850-03-04 05:06:07.89' AS ts, 1 AS p"), f"{folder}/t", ["p"])
+    assert before == {name: spark.conf.get(name, None) for name in (lake.SPLITS, lake.TIMES)}
+    (file,) = spark.read.parquet(f"{folder}/t").inputFiles()
+    assert pq.ParquetFile(file.removeprefix("file://")).schema.column(0).physical_type == "INT64"
+    assert spark.read.parquet(f"{folder}/t").first().ts == datetime(1850, 3, 4, 5, 6, 7, 890000)
+
+
+def test_shuffles_are_sized_by_the_input(spark):
+    """First partitions follow from the bytes, not from the session's number; a number that the session names is kept."""
+    with lake.sized_shuffles(spark, 100 * lake.SHUFFLE_BYTES):
+        assert int(spark.conf.get(lake.SHUFFLES)) == 101
+        joined = spark.range(1000).join(spark.range(1000).hint("shuffle_hash"), "id")
+        joined.collect()
+        assert "hashpartitioning(id#" in (text := joined._jdf.queryExecution().executedPlan().toString()) and ", 101)" in text
+    with lake.sized_shuffles(spark, 1):
+        assert spark.conf.get(lake.SHUFFLES) == spark.conf.get("spark.sql.shuffle.partitions")
+    assert spark.conf.get(lake.SHUFFLES, None) is None
+    spark.conf.set(lake.SHUFFLES, 3)
+    try:
+        with lake.sized_shuffles(spark, 100 * lake.SHUFFLE_BYTES):
+            assert spark.conf.get(lake.SHUFFLES) == "3"
+    finally:
+        spark.conf.unset(lake.SHUFFLES)
+
+
 def test_write_by_date(spark, trips, folder):
     lake.write_by_date(trips, f"{folder}/t", "tpep_pickup_datetime", "pickup_date")
     back = spark.read.parquet(f"{folder}/t")
