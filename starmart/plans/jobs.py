@@ -37,6 +37,7 @@ from starmart.sources.scan import (
     read_bronze_source,
     read_csv,
     read_months,
+    row_names,
 )
 from starmart.sources.snapshots import has_snapshot, read_snapshot
 
@@ -155,8 +156,15 @@ def quarantine(lake: Lake, rows: DataFrame, files: Sequence[str], reason: str, l
     file that was mended and loaded again nothing is left. `read_quarantine` reads them back.
     """
     spark, seen = rows.sparkSession, Observation()
+    # Plain path and digest are worked out once per file; a row of a file that is not listed has its own worked out.
+    named = {name: (plain_path(f), sha1(plain_path(f).encode()).hexdigest()) for f in files for name in row_names(f)}
+    listing = spark.createDataFrame([(k, *v) for k, v in named.items()], "__at string, __plain string, __digest string")
+    located = rows.join(F.broadcast(listing), F.col("file") == F.col("__at"), "left")
     path = plain_path_of(F.col("file"))
-    kept = rows.select(path.alias("file"), "row", F.lit(reason).alias("reason"), loaded_at.alias("loaded_at"), F.sha1(path).alias("_input"))
+    kept = located.select(
+        F.coalesce("__plain", path).alias("file"), "row", F.lit(reason).alias("reason"), loaded_at.alias("loaded_at"),
+        F.coalesce("__digest", F.sha1(path)).alias("_input"),
+    )
     watched = kept.observe(seen, F.collect_set("_input").alias("met"), F.count(F.lit(1)).alias("rows"))
     write_partitions(watched, lake.quarantine, ["_input"])
     result = seen.get

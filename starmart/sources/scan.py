@@ -127,11 +127,16 @@ def _located(raw: DataFrame, files: Sequence[str], numbered: Sequence[tuple[str,
     if len(listed) == 1:
         ((_, month, number),) = listed
         return raw.withColumns({"__month": F.lit(month).cast("string"), "__number": F.lit(number).cast("long")})
-    named = {name: entry for f, *entry in listed for name in (f, re.sub("^([^/:]+):///", r"\1:/", f))}
+    named = {name: entry for f, *entry in listed for name in row_names(f)}
     listing = raw.sparkSession.createDataFrame([(k, *v) for k, v in named.items()], "__at string, __month string, __number long")
     return raw.join(F.broadcast(listing), F.col("__path") == F.col("__at"), "left").drop("__at")
 
 
+def row_names(file: str) -> set[str]:
+    """How rows may name a listed file: `file:///` in Spark's listing is `file:/` with rows."""
+    return {file, re.sub("^([^/:]+):///", r"\1:/", file)}
+
+
 def raw_files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
     """The files at the paths, in name order: Spark's own listing, which its driver holds anyway."""
     return sorted(spark.read.parquet(*paths).inputFiles())

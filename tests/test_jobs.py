@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from starmart import contracts
 from starmart.plans import jobs
 from starmart.plans.jobs import Lake, open_ledger, read_mart, run
+from starmart.sources import scan
 from starmart.sources.scan import read_months
+from starmart.workload import running
 from tests.conftest import INVALID, TRIPS, ZONES
 
 
@@ -273,3 +275,48 @@ def test_bytes_are_those_of_the_files(spark, folder, raw):
     assert told["bronze_zones"] == os.path.getsize(zones)
     assert told["gate"] == told["fact"] == sum(map(os.path.getsize, on_disk))
     assert told["marts"] > 0
+
+
+def test_quarantine_names_a_file_once_and_not_in_every_row(spark, folder, monkeypatch):
+    """Files whose names need escapes are held under their plain paths, which come from a broadcast list."""
+    paths = [f"{folder}/{name}" for name in ("a b+c%20d.parquet", "plain.parquet")]
+    for path in paths:
+        pq.write_table(pa.table({"x": [1, 2]}), path)
+    plans, write = [], jobs.write_partitions
+    monkeypatch.setattr(jobs, "write_partitions", lambda df, *rest: (plans.append(df._jdf.queryExecution().executedPlan().toString()), write(df, *rest)))
+    lake, now = Lake(f"{folder}/lake"), F.lit(LOADED)
+    assert jobs.quarantine(lake, scan.read_as_text(spark, paths), scan.raw_files(spark, paths), jobs.UNDATED, now) == 4
+    assert "BroadcastHashJoin" in plans[0]
+    held = jobs.read_quarantine(spark, lake).groupBy("file").count().collect()
+    assert sorted((r.file, r["count"]) for r in held) == [(f"file:{p}", 2) for p in paths]
+    # A row of a file that is not listed keeps its own path.
+    assert jobs.quarantine(Lake(f"{folder}/other"), scan.read_as_text(spark, paths), [], jobs.UNDATED, now) == 4
+    held = jobs.read_quarantine(spark, Lake(f"{folder}/other")).groupBy("file").count().collect()
+    assert sorted((r.file, r["count"]) for r in held) == [(f"file:{p}", 2) for p in paths]
+
+
+def test_lines_move_once_to_make_month_files(spark, folder, monkeypatch):
+    """The years are written by the tasks that join lines and orders."""
+    day = "to_date(concat(1995 + k % 4, '-02-03'))"
+    tables = {
+        "customer": ["k AS c_custkey", "k % 3 AS c_nationkey"],
+        "supplier": ["k AS s_suppkey", "k % 5 AS s_nationkey"],
+        "orders": ["k AS o_orderkey", "k AS o_custkey", f"{day} AS o_orderdate", "10D * k AS o_totalprice", "'1-URGENT' AS o_orderpriority"],
+        "lineitem": [
+            "k AS l_orderkey", "k AS l_suppkey", "1 AS l_linenumber", "2D AS l_quantity", "3D AS l_extendedprice", "0.1D AS l_discount",
+            "0.02D AS l_tax", "'N' AS l_returnflag", "'O' AS l_linestatus", f"date_add({day}, 5) AS l_shipdate",
+        ],
+    }
+    for name, columns in tables.items():
+        spark.range(40).withColumnRenamed("id", "k").selectExpr(*columns).write.parquet(f"{folder}/{name}.parquet")
+    plans, write = [], running.write_partitions
+    monkeypatch.setattr(
+        running, "write_partitions",
+        lambda df, *rest, **how: (plans.append((df._jdf.queryExecution().executedPlan().toString(), how)), write(df, *rest, **how)),
+    )
+    months = running.month_files(spark, folder, f"{folder}/made")
+    ((text, how),) = plans
+    assert not how.get("rebalance") and "REBALANCE" not in text
+    assert sorted(months) == [f"{y}-01" for y in range(1995, 1999)]
+    made = spark.read.parquet(*months.values())
+    assert made.count() == 40 and {(r.PULocationID, r.DOLocationID) for r in made.collect()} == {(k % 5, k % 3) for k in range(40)}
