@@ -92,7 +92,8 @@ def passes(rules: Sequence[Rule]) -> Column:
 
 def failed_rules(rules: Sequence[Rule]) -> Column:
     """Names of the rules a row fails, in rule order; empty for an accepted row."""
-    return F.array_compact(F.array(*[F.when(r.fails, r.name) for r in rules]))
+    none = F.array().cast("array<string>")
+    return F.concat(none, *[F.when(r.fails, F.array(F.lit(r.name))).otherwise(none) for r in rules])
 
 
 def accepted(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:

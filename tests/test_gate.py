@@ -110,3 +110,10 @@ def test_the_split_loses_and_doubles_nothing(spark, rows):
     kept, failed = gate.accepted(df, rules).count(), gate.rejected(df, rules)
     assert kept + failed.count() == len(rows)
     assert failed.filter("size(failed_rules) = 0").count() == 0
+
+
+def test_names_of_failed_rules_are_made_in_generated_code(spark, trips, invalid_trips):
+    df = gate.rejected(trips.union(invalid_trips), gate.trip_rules())
+    assert "filter(" not in df._jdf.queryExecution().executedPlan().toString()
+    assert [r.failed_rules for r in df.collect()] == [["fare_amount_at_least_0", "total_amount_at_least_0"]]
+    assert gate.failed_rules([]) is not None and trips.select(gate.failed_rules([]).alias("f")).first().f == []
