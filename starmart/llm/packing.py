@@ -165,23 +165,23 @@ def pieces(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str =
     definition = docs.sparkSession.sparkContext.broadcast(definition_of(tokenizer))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own_encoder = encoder(definition.value, WORD_PIECES, lower=True)
         part = TaskContext.get().partitionId()
         seen = np.zeros(window + 1, np.int64)
-        for batch in batches:
-            for own in slices(batch, "text"):
-                ids, counts = with_end(*own_encoder.encode(own.column("text")), end)
-                raw = ids.astype("<u4").tobytes()
-                rows = []
-                before = 0
-                for name, n in zip(own.column("doc_id").to_pylist(), counts.tolist(), strict=True):
-                    for start in range(0, n, window):
-                        length = min(window, n - start)
-                        held = raw[4 * (before + start) : 4 * (before + start + length)]
-                        rows.append((name, start, length, n, held, part, int(seen[length])))
-                        seen[length] += 1
-                    before += n
-                yield _batch(rows, PIECES)
+        with encoder(definition.value, WORD_PIECES, lower=True) as own_encoder:
+            for batch in batches:
+                for own in slices(batch, "text"):
+                    ids, counts = with_end(*own_encoder.encode(own.column("text")), end)
+                    raw = ids.astype("<u4").tobytes()
+                    rows = []
+                    before = 0
+                    for name, n in zip(own.column("doc_id").to_pylist(), counts.tolist(), strict=True):
+                        for start in range(0, n, window):
+                            length = min(window, n - start)
+                            held = raw[4 * (before + start) : 4 * (before + start + length)]
+                            rows.append((name, start, length, n, held, part, int(seen[length])))
+                            seen[length] += 1
+                        before += n
+                    yield _batch(rows, PIECES)
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     return rows.mapInArrow(run, PIECES)

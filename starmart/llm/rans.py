@@ -163,7 +163,6 @@ def write_tokens(
     definition = docs.sparkSession.sparkContext.broadcast(definition_of(tokenizer))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own_encoder = encoder(definition.value, BYTE_PIECES, lower=False)
         part, segment, first = TaskContext.get().partitionId(), 0, 0
         names: list[int | None] = []
         held: list[np.ndarray] = []
@@ -174,19 +173,20 @@ def write_tokens(
             row = {"part": part, "segment": segment, "first": first, "doc_ids": names, "doc_tokens": sizes}
             return pa.RecordBatch.from_pylist([row | encode(np.concatenate(held))], ARROW_FORMAT)
 
-        for batch in batches:
-            for own in slices(batch, "text", SLICE_BYTES):
-                ids, counts = with_end(*own_encoder.encode(own.column("text")), end)
-                names += own.column("doc_id").to_pylist()
-                sizes += counts.tolist()
-                held.append(ids)
-                filled += len(ids)
-                if filled >= SEGMENT_TOKENS:
-                    yield close()
-                    segment, first = segment + 1, first + filled
-                    names, held, sizes, filled = [], [], [], 0
-        if filled:
-            yield close()
+        with encoder(definition.value, BYTE_PIECES, lower=False) as own_encoder:
+            for batch in batches:
+                for own in slices(batch, "text", SLICE_BYTES):
+                    ids, counts = with_end(*own_encoder.encode(own.column("text")), end)
+                    names += own.column("doc_id").to_pylist()
+                    sizes += counts.tolist()
+                    held.append(ids)
+                    filled += len(ids)
+                    if filled >= SEGMENT_TOKENS:
+                        yield close()
+                        segment, first = segment + 1, first + filled
+                        names, held, sizes, filled = [], [], [], 0
+            if filled:
+                yield close()
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import re
 import sys
+from collections.abc import Iterator
+from contextlib import contextmanager
 from itertools import chain
 from pathlib import Path
+from threading import Timer
 from types import ModuleType
 
 import numpy as np
@@ -22,6 +26,7 @@ WORD_PIECES = rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^\s{LETTERS}{
 #: Outside these, library versions may class characters differently: such texts go through the tokenizer whole.
 PLAIN = re.compile("[^\t\n\r -~¡-¬®-ÿ]")
 HELD_PIECES = 1 << 20
+IDLE_SECONDS = 1.0
 
 
 class Codes(dict):
@@ -120,13 +125,39 @@ class Encoder:
         return np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts))
 
 
-def encoder(definition: str, pieces: str, lower: bool) -> Encoder:
-    """The worker process's own encoder, kept from task to task; its table is bounded."""
+@contextmanager
+def encoder(definition: str, pieces: str, lower: bool) -> Iterator[Encoder]:
+    """The worker process's own encoder, kept from task to task; its table is bounded.
+
+    A worker that no task asks for IDLE_SECONDS lets it go, as idle workers live on beside the stages that follow.
+    """
     held = sys.modules.setdefault("starmart_worker_encoders", ModuleType("starmart_worker_encoders")).__dict__
     key = f"{pieces} {lower} {hash(definition)}"
-    if key not in held:
-        held[key] = Encoder(definition, pieces, lower)
-    return held[key]
+    own, timer = held.pop(key, (None, None))
+    if timer:
+        timer.cancel()
+    own = own or Encoder(definition, pieces, lower)
+    try:
+        yield own
+    finally:
+        timer = Timer(IDLE_SECONDS, _let_go, (held, key, own))
+        timer.daemon = True
+        held[key] = own, timer
+        del own
+        timer.start()
+
+
+def _let_go(held: dict, key: str, own: Encoder) -> None:
+    """Drop an encoder that is still idle, and give what it took back to the system."""
+    if held.get(key, (None,))[0] is own:
+        held.pop(key, None)
+    else:
+        return
+    own._clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def with_end(ids: np.ndarray, counts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:

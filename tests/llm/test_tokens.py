@@ -1,5 +1,7 @@
 """Packing and token files against the tokenizer itself."""
 
+import time
+import weakref
 import zlib
 
 import numpy as np
@@ -116,3 +118,20 @@ def test_frequencies_of_a_full_alphabet():
     counts[0] = 10**9
     scaled = rans.frequencies(counts)
     assert scaled.sum() == 1 << 16 and scaled.min() == 1
+
+
+def test_idle_workers_let_their_encoder_go(monkeypatch):
+    monkeypatch.setattr(tokens, "IDLE_SECONDS", 0.1)
+    definition = tokens.definition_of(public_tokenizers.path("byte_bpe_50k.json"))
+    with tokens.encoder(definition, tokens.BYTE_PIECES, lower=False) as first:
+        time.sleep(0.3)
+        assert len(first.encode(pa.array(["a word"]))[0])
+    with tokens.encoder(definition, tokens.BYTE_PIECES, lower=False) as again:
+        assert again is first and len(again.known) == 2
+    gone = weakref.ref(first)
+    del first, again
+    for _ in range(50):
+        time.sleep(0.1)
+        if gone() is None:
+            break
+    assert gone() is None
