@@ -25,7 +25,7 @@ END_ID = 0
 SCALE_BITS = 16
 LOW = 1 << 16
 LANES = 16
-BLOCK_STEPS = 4096
+BLOCK_STEPS = 1024
 STRIDE = 512
 SEGMENT_TOKENS = 1 << 20
 #: Text that is cut into pieces at once.
@@ -91,8 +91,8 @@ def encode(tokens: np.ndarray) -> dict:
         words[t] = x
         sent[t] = over
         x = np.where(over, x >> sixteen, x)
-        quotient, remainder = np.divmod(x, f)
-        x = (quotient << shift) + remainder + start[cube[t]]
+        quotient = x // f
+        x = (quotient << shift) + (x - quotient * f) + start[cube[t]]
         if t % STRIDE == 0:
             states[t // STRIDE] = x
     out = []

@@ -135,3 +135,9 @@ def test_idle_workers_let_their_encoder_go(monkeypatch):
         if gone() is None:
             break
     assert gone() is None
+
+
+def test_blocks_of_a_full_segment_advance_together():
+    ids = (np.random.default_rng(1).zipf(1.3, rans.SEGMENT_TOKENS) % 50_000).astype(np.uint32)
+    segment = rans.encode(ids)
+    assert segment["steps"] <= 1024 and (rans.decode(segment) == ids).all()
