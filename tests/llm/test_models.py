@@ -187,3 +187,40 @@ def test_language_model_without_training_rows(odd):
 
     rows = pitman_yor.score(odd, F.lit(True)).collect()
     assert len(rows) == len(ODD) and all(r.train_tokens == 0 and r.n_known == 0 and math.isfinite(r.score) for r in rows)
+
+
+def test_listed_customers_sit_at_the_tables_counted(monkeypatch):
+    monkeypatch.setattr(pitman_yor, "SEATS", 8)
+    draw = np.random.default_rng(6)
+    n = np.array([2, 3, 8, 9, 1, 400, 5])
+    held = pitman_yor.Restaurants(np.zeros(7, np.int64), n, np.full(7, 0.1), 1, 1.0, 0.5, draw)
+    few = held.order_n[held.large :]
+    assert held.large == 2 and few.tolist() == [8, 5, 3, 2]
+    for _ in range(20):
+        held.sweep(np.full(7, 0.1))
+        size = held.size[int(held.held[: held.large].sum()) :]
+        for first, m in zip(held.start, few):
+            own = size[first : first + m]
+            assert np.bincount(held.label[first : first + m], minlength=m).tolist() == own.tolist()
+            empty = int((own == 0).sum())
+            assert sorted(held.free[first : first + empty].tolist()) == np.flatnonzero(own == 0).tolist()
+
+
+def test_few_and_many_customers_reach_the_same_tables(monkeypatch):
+    n, seen = np.full(3000, 6), []
+    for seats in (32, 4):
+        monkeypatch.setattr(pitman_yor, "SEATS", seats)
+        held = pitman_yor.Restaurants(np.arange(3000), n, np.full(3000, 0.2), 3000, 1.0, 0.5, np.random.default_rng(seats))
+        tables = np.zeros(7)
+        for sweep in range(10):
+            held.sweep(np.full(3000, 0.2))
+            tables += np.bincount(held.tables, minlength=7) if sweep >= 4 else 0
+        seen.append(tables / tables.sum())
+    assert np.allclose(*seen, atol=0.015)
+
+
+def test_distinct_values_and_their_places():
+    for values in ([], [3, 1, 3, 0], [2**62, 1, 2**62]):
+        values = np.array(values, np.int64)
+        expected, got = np.unique(values, return_inverse=True), pitman_yor.distinct(values)
+        assert all((a == b).all() for a, b in zip(expected, got))
