@@ -224,3 +224,57 @@ def test_distinct_values_and_their_places():
         values = np.array(values, np.int64)
         expected, got = np.unique(values, return_inverse=True), pitman_yor.distinct(values)
         assert all((a == b).all() for a, b in zip(expected, got))
+
+
+def test_tables_listed_for_a_sweep_are_those_searched_for(monkeypatch):
+    monkeypatch.setattr(pitman_yor, "SEATS", 4)
+    n = np.random.default_rng(7).integers(1, 60, 200)
+    found = []
+    for listed in (0, 500, 1 << 20):
+        monkeypatch.setattr(pitman_yor, "LISTED", listed)
+        held = pitman_yor.Restaurants(np.arange(200) % 5, n, np.full(200, 0.1), 5, 1.0, 0.5, np.random.default_rng(8))
+        for _ in range(6):
+            held.sweep(np.full(200, 0.1))
+            assert len(held.listed) <= listed
+        found.append((held.tables, held.opened, held.size))
+    assert 0 < len(held.listed)
+    assert all((a == b).all() for other in found[1:] for a, b in zip(found[0], other, strict=True))
+
+
+def test_words_and_classes_stay_in_arrow():
+    words = ["", "a", "the", "naïve", "Öl", "x😀", "zz😀y", "the2"]
+    raws = [pitman_yor.packed_words(x) for x in (words[:1], words[1:5], words[5:])]
+    split = pitman_yor.split_words(raws)
+    assert split.to_pylist() == words and pitman_yor.split_words([]).to_pylist() == []
+    top = ["", "the"]
+    suffix = [zlib.crc32(w[-2:].encode()) % pitman_yor.SUFFIXES + pitman_yor.TOP for w in words]
+    expected = [top.index(w) if w in top else k for w, k in zip(words, suffix, strict=True)]
+    assert pitman_yor.classes_of(split, top).tolist() == pitman_yor.classes_of(words, top).tolist() == expected
+
+
+def test_words_of_a_bucket_are_looked_up_at_once(monkeypatch):
+    """However many blocks ask, the known words of a bucket make one table."""
+    import pandas as pd
+
+    class Frame:
+        def __getattr__(self, name):
+            return lambda *a: a[0] if name == "applyInPandas" else self
+
+    calls = []
+    look = pitman_yor.pc.index_in
+    monkeypatch.setattr(pitman_yor.pc, "index_in", lambda *a, **k: calls.append(1) or look(*a, **k))
+    run = pitman_yor.replies(Frame(), Frame(), 2)
+    words = [f"w{k}" for k in range(20)]
+    pack = pitman_yor.packed
+    known = pd.DataFrame(
+        [(pitman_yor.packed_words(words), pack(np.full(20, 900), 2), pack(np.arange(20), 8), pack(np.ones(20, int), 2),
+          pack(np.arange(20), 2), pack(np.arange(20) + 5, 8), pack(np.ones(20, int), 8), pack(np.arange(40), 8))],
+        columns=["words", "k", "c", "sizes", "after", "n", "tables", "opened"],
+    )
+    asked = [[3, 1], [7], [19, 0, 4]]
+    rows = [(b, 0, pitman_yor.packed_words([words[i] for i in x]), pack(np.ones(len(x), int), 2), pack(np.array(x), 2)) for b, x in enumerate(asked)]
+    got = run((0,), pd.DataFrame(rows, columns=["block", "start", "words", "sizes", "after"]), known)
+    assert [pitman_yor.unpacked(c, 8).tolist() for c in got["c"]] == asked
+    assert [pitman_yor.unpacked(c, 8).tolist() for c in got["n"]] == [[i + 5 for i in x] for x in asked]
+    assert [pitman_yor.unpacked(c, 8).tolist() for c in got["opened"]] == [[*x, *(i + 20 for i in x)] for x in asked]
+    assert len(calls) == 1
